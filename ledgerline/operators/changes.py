@@ -39,12 +39,31 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def ambiguous_keys(target: DataFrame, changes: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Keys that occur more than once in ``changes`` and also in ``target``."""
+def duplicate_keys(changes: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Keys that occur more than once in ``changes`` (NULL keys never match
+    and are ignored)."""
     keys = _keys(on)
-    dup = (changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-           .filter(F.col("n") > 1).select(*keys))
-    return dup.join(target.select(*keys), keys, "left_semi")
+    present = changes
+    for k in keys:
+        present = present.filter(F.col(k).isNotNull())
+    return (present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > 1).select(*keys))
+
+
+def has_ambiguous_match(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
+                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether a key repeated in ``changes`` also exists in ``target``.
+
+    The change set is checked on its own first (the usual answer, "no
+    repeated key", never touches the target); only repeated keys are then
+    looked up in the target, broadcast when their number is proven small.
+    """
+    keys = _keys(on)
+    dup = duplicate_keys(changes, keys)
+    if dup.limit(1).count() == 0:
+        return False
+    hit = target.select(*keys).join(sized_broadcast(dup, broadcast_rows), keys, "left_semi")
+    return hit.limit(1).count() > 0
 
 
 def merge_update(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
@@ -59,7 +78,7 @@ def merge_update(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
     ``__ll_matched`` is kept for metrics.
     """
     keys = _keys(on)
-    if check_duplicates and ambiguous_keys(target, changes, keys).limit(1).count() > 0:
+    if check_duplicates and has_ambiguous_match(target, changes, keys, broadcast_rows):
         raise ValueError("merge refused: several change rows match the same target row")
     tschema = {f.name: f.dataType for f in target.schema.fields}
     src = changes.select(*keys, *[F.col(s).alias(f"__ll_src_{t}") for t, s in set_columns.items()],
