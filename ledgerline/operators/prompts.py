@@ -173,3 +173,31 @@ def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: st
                              started_at=pd.to_datetime(starts))
 
     return df.mapInPandas(run, schema)
+
+
+NARRATIVE_COLUMNS = ["grade", "loan_status", "risk_tier"]
+
+
+def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
+                     version: str = "risk_narrative_v1.0",
+                     statuses: Sequence[str] = presets.NARRATIVE_STATUSES,
+                     registry: Mapping[str, Mapping[str, str]] = presets.PROMPT_REGISTRY,
+                     keys: Sequence[str] = NARRATIVE_COLUMNS, batch_size: int = 8) -> DataFrame:
+    """Narrative table: one generated text per gold segment of the given
+    statuses -- grade, loan_status, risk_tier, ai_risk_narrative, plus the
+    call's version, model, tokens and cost."""
+    segments = gold.filter(F.col("loan_status").isin(list(statuses)))
+    prompts = render_prompts(segments, [version], registry, keep=list(keys))
+    calls = generate(prompts, client_factory, "prompt", batch_size)
+    return token_cost(calls.withColumnRenamed("narrative", "ai_risk_narrative").drop("prompt"))
+
+
+COST_LOG_COLUMNS = ["prompt_version", "model", "ai_risk_narrative", "input_tokens", "output_tokens",
+                    "total_tokens", "cost_usd", "duration_ms", "started_at"]
+
+
+def write_cost_log(calls: DataFrame, path: str, mode: str = "append") -> None:
+    """Append (by default) the per-call cost rows to a log table at ``path``."""
+    (calls.select(*[c for c in COST_LOG_COLUMNS if c in calls.columns])
+     .withColumnRenamed("ai_risk_narrative", "narrative")
+     .write.mode(mode).parquet(path))

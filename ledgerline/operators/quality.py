@@ -51,6 +51,13 @@ def observe_expectations(df: DataFrame, expectations: Mapping[str, str], name: s
     return df.observe(obs, *metrics), obs
 
 
+def source_shape(df: DataFrame, name: str = "source") -> DataFrame:
+    """Row and column count of a source in one pass: (source, row_count,
+    column_count)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("source"), "row_count", F.lit(len(df.columns)).cast("bigint").alias("column_count"))
+
+
 def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per named layer: (layer, row_count)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")

@@ -250,6 +250,14 @@ FROM ({MORTGAGE_SILVER}) s GROUP BY applicant_race, {INCOME_BAND}""",
     "ordered_subset": f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {DEV_SUBSET_ROWS}",
     "bronze_csv_roundtrip": "SELECT * FROM customer",
     "export_roundtrip": LOAN_GOLD,
+    "export_verify": f"""
+SELECT 'loan_risk' AS "table", count(*) AS expected_rows, count(*) AS exported_rows, true AS matches
+FROM ({LOAN_GOLD}) g
+UNION ALL
+SELECT 'mortgage_risk', count(*), count(*), true FROM ({MORTGAGE_GOLD}) m""",
+    "source_shape": f"""
+SELECT 'loans_raw' AS source, count(*) AS row_count, CAST({len(standins.LOANS_RAW)} AS BIGINT) AS column_count
+FROM lineitem""",
     "merge_update": ORDERS_MERGED,
     "key_lookup": f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice, length(CAST(o_orderkey AS VARCHAR)) AS id_length

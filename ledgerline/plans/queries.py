@@ -21,11 +21,11 @@ from ledgerline.operators import prompts as pr
 from ledgerline.operators.aggregate import regroup, summarise
 from ledgerline.operators.filters import ordered_subset
 from ledgerline.operators.policy import masked_view, region_policy
-from ledgerline.operators.quality import expectation_report, reconcile
+from ledgerline.operators.quality import expectation_report, reconcile, source_shape
 from ledgerline.plans import chains, standins
 from ledgerline.session import scratch_path, table_path
 from ledgerline.sources.files import (export_manifest, export_tables, read_layer, read_raw_csv,
-                                      write_csv)
+                                      verify_export, write_csv)
 from ledgerline.streaming.running import (assign_batches, land_batches, prefix_aggregate,
                                           run_available_now)
 
@@ -88,11 +88,17 @@ def q_loan_gold(spark, sf):
     return chains.loan_chain(loans_raw(spark, sf))
 
 
+def land_raw(spark, raw: DataFrame, path: str) -> None:
+    """Land raw text the way an upstream export does: gzip CSV, one file per
+    writer task."""
+    write_csv(raw.repartition(spark.sparkContext.defaultParallelism), path)
+
+
 def q_loan_chain_e2e(spark, sf):
     """Raw text lands as gzip CSV, then bronze, silver and gold are written
     as layers and gold is read back."""
     root = scratch_path(spark, "loan-chain")
-    write_csv(loans_raw(spark, sf), f"{root}/raw")
+    land_raw(spark, loans_raw(spark, sf), f"{root}/raw")
     run = chains.run_loan_chain(spark, f"{root}/raw", root,
                                 partitions=spark.sparkContext.defaultParallelism)
     return read_layer(spark, run.paths["gold"])
@@ -158,7 +164,7 @@ def q_denial_rate_by_group(spark, sf):
 
 def q_mortgage_chain_e2e(spark, sf):
     root = scratch_path(spark, "mortgage-chain")
-    write_csv(mortgage_raw(spark, sf), f"{root}/raw")
+    land_raw(spark, mortgage_raw(spark, sf), f"{root}/raw")
     run = chains.run_mortgage_chain(spark, f"{root}/raw", root,
                                     partitions=spark.sparkContext.defaultParallelism)
     return read_layer(spark, run.paths["gold"])
@@ -183,20 +189,30 @@ def q_bronze_csv_roundtrip(spark, sf):
 def _exported(spark, sf):
     root = scratch_path(spark, "export")
     raw_l, raw_m = loans_raw(spark, sf), mortgage_raw(spark, sf)
-    export_tables({
+    rows = export_tables({
         "loan_risk": chains.loan_chain(raw_l),
         "mortgage_risk": chains.mortgage_chain(raw_m),
     }, root)
-    return root
+    return root, rows
+
+
+def q_export_verify(spark, sf):
+    """Re-read every export and compare its rows with the rows written."""
+    root, rows = _exported(spark, sf)
+    return verify_export(spark, root, rows)
+
+
+def q_source_shape(spark, sf):
+    return source_shape(loans_raw(spark, sf), "loans_raw")
 
 
 def q_export_roundtrip(spark, sf):
-    root = _exported(spark, sf)
+    root, _ = _exported(spark, sf)
     return read_layer(spark, f"{root}/loan_risk")
 
 
 def q_export_manifest(spark, sf):
-    root = _exported(spark, sf)
+    root, _ = _exported(spark, sf)
     return export_manifest(spark, root, ["loan_risk", "mortgage_risk"])
 
 
@@ -348,6 +364,8 @@ QUERIES: dict[str, Query] = {
     "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
     "export_roundtrip": q_export_roundtrip,
     "export_manifest": q_export_manifest,
+    "export_verify": q_export_verify,
+    "source_shape": q_source_shape,
     "merge_update": q_merge_update,
     "key_lookup": q_key_lookup,
     "change_log": q_change_log,

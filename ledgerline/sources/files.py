@@ -12,21 +12,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-UNSPLITTABLE = (".gz", ".zip", ".z")
-
-
 def read_raw_csv(spark: SparkSession, path: str | Sequence[str], partitions: int | None = None,
                  sep: str = ",") -> DataFrame:
     """Header CSV as all-string, nullable columns (no schema inference pass).
 
-    When the input is compressed with an unsplittable codec and ``partitions``
-    is given, the rows are spread over ``partitions`` tasks after the scan so
-    everything downstream runs in parallel.
+    Compressed text (gzip) cannot be split, so a few large files give a few
+    scan tasks.  When ``partitions`` is given and the scan has fewer splits
+    than that, the rows are spread over ``partitions`` tasks right after the
+    scan so everything downstream runs in parallel.  Uncompressed input is
+    split by ``spark.sql.files.maxPartitionBytes`` and left alone.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = (spark.read.option("header", "true").option("inferSchema", "false")
           .option("sep", sep).option("multiLine", "false").csv(paths))
-    if partitions and any(p.lower().endswith(UNSPLITTABLE) for p in paths):
+    if partitions and df.rdd.getNumPartitions() < partitions:
         df = df.repartition(partitions)
     return df
 

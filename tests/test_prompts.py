@@ -91,3 +91,20 @@ def test_registry_and_price_frames(spark):
     reg = pr.registry_frame(spark)
     assert reg.count() == 2 and set(reg.columns) >= {"prompt_version", "template", "model"}
     assert pr.price_frame(spark).first().output_cost_per_1k == 0.015
+
+
+def test_narrative_table_and_cost_log(spark, tmp_dir):
+    def factory():
+        def client(prompts):
+            return [("Segment narrative.", 100, 20) for _ in prompts]
+        return client
+
+    gold = _segments(spark).union(_segments(spark).withColumn("loan_status", F.lit("Current")))
+    narr = pr.narrate_segments(gold, factory)
+    rows = narr.collect()
+    assert len(rows) == 1 and rows[0].ai_risk_narrative == "Segment narrative."
+    assert rows[0].cost_usd == round(0.1 * 0.003 + 0.02 * 0.015, 6)
+    pr.write_cost_log(narr, f"{tmp_dir}/cost_log")
+    pr.write_cost_log(narr, f"{tmp_dir}/cost_log")
+    log = spark.read.parquet(f"{tmp_dir}/cost_log")
+    assert log.count() == 2 and "narrative" in log.columns

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ledgerline import presets
 from ledgerline.operators.policy import masked_view, region_policy, row_policy
-from ledgerline.operators.quality import expectation_report, layer_counts, observe_expectations, reconcile
+from ledgerline.operators.quality import (expectation_report, layer_counts, observe_expectations, reconcile,
+                                          source_shape)
 from ledgerline.plans import chains
 from ledgerline.sources import files
 from tests.conftest import SF_SMALL
@@ -45,9 +46,10 @@ def test_masking_and_row_policy(spark):
 
 
 def test_csv_roundtrip_and_export(spark, tmp_dir, loans_raw):
-    files.write_csv(loans_raw, f"{tmp_dir}/raw")
-    assert any(n.endswith(".csv.gz") for n in os.listdir(f"{tmp_dir}/raw"))
-    back = files.read_raw_csv(spark, f"{tmp_dir}/raw/*.csv.gz", partitions=4)
+    files.write_csv(loans_raw.coalesce(1), f"{tmp_dir}/raw")
+    assert [n for n in os.listdir(f"{tmp_dir}/raw") if n.endswith(".csv.gz")]
+    # one unsplittable gzip file: spread over 4 tasks right after the scan
+    back = files.read_raw_csv(spark, f"{tmp_dir}/raw", partitions=4)
     assert back.rdd.getNumPartitions() == 4
     assert set(back.columns) == set(loans_raw.columns) and dict(back.dtypes)["loan_amnt"] == "string"
     assert back.count() == loans_raw.count()
@@ -65,3 +67,23 @@ def test_stored_loan_chain(spark, tmp_dir, loans_raw):
     run = chains.run_loan_chain(spark, f"{tmp_dir}/raw", f"{tmp_dir}/layers", partitions=2)
     assert run.rows == {"bronze": 8, "silver": 4, "gold": 4}
     assert files.read_layer(spark, run.paths["gold"]).count() == 4
+
+
+def test_source_shape(loans_raw):
+    r = source_shape(loans_raw, "raw").first()
+    assert (r.source, r.row_count, r.column_count) == ("raw", 8, 15)
+
+
+def test_namespace_and_typed_table(spark, loans_raw):
+    files.ensure_namespace(spark, "bronze")
+    files.create_table_if_missing(spark, "bronze.loan_applications_stream",
+                                  "application_id STRING, applicant_name STRING, loan_amount DOUBLE, "
+                                  "loan_purpose STRING, credit_score INT, annual_income DOUBLE, dti DOUBLE, "
+                                  "application_ts TIMESTAMP")
+    files.create_table_if_missing(spark, "bronze.loan_applications_stream", "x INT")
+    t = spark.table("bronze.loan_applications_stream")
+    assert t.count() == 0 and dict(t.dtypes)["credit_score"] == "int"
+    n = files.write_layer(loans_raw, "bronze.loans_raw")
+    assert n == 8 and files.read_layer(spark, "bronze.loans_raw").count() == 8
+    files.write_layer(loans_raw, "bronze.loans_raw", mode="append")
+    assert spark.table("bronze.loans_raw").count() == 16
