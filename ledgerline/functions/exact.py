@@ -1,0 +1,34 @@
+"""Exact averages and sums of double columns.
+
+Adding doubles is not associative, so ``round(avg(x), 2)`` over a double
+column can round a tie (say 535134.375) either way depending on how rows fall
+into partitions.  These helpers add the values as ``decimal(38,10)`` (the
+decimal text of each double, exact) and round HALF_UP once, so a result no
+longer depends on partitioning; the output is a double again.  The cost on
+the aggregation is small because only one partial row per group and task is
+shuffled.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+EXACT_TYPE = "decimal(38,10)"
+
+
+def _col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def exact_sum(c: str | Column) -> Column:
+    return F.sum(_col(c).cast(EXACT_TYPE))
+
+
+def exact_avg(c: str | Column) -> Column:
+    return F.avg(_col(c).cast(EXACT_TYPE))
+
+
+def to_double(expr: Column, digits: int | None = None) -> Column:
+    """Round HALF_UP to ``digits`` (if given) and return a double."""
+    return (F.round(expr, digits) if digits is not None else expr).cast("double")

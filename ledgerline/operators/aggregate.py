@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.exact import exact_avg, exact_sum, to_double
+
 # measure = (output name, function, input column)
 Measure = tuple[str, str, str]
 
@@ -21,18 +23,14 @@ def _measure(name: str, fn: str, col: str, digits: int | None) -> Column:
         out = F.count(F.lit(1)) if col == "*" else F.count(F.col(col))
         return out.alias(name)
     if fn == "avg":
-        out = F.avg(F.col(col))
-    elif fn == "sum":
-        out = F.sum(F.col(col))
-    elif fn == "min":
-        out = F.min(F.col(col))
-    elif fn == "max":
-        out = F.max(F.col(col))
-    else:
-        raise ValueError(f"unknown aggregate {fn!r}")
-    if digits is not None and fn in ("avg", "sum"):
-        out = F.round(out, digits)
-    return out.alias(name)
+        return to_double(exact_avg(col), digits).alias(name)
+    if fn == "sum":
+        return to_double(exact_sum(col), digits).alias(name)
+    if fn == "min":
+        return F.min(F.col(col)).alias(name)
+    if fn == "max":
+        return F.max(F.col(col)).alias(name)
+    raise ValueError(f"unknown aggregate {fn!r}")
 
 
 def summarise(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
@@ -40,7 +38,8 @@ def summarise(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
     """``GROUP BY keys`` with counts and rounded averages / sums.
 
     ``("loan_count", "count", "id")`` skips NULL ids like ``count(id)``;
-    ``("n", "count", "*")`` counts rows.
+    ``("n", "count", "*")`` counts rows.  Averages and sums are exact
+    (decimal) and rounded HALF_UP once, see :mod:`ledgerline.functions.exact`.
     """
     out = df.groupBy(*keys).agg(*[_measure(n, f, c, digits) for n, f, c in measures])
     return out.orderBy(*keys) if order else out
@@ -72,11 +71,14 @@ def top_k(df: DataFrame, keys: Sequence[str], k: int, count_name: str = "n") ->
 
 
 def regroup(df: DataFrame, keys: Sequence[str], sums: Sequence[tuple[str, str]],
-            long_sums: Sequence[str] = ()) -> DataFrame:
+            long_sums: Sequence[str] = (), digits: int | None = None) -> DataFrame:
     """Re-aggregate an aggregate: ``SUM`` of its measures by coarser keys.
-    Names in ``long_sums`` are cast to bigint (counts)."""
+    Names in ``long_sums`` are summed as bigint (counts); the others exactly,
+    rounded to ``digits`` if given."""
     aggs = []
     for name, col in sums:
-        s = F.sum(F.col(col))
-        aggs.append((s.cast("bigint") if name in long_sums else s).alias(name))
+        if name in long_sums:
+            aggs.append(F.sum(F.col(col)).cast("bigint").alias(name))
+        else:
+            aggs.append(to_double(exact_sum(col), digits).alias(name))
     return df.groupBy(*keys).agg(*aggs)

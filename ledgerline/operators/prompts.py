@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import presets
+from ledgerline.functions.exact import exact_avg, exact_sum, to_double
 from ledgerline.functions.text import fill_template
 
 REGISTRY_SCHEMA = T.StructType([
@@ -102,8 +103,8 @@ def cost_by_version(costs: DataFrame, version_col: str = "prompt_version", digit
         F.sum("input_tokens").cast("bigint").alias("input_tokens"),
         F.sum("output_tokens").cast("bigint").alias("output_tokens"),
         F.sum("total_tokens").cast("bigint").alias("total_tokens"),
-        F.round(F.sum("cost_usd"), digits).alias("total_cost_usd"),
-        F.round(F.avg("cost_usd"), digits).alias("avg_cost_usd"),
+        to_double(exact_sum("cost_usd"), digits).alias("total_cost_usd"),
+        to_double(exact_avg("cost_usd"), digits).alias("avg_cost_usd"),
     )
 
 
@@ -118,12 +119,13 @@ def version_compare(costs: DataFrame, version_a: str, version_b: str,
         return [
             F.count_if(is_v).alias(f"calls_{tag}"),
             F.sum(F.when(is_v, F.col("total_tokens"))).cast("bigint").alias(f"total_tokens_{tag}"),
-            F.round(F.sum(F.when(is_v, F.col("cost_usd"))), digits).alias(f"cost_usd_{tag}"),
+            to_double(exact_sum(F.when(is_v, F.col("cost_usd"))), digits).alias(f"cost_usd_{tag}"),
         ]
 
     agg = costs.filter(v.isin(version_a, version_b)).agg(*part("a", version_a), *part("b", version_b))
     return agg.select(F.lit(version_a).alias("version_a"), F.lit(version_b).alias("version_b"), "*",
-                      F.round(F.col("cost_usd_b") - F.col("cost_usd_a"), digits).alias("cost_difference"))
+                      to_double(F.col("cost_usd_b").cast("decimal(38,10)") - F.col("cost_usd_a").cast("decimal(38,10)"),
+                                digits).alias("cost_difference"))
 
 
 GENERATED_FIELDS = [

@@ -25,6 +25,26 @@ def _round(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
+def _dec(expr: str) -> str:
+    """A double as the exact decimal of its shortest text (Spark's double to
+    decimal cast); DuckDB's direct cast scales the binary value instead."""
+    return f"CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 10))"
+
+
+def _avg_exact(expr: str, digits: int) -> str:
+    """Exact mean of a double column rounded HALF_UP to ``digits``: the
+    decimal sum is scaled to an integer and divided with integer arithmetic
+    (DuckDB's decimal division returns a double, which can land on a tie)."""
+    k = f"CAST(sum({_dec(expr)}) * 10000000000 AS HUGEINT)"
+    d = f"(CAST(count({expr}) AS HUGEINT) * {10 ** (10 - digits)})"
+    q = f"(CASE WHEN {k} >= 0 THEN (2 * {k} + {d}) // (2 * {d}) ELSE -((-2 * {k} + {d}) // (2 * {d})) END)"
+    return f"(CASE WHEN count({expr}) = 0 THEN NULL ELSE CAST({q} AS DOUBLE) / {10 ** digits} END)"
+
+
+def _sum_exact(expr: str, digits: int) -> str:
+    return _round(f"sum({_dec(expr)})", digits)
+
+
 def _in_list(values) -> str:
     return ", ".join(_q(v) for v in values)
 
@@ -61,9 +81,9 @@ RISK_TIER = _tier_case("grade", presets.RISK_TIERS, presets.RISK_TIER_DEFAULT)
 
 LOAN_GOLD = f"""
 SELECT grade, loan_status, count(id) AS loan_count,
-       {_round("avg(loan_amnt)", 2)} AS avg_loan_amt, {_round("avg(int_rate)", 2)} AS avg_interest_rate,
-       {_round("avg(annual_inc)", 2)} AS avg_annual_income, {_round("avg(dti)", 2)} AS avg_dti,
-       {_round("sum(loan_amnt)", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
+       {_avg_exact("loan_amnt", 2)} AS avg_loan_amt, {_avg_exact("int_rate", 2)} AS avg_interest_rate,
+       {_avg_exact("annual_inc", 2)} AS avg_annual_income, {_avg_exact("dti", 2)} AS avg_dti,
+       {_sum_exact("loan_amnt", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
 FROM ({LOAN_SILVER}) s GROUP BY grade, loan_status
 """
 
@@ -97,10 +117,10 @@ WHERE action_taken IN ({_in_list(presets.KEPT_ACTIONS)}) AND TRY_CAST(loan_amoun
 
 MORTGAGE_GOLD = f"""
 SELECT loan_purpose_label, action_label, loan_type_label, count(*) AS application_count,
-       {_round("avg(loan_amount)", 2)} AS avg_loan_amount, {_round("avg(interest_rate)", 2)} AS avg_interest_rate,
-       {_round("avg(income)", 2)} AS avg_income,
-       {_round("avg(TRY_CAST(replace(debt_to_income_ratio, '%', '') AS DOUBLE))", 2)} AS avg_dti,
-       {_round("sum(loan_amount)", 2)} AS total_loan_volume,
+       {_avg_exact("loan_amount", 2)} AS avg_loan_amount, {_avg_exact("interest_rate", 2)} AS avg_interest_rate,
+       {_avg_exact("income", 2)} AS avg_income,
+       {_avg_exact("TRY_CAST(replace(debt_to_income_ratio, '%', '') AS DOUBLE)", 2)} AS avg_dti,
+       {_sum_exact("loan_amount", 2)} AS total_loan_volume,
        {_decode_case('action_label', presets.APPROVAL_TIERS, presets.CODE_DEFAULT)} AS approval_tier
 FROM ({MORTGAGE_SILVER}) s GROUP BY loan_purpose_label, action_label, loan_type_label
 """
@@ -124,8 +144,8 @@ FROM events e, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) b
 """
 
 STREAM_PREFIX = f"""
-SELECT n.batch, e.event_type, count(e.event_id) AS count, {_round("avg(e.value)", 2)} AS avg_amount,
-       {_round("avg(e.user_id)", 0)} AS avg_score
+SELECT n.batch, e.event_type, count(e.event_id) AS count, {_avg_exact("e.value", 2)} AS avg_amount,
+       {_avg_exact("e.user_id", 0)} AS avg_score
 FROM ({EVENT_BATCHES}) e JOIN range(1, {STREAM_BATCHES + 1}) n(batch) ON e.arrival_batch <= n.batch
 GROUP BY n.batch, e.event_type
 """
@@ -184,22 +204,22 @@ ORACLE: dict[str, str] = {
     "loan_gold": LOAN_GOLD,
     "gold_summary": f"""
 SELECT o_orderpriority AS grade, o_orderstatus AS loan_status, count(o_orderkey) AS loan_count,
-       {_round("avg(o_totalprice)", 2)} AS avg_loan_amt, {_round("sum(o_totalprice)", 2)} AS total_loan_volume,
+       {_avg_exact("o_totalprice", 2)} AS avg_loan_amt, {_sum_exact("o_totalprice", 2)} AS total_loan_volume,
        {_tier_case('o_orderpriority', ORDER_PRIORITY_TIERS, 'Unknown')} AS risk_tier
 FROM orders GROUP BY o_orderpriority, o_orderstatus""",
     "silver_clean": LOAN_SILVER,
     "silver_profile": f"""
-SELECT grade, count(*) AS loan_count, {_round("avg(loan_amnt)", 2)} AS avg_loan_amt,
-       {_round("avg(int_rate)", 2)} AS avg_interest_rate, {_round("avg(dti)", 2)} AS avg_dti
+SELECT grade, count(*) AS loan_count, {_avg_exact("loan_amnt", 2)} AS avg_loan_amt,
+       {_avg_exact("int_rate", 2)} AS avg_interest_rate, {_avg_exact("dti", 2)} AS avg_dti
 FROM ({LOAN_SILVER}) s GROUP BY grade""",
     "bronze_profile": f"""
-SELECT loan_status, count(*) AS loan_count, {_round("avg(TRY_CAST(loan_amnt AS DOUBLE))", 2)} AS avg_loan_amount
+SELECT loan_status, count(*) AS loan_count, {_avg_exact("TRY_CAST(loan_amnt AS DOUBLE)", 2)} AS avg_loan_amount
 FROM ({LOANS_RAW}) r GROUP BY loan_status""",
     "loan_chain_e2e": LOAN_GOLD,
     "declarative_gold": f"""
-SELECT grade, loan_status, count(id) AS loan_count, {_round("avg(loan_amnt)", 2)} AS avg_loan_amt,
-       {_round("avg(int_rate)", 2)} AS avg_interest_rate, {_round("avg(dti)", 2)} AS avg_dti,
-       {_round("sum(loan_amnt)", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
+SELECT grade, loan_status, count(id) AS loan_count, {_avg_exact("loan_amnt", 2)} AS avg_loan_amt,
+       {_avg_exact("int_rate", 2)} AS avg_interest_rate, {_avg_exact("dti", 2)} AS avg_dti,
+       {_sum_exact("loan_amnt", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
 FROM ({DECL_TYPED}) t
 WHERE loan_status IN ({_in_list(presets.LOAN_STATUSES)}) AND loan_amnt IS NOT NULL
 GROUP BY grade, loan_status""",
@@ -225,12 +245,12 @@ SELECT grade,
        {_pct("loan_status = 'Charged Off'", "loan_status IN ('Charged Off', 'Fully Paid')")} AS charged_off_pct
 FROM ({LOAN_SILVER}) s GROUP BY grade""",
     "gold_regroup": f"""
-SELECT grade, risk_tier, CAST(sum(loan_count) AS BIGINT) AS total_loans, {_round("sum(total_loan_volume)", 2)} AS total_volume
+SELECT grade, risk_tier, CAST(sum(loan_count) AS BIGINT) AS total_loans, {_sum_exact("total_loan_volume", 2)} AS total_volume
 FROM ({LOAN_GOLD}) g GROUP BY grade, risk_tier""",
     "rename_dashed": MORTGAGE_PROJ,
     "label_decode": MORTGAGE_SILVER,
     "label_profile": f"""
-SELECT loan_purpose_label, action_label, count(*) AS application_count, {_round("avg(loan_amount)", 2)} AS avg_loan_amount
+SELECT loan_purpose_label, action_label, count(*) AS application_count, {_avg_exact("loan_amount", 2)} AS avg_loan_amount
 FROM ({MORTGAGE_SILVER}) s GROUP BY loan_purpose_label, action_label""",
     "gold_three_key": MORTGAGE_GOLD,
     "combo_topk": f"""
@@ -283,19 +303,19 @@ WHERE b.o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",
     "cost_by_version": f"""
 SELECT prompt_version, count(*) AS calls, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
        CAST(sum(output_tokens) AS BIGINT) AS output_tokens, CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
-       {_round("sum(cost_usd)", 6)} AS total_cost_usd, {_round("avg(cost_usd)", 6)} AS avg_cost_usd
+       {_sum_exact("cost_usd", 6)} AS total_cost_usd, {_avg_exact("cost_usd", 6)} AS avg_cost_usd
 FROM ({COSTS}) c GROUP BY prompt_version""",
     "version_compare": f"""
 SELECT {_q(PROMPT_VERSIONS[0])} AS version_a, {_q(PROMPT_VERSIONS[1])} AS version_b,
        calls_a, total_tokens_a, cost_usd_a, calls_b, total_tokens_b, cost_usd_b,
-       {_round("cost_usd_b - cost_usd_a", 6)} AS cost_difference
+       {_round(f"{_dec('cost_usd_b')} - {_dec('cost_usd_a')}", 6)} AS cost_difference
 FROM (
   SELECT count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS calls_a,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS BIGINT) AS total_tokens_a,
-         {_round(f"sum(cost_usd) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])})", 6)} AS cost_usd_a,
+         {_round(f"sum({_dec('cost_usd')}) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])})", 6)} AS cost_usd_a,
          count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS calls_b,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS BIGINT) AS total_tokens_b,
-         {_round(f"sum(cost_usd) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])})", 6)} AS cost_usd_b
+         {_round(f"sum({_dec('cost_usd')}) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])})", 6)} AS cost_usd_b
   FROM ({COSTS}) c WHERE prompt_version IN ({_in_list(PROMPT_VERSIONS)})
 ) v""",
     "masked_view": """

@@ -127,8 +127,8 @@ def q_gold_regroup(spark, sf):
     gold = chains.loan_gold(chains.loan_silver(loans_raw(spark, sf)), order=False)
     out = regroup(gold, ["grade", "risk_tier"],
                   [("total_loans", "loan_count"), ("total_volume", "total_loan_volume")],
-                  long_sums=["total_loans"])
-    return out.withColumn("total_volume", F.round("total_volume", 2)).orderBy("grade")
+                  long_sums=["total_loans"], digits=2)
+    return out.orderBy("grade")
 
 
 # --- mortgage chain -------------------------------------------------------------

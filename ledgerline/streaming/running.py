@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.exact import exact_avg, exact_sum, to_double
+
 # measure = (output name, function, input column); function in count, avg, sum
 Measure = tuple[str, str, str]
 
@@ -42,10 +44,10 @@ def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure])
             aggs.append((F.count(F.lit(1)) if col == "*" else F.count(col)).alias(f"_n{i}"))
             finals.append((name, fn, [f"_n{i}"]))
         elif fn == "sum":
-            aggs.append(F.sum(col).alias(f"_s{i}"))
+            aggs.append(exact_sum(col).alias(f"_s{i}"))
             finals.append((name, fn, [f"_s{i}"]))
         elif fn == "avg":
-            aggs += [F.sum(F.col(col).cast("double")).alias(f"_s{i}"), F.count(col).alias(f"_c{i}")]
+            aggs += [exact_sum(col).alias(f"_s{i}"), F.count(col).alias(f"_c{i}")]
             finals.append((name, fn, [f"_s{i}", f"_c{i}"]))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
@@ -64,14 +66,13 @@ def prefix_aggregate(df: DataFrame, batch_col: str, keys: Sequence[str], measure
     aggs = []
     for name, fn, cols in finals:
         if fn == "count":
-            out = F.sum(cols[0]).cast("bigint")
-        elif fn == "sum":
+            aggs.append(F.sum(cols[0]).cast("bigint").alias(name))
+            continue
+        if fn == "sum":
             out = F.sum(cols[0])
         else:
             out = F.sum(cols[0]) / F.sum(cols[1])
-        if name in digits:
-            out = F.round(out, digits[name])
-        aggs.append(out.alias(name))
+        aggs.append(to_double(out, digits.get(name)).alias(name))
     return spread.groupBy(out_batch, *keys).agg(*aggs)
 
 
@@ -94,16 +95,15 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
     aggs = []
     for name, fn, col in measures:
         if fn == "count":
-            out = F.count(F.lit(1)) if col == "*" else F.count(col)
-        elif fn == "sum":
-            out = F.sum(col)
+            aggs.append((F.count(F.lit(1)) if col == "*" else F.count(col)).alias(name))
+            continue
+        if fn == "sum":
+            out = exact_sum(col)
         elif fn == "avg":
-            out = F.avg(col)
+            out = exact_avg(col)
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
-        if name in digits:
-            out = F.round(out, digits[name])
-        aggs.append(out.alias(name))
+        aggs.append(to_double(out, digits.get(name)).alias(name))
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
     running = stream.groupBy(*keys).agg(*aggs)
