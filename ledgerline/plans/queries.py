@@ -286,9 +286,11 @@ def q_stream_available_now(spark, sf):
     events = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
     ev = assign_batches(events, "event_id", STREAM_BATCHES, "arrival_batch")
     root = scratch_path(spark, "stream")
-    land_batches(ev, "arrival_batch", f"{root}/landing", STREAM_BATCHES)
+    files = spark.sparkContext.defaultParallelism
+    land_batches(ev, "arrival_batch", f"{root}/landing", STREAM_BATCHES, files_per_batch=files)
     out = run_available_now(spark, f"{root}/landing", ev.schema, ["event_type"], STREAM_MEASURES,
-                            f"{root}/sink", f"{root}/checkpoint", files_per_trigger=1, digits=STREAM_DIGITS)
+                            f"{root}/sink", f"{root}/checkpoint", files_per_trigger=files,
+                            digits=STREAM_DIGITS)
     return out.select((F.col("batch_id") + 1).cast("int").alias("batch"), "event_type", "count",
                       "avg_amount", "avg_score")
 

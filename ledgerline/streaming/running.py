@@ -78,10 +78,16 @@ def prefix_aggregate(df: DataFrame, batch_col: str, keys: Sequence[str], measure
 
 def land_batches(df: DataFrame, batch_col: str, landing_dir: str, n_batches: int,
                  files_per_batch: int = 1) -> None:
-    """Append each batch to ``landing_dir`` in arrival order, one write per
-    batch (the file source orders files by modification time)."""
+    """Append each batch to ``landing_dir`` in arrival order, one write job per
+    batch, spread evenly over ``files_per_batch`` files written in parallel.
+
+    The file source orders files by modification time and a batch's files are
+    all written before the next batch starts, so a stream reading
+    ``maxFilesPerTrigger=files_per_batch`` sees exactly one batch per trigger
+    (each batch must hold at least ``files_per_batch`` rows).
+    """
     for b in range(1, n_batches + 1):
-        (df.filter(F.col(batch_col) == b).coalesce(files_per_batch)
+        (df.filter(F.col(batch_col) == b).repartition(files_per_batch)
          .write.mode("append").parquet(landing_dir))
 
 

@@ -91,3 +91,11 @@ def test_rates_topk_regroup(spark):
     s = summarise(df, ["grade"], [("n", "count", "*")])
     g = regroup(s.withColumn("tier", F.lit("t")), ["tier"], [("total", "n")], long_sums=["total"]).first()
     assert g.total == 5
+
+
+def test_ordered_subset_threshold_path_equals_topk(spark):
+    from ledgerline.operators.filters import ordered_subset
+    df = spark.range(0, 5000).selectExpr("(id * 7919) % 5000 AS k", "id").repartition(7)
+    plain = [r.k for r in ordered_subset(df, ["k"], 1200).collect()]
+    cut = [r.k for r in ordered_subset(df, ["k"], 1200, topk_rows=100).collect()]
+    assert plain == cut == list(range(1200))
