@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import presets
-from ledgerline.functions.exact import exact_avg, exact_sum, to_double
+from ledgerline.functions.exact import exact_avg, exact_sum, micro, to_double
 from ledgerline.functions.text import fill_template
 
 REGISTRY_SCHEMA = T.StructType([
@@ -124,8 +124,7 @@ def version_compare(costs: DataFrame, version_a: str, version_b: str,
 
     agg = costs.filter(v.isin(version_a, version_b)).agg(*part("a", version_a), *part("b", version_b))
     return agg.select(F.lit(version_a).alias("version_a"), F.lit(version_b).alias("version_b"), "*",
-                      to_double(F.col("cost_usd_b").cast("decimal(38,10)") - F.col("cost_usd_a").cast("decimal(38,10)"),
-                                digits).alias("cost_difference"))
+                      to_double(micro("cost_usd_b") - micro("cost_usd_a"), digits).alias("cost_difference"))
 
 
 GENERATED_FIELDS = [

@@ -25,24 +25,31 @@ def _round(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
-def _dec(expr: str) -> str:
-    """A double as the exact decimal of its shortest text (Spark's double to
-    decimal cast); DuckDB's direct cast scales the binary value instead."""
-    return f"CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 10))"
+def _micro(expr: str) -> str:
+    """A value as integer micro-units, half-even on the binary value (Java's
+    rint): the same quantisation the Spark side sums exactly."""
+    return f"CAST(round_even(CAST(({expr}) AS DOUBLE) * 1000000, 0) AS BIGINT)"
+
+
+def _half_up_div(k: str, d: str) -> str:
+    """round HALF_UP of k / d for integers (HUGEINT), away from zero."""
+    return f"(CASE WHEN {k} >= 0 THEN (2 * {k} + {d}) // (2 * {d}) ELSE -((-2 * {k} + {d}) // (2 * {d})) END)"
 
 
 def _avg_exact(expr: str, digits: int) -> str:
-    """Exact mean of a double column rounded HALF_UP to ``digits``: the
-    decimal sum is scaled to an integer and divided with integer arithmetic
-    (DuckDB's decimal division returns a double, which can land on a tie)."""
-    k = f"CAST(sum({_dec(expr)}) * 10000000000 AS HUGEINT)"
-    d = f"(CAST(count({expr}) AS HUGEINT) * {10 ** (10 - digits)})"
-    q = f"(CASE WHEN {k} >= 0 THEN (2 * {k} + {d}) // (2 * {d}) ELSE -((-2 * {k} + {d}) // (2 * {d})) END)"
-    return f"(CASE WHEN count({expr}) = 0 THEN NULL ELSE CAST({q} AS DOUBLE) / {10 ** digits} END)"
+    """Exact mean of the micro-unit values rounded HALF_UP to ``digits``,
+    computed with integer arithmetic."""
+    k = f"CAST(sum({_micro(expr)}) AS HUGEINT)"
+    d = f"(CAST(count({_micro(expr)}) AS HUGEINT) * {10 ** (6 - digits)})"
+    return (f"(CASE WHEN count({_micro(expr)}) = 0 THEN NULL "
+            f"ELSE CAST({_half_up_div(k, d)} AS DOUBLE) / {10 ** digits} END)")
 
 
 def _sum_exact(expr: str, digits: int) -> str:
-    return _round(f"sum({_dec(expr)})", digits)
+    k = f"CAST(sum({_micro(expr)}) AS HUGEINT)"
+    d = f"CAST({10 ** (6 - digits)} AS HUGEINT)"
+    return (f"(CASE WHEN count({_micro(expr)}) = 0 THEN NULL "
+            f"ELSE CAST({_half_up_div(k, d)} AS DOUBLE) / {10 ** digits} END)")
 
 
 def _in_list(values) -> str:
@@ -308,14 +315,14 @@ FROM ({COSTS}) c GROUP BY prompt_version""",
     "version_compare": f"""
 SELECT {_q(PROMPT_VERSIONS[0])} AS version_a, {_q(PROMPT_VERSIONS[1])} AS version_b,
        calls_a, total_tokens_a, cost_usd_a, calls_b, total_tokens_b, cost_usd_b,
-       {_round(f"{_dec('cost_usd_b')} - {_dec('cost_usd_a')}", 6)} AS cost_difference
+       CAST({_micro("cost_usd_b")} - {_micro("cost_usd_a")} AS DOUBLE) / 1000000 AS cost_difference
 FROM (
   SELECT count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS calls_a,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS BIGINT) AS total_tokens_a,
-         {_round(f"sum({_dec('cost_usd')}) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])})", 6)} AS cost_usd_a,
+         {_sum_exact(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[0])} THEN cost_usd END", 6)} AS cost_usd_a,
          count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS calls_b,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS BIGINT) AS total_tokens_b,
-         {_round(f"sum({_dec('cost_usd')}) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])})", 6)} AS cost_usd_b
+         {_sum_exact(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[1])} THEN cost_usd END", 6)} AS cost_usd_b
   FROM ({COSTS}) c WHERE prompt_version IN ({_in_list(PROMPT_VERSIONS)})
 ) v""",
     "masked_view": """
