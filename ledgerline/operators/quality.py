@@ -76,20 +76,16 @@ def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame,
 
     Result columns: ``measure`` and ``value`` (bigint).
     """
-    parts = {
-        "bronze_rows": bronze.agg(F.count(F.lit(1)).alias("v")),
-        "silver_rows": silver.agg(F.count(F.lit(1)).alias("v")),
-        "gold_rows": gold.agg(F.count(F.lit(1)).alias("v")),
-    }
+    gold_aggs = [F.count(F.lit(1)).alias("gold_rows")]
     if gold_count_col:
-        parts["gold_count_sum"] = gold.agg(F.sum(gold_count_col).cast("bigint").alias("v"))
-    tagged = None
-    for name, p in parts.items():
-        p = p.select(F.lit(name).alias("k"), F.col("v").cast("bigint").alias("v"))
-        tagged = p if tagged is None else tagged.unionByName(p)
-    wide = tagged.agg(*[F.max(F.when(F.col("k") == n, F.col("v"))).alias(n) for n in parts])
+        gold_aggs.append(F.sum(gold_count_col).cast("bigint").alias("gold_count_sum"))
+    rows = (bronze.agg(F.count(F.lit(1)).alias("bronze_rows"))
+            .unionByName(silver.agg(F.count(F.lit(1)).alias("silver_rows")), allowMissingColumns=True)
+            .unionByName(gold.agg(*gold_aggs), allowMissingColumns=True))
+    parts = ["bronze_rows", "silver_rows", "gold_rows"] + (["gold_count_sum"] if gold_count_col else [])
+    wide = rows.agg(*[F.max(F.col(n)).cast("bigint").alias(n) for n in parts])
     wide = wide.withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows"))
-    names = list(parts) + ["dropped_rows"]
+    names = parts + ["dropped_rows"]
     if gold_count_col:
         wide = wide.withColumn("gold_matches_silver",
                                (F.col("gold_count_sum") == F.col("silver_rows")).cast("bigint"))

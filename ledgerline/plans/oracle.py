@@ -286,6 +286,7 @@ SELECT 'mortgage_risk', count(*), count(*), true FROM ({MORTGAGE_GOLD}) m""",
 SELECT 'loans_raw' AS source, count(*) AS row_count, CAST({len(standins.LOANS_RAW)} AS BIGINT) AS column_count
 FROM lineitem""",
     "merge_update": ORDERS_MERGED,
+    "replay_changes": ORDERS_MERGED,
     "key_lookup": f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice, length(CAST(o_orderkey AS VARCHAR)) AS id_length
 FROM ({ORDERS_MERGED}) m WHERE o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",

@@ -259,6 +259,12 @@ def q_change_log(spark, sf):
     return spark.read.parquet(log_root)
 
 
+def q_replay_changes(spark, sf):
+    """Rebuild the table from its source and replay the audit log onto it."""
+    _, _, log_root = _versioned(spark, sf)
+    return ch.replay_changes(_t(spark, sf, "orders"), spark.read.parquet(log_root), "o_orderkey", ORDER_SET)
+
+
 def q_version_history(spark, sf):
     table, _, _ = _versioned(spark, sf)
     return table.history().select("version", "operation", "num_output_rows", "num_updated_rows").limit(5)
@@ -372,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "key_lookup": q_key_lookup,
     "change_log": q_change_log,
     "version_history": q_version_history,
+    "replay_changes": q_replay_changes,
     "as_of_before_after": q_as_of_before_after,
     "stream_prefix_agg": q_stream_prefix_agg,
     "stream_available_now": q_stream_available_now,

@@ -81,3 +81,17 @@ def test_change_log_columns(spark):
     assert log.columns == ["id", "old_status", "new_status", "loan_amnt", "int_rate", "operation",
                            "source_system", "change_timestamp"]
     assert dict(log.dtypes)["change_timestamp"] == "timestamp"
+
+
+def test_replay_takes_latest_change_per_key(spark, tmp_dir):
+    changes1 = spark.createDataFrame([("1", "Current", "Late (16-30 days)", 150.0, 9.5)], CHANGES)
+    changes2 = spark.createDataFrame([("1", "Late (16-30 days)", "Charged Off", 140.0, 9.0),
+                                      ("2", "Current", "Fully Paid", 200.0, 11.0)], CHANGES)
+    ch.change_log(changes1, changes1.columns, dt.datetime(2026, 1, 1)).write.mode("append").parquet(f"{tmp_dir}/log")
+    ch.change_log(changes2, changes2.columns, dt.datetime(2026, 2, 1)).write.mode("append").parquet(f"{tmp_dir}/log")
+    log = spark.read.parquet(f"{tmp_dir}/log")
+    latest = {r.id: r for r in ch.latest_changes(log, "id").collect()}
+    assert latest["1"].new_status == "Charged Off" and latest["1"].change_timestamp == dt.datetime(2026, 2, 1)
+    out = {r.id: r for r in ch.replay_changes(_target(spark), log, "id", SET).collect()}
+    assert (out["1"].loan_status, out["1"].loan_amnt) == ("Charged Off", 140.0)
+    assert out["2"].loan_status == "Fully Paid" and out["3"].loan_status == "Current"
