@@ -160,11 +160,31 @@ HISTORY_SCHEMA = T.StructType([
 
 
 class VersionedTable:
-    """Immutable Parquet snapshots with a history table, under one root folder."""
+    """Immutable Parquet snapshots with a history table, under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``name``, ``bucket_by`` and ``buckets`` every version is also an
+    external catalog table ``<name>_v<n>`` bucketed on the key: a merge
+    against it shuffles only the change set (the target keeps its bucket
+    layout), and the merged result is written back without another shuffle.
+    Without a catalog entry (a new session) versions are read by path.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str | None = None,
+                 bucket_by: Sequence[str] | None = None, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.name = name
+        self.bucket_by = list(bucket_by or [])
+        self.buckets = buckets
+        if (buckets or self.bucket_by) and not (name and buckets and self.bucket_by):
+            raise ValueError("bucketed storage needs name, bucket_by and buckets")
+
+    @property
+    def bucketed(self) -> bool:
+        return bool(self.buckets)
+
+    def table_name(self, version: int) -> str:
+        return f"{self.name}_v{version}"
 
     def version_path(self, version: int) -> str:
         return f"{self.root}/v={version}"
@@ -191,6 +211,8 @@ class VersionedTable:
         return None if row is None or row[0] is None else int(row[0])
 
     def as_of(self, version: int) -> DataFrame:
+        if self.bucketed and self.spark.catalog.tableExists(self.table_name(version)):
+            return self.spark.table(self.table_name(version))
         return self.spark.read.parquet(self.version_path(version))
 
     def current(self) -> DataFrame:
@@ -200,12 +222,16 @@ class VersionedTable:
         return self.as_of(v)
 
     def commit(self, df: DataFrame, operation: str, at: _dt.datetime | None = None,
-               parameters: str | None = None, updated_col: str | None = None) -> int:
+               parameters: str | None = None, updated_col: str | None = None,
+               prepartitioned: bool = False) -> int:
         """Write ``df`` as the next version and record it in the history.
 
         Row counts are gathered by ``observe`` during the write (no second
         scan).  ``updated_col`` names a boolean column counted as updated
-        rows and dropped from the stored data.
+        rows and dropped from the stored data.  For bucketed storage,
+        ``prepartitioned`` says ``df`` already has the bucket layout (the
+        output of a merge against the previous version), so no shuffle is
+        added before the write.
         """
         prev = self.latest_version()
         version = 0 if prev is None else prev + 1
@@ -216,7 +242,13 @@ class VersionedTable:
         observed = df.observe(obs, *metrics)
         if updated_col:
             observed = observed.drop(updated_col)
-        observed.write.mode("overwrite").parquet(self.version_path(version))
+        if self.bucketed:
+            if not prepartitioned:
+                observed = observed.repartition(self.buckets, *self.bucket_by)
+            (observed.write.mode("overwrite").format("parquet").bucketBy(self.buckets, *self.bucket_by)
+             .option("path", self.version_path(version)).saveAsTable(self.table_name(version)))
+        else:
+            observed.write.mode("overwrite").parquet(self.version_path(version))
         m = obs.get
         when = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = (version, when, operation, parameters, int(m.get("rows", 0)),
@@ -236,7 +268,8 @@ def apply_changes(table: VersionedTable, changes: DataFrame, on: str | Sequence[
     merged = merge_update(table.current(), changes, on, set_columns,
                           broadcast_rows=broadcast_rows, keep_marker=True)
     version = table.commit(merged, "MERGE", at=at, updated_col=MATCH_MARKER,
-                           parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}")
+                           parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}",
+                           prepartitioned=table.bucketed and table.bucket_by == _keys(on))
     if log_root:
         cols = list(log_columns or changes.columns)
         change_log(changes, cols, at, operation, source_system).write.mode("append").parquet(log_root)

@@ -287,6 +287,7 @@ SELECT 'loans_raw' AS source, count(*) AS row_count, CAST({len(standins.LOANS_RA
 FROM lineitem""",
     "merge_update": ORDERS_MERGED,
     "replay_changes": ORDERS_MERGED,
+    "merge_bucketed": ORDERS_MERGED,
     "key_lookup": f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice, length(CAST(o_orderkey AS VARCHAR)) AS id_length
 FROM ({ORDERS_MERGED}) m WHERE o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",

@@ -235,6 +235,20 @@ def q_merge_update(spark, sf):
                            "o_orderkey", ORDER_SET)
 
 
+def q_merge_bucketed(spark, sf):
+    """The same change feed against snapshots stored bucketed on the key, so
+    a large change set shuffles alone and the target stays in place."""
+    import uuid
+    orders = _t(spark, sf, "orders")
+    table = ch.VersionedTable(spark, scratch_path(spark, "orders-bucketed"),
+                              name=f"ll_orders_{uuid.uuid4().hex[:10]}", bucket_by=["o_orderkey"],
+                              buckets=spark.sparkContext.defaultParallelism)
+    table.commit(orders, "WRITE", at=CHANGE_AT)
+    changes = order_changes(orders).withColumnRenamed("id", "o_orderkey")
+    version = ch.apply_changes(table, changes, "o_orderkey", ORDER_SET, at=CHANGE_AT)
+    return table.as_of(version)
+
+
 def _versioned(spark, sf):
     orders = _t(spark, sf, "orders")
     table = ch.VersionedTable(spark, scratch_path(spark, "orders-versions"))
@@ -375,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "export_verify": q_export_verify,
     "source_shape": q_source_shape,
     "merge_update": q_merge_update,
+    "merge_bucketed": q_merge_bucketed,
     "key_lookup": q_key_lookup,
     "change_log": q_change_log,
     "version_history": q_version_history,

@@ -95,3 +95,36 @@ def test_replay_takes_latest_change_per_key(spark, tmp_dir):
     out = {r.id: r for r in ch.replay_changes(_target(spark), log, "id", SET).collect()}
     assert (out["1"].loan_status, out["1"].loan_amnt) == ("Charged Off", 140.0)
     assert out["2"].loan_status == "Fully Paid" and out["3"].loan_status == "Current"
+
+
+def test_bucketed_versions_merge_without_target_shuffle(spark, tmp_dir):
+    import contextlib
+    import io
+    import uuid
+    from pyspark.sql import functions as F
+    name = f"loans_{uuid.uuid4().hex[:8]}"
+    table = ch.VersionedTable(spark, f"{tmp_dir}/bucketed", name=name, bucket_by=["id"], buckets=4)
+    base = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"), F.lit("Current").alias("loan_status"),
+                                       F.col("id").cast("double").alias("loan_amnt"), F.lit(10.0).alias("int_rate"),
+                                       F.lit("A").alias("grade"))
+    table.commit(base, "WRITE")
+    changes = spark.range(0, 2000, 3).select(F.col("id").cast("string").alias("id"), F.lit("Current").alias("old_status"),
+                                             F.lit("Default").alias("new_status"), F.lit(1.0).alias("loan_amnt"),
+                                             F.lit(2.0).alias("int_rate"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the shuffle join path
+    try:
+        merged = ch.merge_update(table.current(), changes, "id", SET, broadcast_rows=0)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            merged.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+        assert plan.count("Exchange hashpartitioning(id") == 1      # only the change set moves
+        v = ch.apply_changes(table, changes, "id", SET, broadcast_rows=0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    cur = table.as_of(v)
+    assert cur.filter("loan_status = 'Default'").count() == 667 and cur.count() == 2000
+    h = table.history().first()
+    assert (h.num_output_rows, h.num_updated_rows) == (2000, 667)
