@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -265,12 +266,18 @@ def apply_changes(table: VersionedTable, changes: DataFrame, on: str | Sequence[
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
     """Merge ``changes`` into the latest snapshot, commit the result as a new
     version, and append the audit rows to ``log_root`` (if given)."""
-    merged = merge_update(table.current(), changes, on, set_columns,
-                          broadcast_rows=broadcast_rows, keep_marker=True)
-    version = table.commit(merged, "MERGE", at=at, updated_col=MATCH_MARKER,
-                           parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}",
-                           prepartitioned=table.bucketed and table.bucket_by == _keys(on))
-    if log_root:
-        cols = list(log_columns or changes.columns)
-        change_log(changes, cols, at, operation, source_system).write.mode("append").parquet(log_root)
+    # the change set is read by the duplicate check, the size check, the join
+    # and the log: compute it once (blocks lost with an executor are recomputed)
+    changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        merged = merge_update(table.current(), changes, on, set_columns,
+                              broadcast_rows=broadcast_rows, keep_marker=True)
+        version = table.commit(merged, "MERGE", at=at, updated_col=MATCH_MARKER,
+                               parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}",
+                               prepartitioned=table.bucketed and table.bucket_by == _keys(on))
+        if log_root:
+            cols = list(log_columns or changes.columns)
+            change_log(changes, cols, at, operation, source_system).write.mode("append").parquet(log_root)
+    finally:
+        changes.unpersist()
     return version

@@ -27,18 +27,21 @@ from ledgerline.sources.files import read_layer, read_raw_csv, write_layer
 
 def loan_typed(raw: DataFrame, columns: Sequence[str] = presets.LOAN_SILVER_COLUMNS,
                date_pattern: str = presets.ISSUE_DATE_PATTERN) -> DataFrame:
-    """Projection and safe casts of the loan silver step, before any filter."""
+    """Projection and safe casts of the loan silver step, before any filter.
+
+    Amount, income and ratio text become doubles, the rate loses its ``%``;
+    ``term_months`` and ``issue_date`` are added when their text columns are
+    kept.  One projection, so Catalyst sees every cast at once.
+    """
     df = raw.select(*columns)
-    casts = {
-        "loan_amnt": safe_double("loan_amnt"),
-        "funded_amnt": safe_double("funded_amnt"),
-        "annual_inc": safe_double("annual_inc"),
-        "dti": safe_double("dti"),
-        "int_rate": strip_cast("int_rate", "%", "double"),
-        "term_months": strip_cast("term", " months", "int"),
-        "issue_date": month_date("issue_d", date_pattern),
-    }
-    return df.withColumns({k: v for k, v in casts.items() if k in df.columns or k in ("term_months", "issue_date")})
+    casts = {c: safe_double(c) for c in ("loan_amnt", "funded_amnt", "annual_inc", "dti") if c in df.columns}
+    if "int_rate" in df.columns:
+        casts["int_rate"] = strip_cast("int_rate", "%", "double")
+    if "term" in df.columns:
+        casts["term_months"] = strip_cast("term", " months", "int")
+    if "issue_d" in df.columns:
+        casts["issue_date"] = month_date("issue_d", date_pattern)
+    return df.withColumns(casts)
 
 
 def loan_silver(raw: DataFrame, statuses: Sequence[str] = presets.LOAN_STATUSES,

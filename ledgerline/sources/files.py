@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,9 +81,13 @@ def export_parquet(df: DataFrame, path: str, single_file_rows: int = SMALL_EXPOR
     a larger one keeps its partitioning so the write stays parallel.
     Returns the rows written.
     """
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    out = df.coalesce(1) if small else df
-    return write_layer(out, path, "overwrite")
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)  # computed once for the check and the write
+    try:
+        small = kept.limit(single_file_rows + 1).count() <= single_file_rows
+        out = kept.coalesce(1) if small else kept
+        return write_layer(out, path, "overwrite")
+    finally:
+        kept.unpersist()
 
 
 def export_tables(tables: Mapping[str, DataFrame], root: str,

@@ -4,7 +4,6 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import fill_template
