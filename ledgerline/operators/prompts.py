@@ -180,15 +180,25 @@ NARRATIVE_COLUMNS = ["grade", "loan_status", "risk_tier"]
 
 
 def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
-                     version: str = "risk_narrative_v1.0",
+                     version: str | None = None,
                      statuses: Sequence[str] = presets.NARRATIVE_STATUSES,
                      registry: Mapping[str, Mapping[str, str]] = presets.PROMPT_REGISTRY,
                      keys: Sequence[str] = NARRATIVE_COLUMNS, batch_size: int = 8) -> DataFrame:
     """Narrative table: one generated text per gold segment of the given
     statuses -- grade, loan_status, risk_tier, ai_risk_narrative, plus the
-    call's version, model, tokens and cost."""
+    prompt version, model, tokens and cost of the call.
+
+    Without ``version`` the per-segment narrative prompt is used
+    (``presets.SEGMENT_NARRATIVE_TEMPLATE``, default model); with one, that
+    registry version.
+    """
     segments = gold.filter(F.col("loan_status").isin(list(statuses)))
-    prompts = render_prompts(segments, [version], registry, keep=list(keys))
+    if version is None:
+        prompts = segments.select(*keys, F.lit("segment_narrative").alias("prompt_version"),
+                                  F.lit(presets.DEFAULT_MODEL).alias("model"),
+                                  fill_template(presets.SEGMENT_NARRATIVE_TEMPLATE).alias("prompt"))
+    else:
+        prompts = render_prompts(segments, [version], registry, keep=list(keys))
     calls = generate(prompts, client_factory, "prompt", batch_size)
     return token_cost(calls.withColumnRenamed("narrative", "ai_risk_narrative").drop("prompt"))
 

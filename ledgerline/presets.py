@@ -112,6 +112,24 @@ PRICES = {
     "claude-sonnet-4-6": {"input_cost_per_1k": 0.003, "output_cost_per_1k": 0.015},
 }
 
+# Prompt of the per-segment narrative step.  Same text as registry v1.0 except
+# that its blank line carries four spaces.
+SEGMENT_NARRATIVE_TEMPLATE = """You are a credit risk analyst. Write a 2 sentence risk narrative for this loan segment:
+    
+Grade: {grade}
+Risk Tier: {risk_tier}
+Loan Status: {loan_status}
+Loan Count: {loan_count}
+Avg Loan Amount: ${avg_loan_amt:,.2f}
+Avg Interest Rate: {avg_interest_rate}%
+Avg DTI: {avg_dti}
+Total Volume: ${total_loan_volume:,.2f}
+
+Be specific, use the numbers, and focus on credit risk implications."""
+
+# Output token limit of a narrative call.
+NARRATIVE_MAX_TOKENS = 150
+
 PROMPT_REGISTRY = {
     "risk_narrative_v1.0": {
         "version": "1.0",

@@ -108,3 +108,9 @@ def test_narrative_table_and_cost_log(spark, tmp_dir):
     pr.write_cost_log(narr, f"{tmp_dir}/cost_log")
     log = spark.read.parquet(f"{tmp_dir}/cost_log")
     assert log.count() == 2 and "narrative" in log.columns
+
+
+def test_segment_prompt_keeps_its_indented_blank_line(spark):
+    text = _segments(spark).select(fill_template(presets.SEGMENT_NARRATIVE_TEMPLATE).alias("t")).first().t
+    assert text == presets.SEGMENT_NARRATIVE_TEMPLATE.format(**TEST_VARIABLES)
+    assert text.splitlines()[1] == "    "
