@@ -144,10 +144,18 @@ def before_after(before: DataFrame, after: DataFrame, keys_df: DataFrame, on: st
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on the (possibly remote) file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether ``path`` exists on the (possibly remote) file system: a Hadoop
+    file-system call on a classic session, a zero-row read under Connect."""
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        try:
+            spark.read.format("binaryFile").load(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 HISTORY_SCHEMA = T.StructType([

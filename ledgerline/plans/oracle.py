@@ -204,6 +204,15 @@ def _pct(num: str, den: str) -> str:
     return f"{_round(f"CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE {num}) / nullif(count(*) FILTER (WHERE {den}), 0)", 1)}"
 
 
+# DuckDB forms of presets.BRONZE_LOAN_EXPECTATIONS
+BRONZE_CHECKS_SQL = {
+    "id_present": "id IS NOT NULL",
+    "loan_amnt_numeric": "TRY_CAST(loan_amnt AS DOUBLE) IS NOT NULL",
+    "annual_inc_numeric": "TRY_CAST(annual_inc AS DOUBLE) IS NOT NULL",
+    "loan_status_known": f"loan_status IN ({_in_list(presets.LOAN_STATUSES)})",
+    "issue_d_month_year": "try_strptime(issue_d, '%b-%Y') IS NOT NULL",
+}
+
 INCOME_BAND = ("CASE WHEN income IS NULL THEN 'unknown' WHEN income < 50 THEN 'under 50' "
                "WHEN income < 100 THEN '50 to 100' ELSE '100 and over' END")
 
@@ -235,6 +244,11 @@ GROUP BY grade, loan_status""",
         f"count(*) FILTER (WHERE coalesce({cond}, false)) AS passed_rows, "
         f"count(*) FILTER (WHERE NOT coalesce({cond}, false)) AS failed_rows FROM ({DECL_TYPED}) t"
         for name, cond in presets.LOAN_EXPECTATIONS.items()),
+    "bronze_validation": " UNION ALL ".join(
+        f"SELECT {_q(name)} AS expectation, count(*) AS total_rows, "
+        f"count(*) FILTER (WHERE coalesce({cond}, false)) AS passed_rows, "
+        f"count(*) FILTER (WHERE NOT coalesce({cond}, false)) AS failed_rows FROM ({LOANS_RAW}) r"
+        for name, cond in BRONZE_CHECKS_SQL.items()),
     "layer_reconcile": f"""
 WITH s AS ({LOAN_SILVER}), g AS (SELECT grade, loan_status, count(id) AS loan_count FROM s GROUP BY grade, loan_status),
 c AS (SELECT (SELECT count(*) FROM lineitem) AS bronze_rows, (SELECT count(*) FROM s) AS silver_rows,

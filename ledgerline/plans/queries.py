@@ -23,7 +23,7 @@ from ledgerline.operators.filters import ordered_subset
 from ledgerline.operators.policy import masked_view, region_policy
 from ledgerline.operators.quality import expectation_report, reconcile, source_shape
 from ledgerline.plans import chains, standins
-from ledgerline.session import scratch_path, table_path
+from ledgerline.session import default_parallelism, scratch_path, table_path
 from ledgerline.sources.files import (export_manifest, export_tables, read_layer, read_raw_csv,
                                       verify_export, write_csv)
 from ledgerline.streaming.running import (assign_batches, land_batches, prefix_aggregate,
@@ -91,7 +91,7 @@ def q_loan_gold(spark, sf):
 def land_raw(spark, raw: DataFrame, path: str) -> None:
     """Land raw text the way an upstream export does: gzip CSV, one file per
     writer task."""
-    write_csv(raw.repartition(spark.sparkContext.defaultParallelism), path)
+    write_csv(raw.repartition(default_parallelism(spark)), path)
 
 
 def q_loan_chain_e2e(spark, sf):
@@ -100,7 +100,7 @@ def q_loan_chain_e2e(spark, sf):
     root = scratch_path(spark, "loan-chain")
     land_raw(spark, loans_raw(spark, sf), f"{root}/raw")
     run = chains.run_loan_chain(spark, f"{root}/raw", root,
-                                partitions=spark.sparkContext.defaultParallelism)
+                                partitions=default_parallelism(spark))
     return read_layer(spark, run.paths["gold"])
 
 
@@ -112,6 +112,11 @@ def q_expectation_report(spark, sf):
     return expectation_report(chains.declarative_typed(loans_raw(spark, sf)), presets.LOAN_EXPECTATIONS)
 
 
+def q_bronze_validation(spark, sf):
+    """Expectations on the raw text itself, before any cast or filter."""
+    return expectation_report(loans_raw(spark, sf), presets.BRONZE_LOAN_EXPECTATIONS)
+
+
 def q_layer_reconcile(spark, sf):
     raw = loans_raw(spark, sf)
     silver = chains.loan_silver(raw)
@@ -166,7 +171,7 @@ def q_mortgage_chain_e2e(spark, sf):
     root = scratch_path(spark, "mortgage-chain")
     land_raw(spark, mortgage_raw(spark, sf), f"{root}/raw")
     run = chains.run_mortgage_chain(spark, f"{root}/raw", root,
-                                    partitions=spark.sparkContext.defaultParallelism)
+                                    partitions=default_parallelism(spark))
     return read_layer(spark, run.paths["gold"])
 
 
@@ -182,7 +187,7 @@ def q_bronze_csv_roundtrip(spark, sf):
     cust = _t(spark, sf, "customer")
     path = scratch_path(spark, "csv-roundtrip")
     write_csv(cust, path)
-    raw = read_raw_csv(spark, path, partitions=spark.sparkContext.defaultParallelism)
+    raw = read_raw_csv(spark, path, partitions=default_parallelism(spark))
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in cust.schema.fields])
 
 
@@ -242,7 +247,7 @@ def q_merge_bucketed(spark, sf):
     orders = _t(spark, sf, "orders")
     table = ch.VersionedTable(spark, scratch_path(spark, "orders-bucketed"),
                               name=f"ll_orders_{uuid.uuid4().hex[:10]}", bucket_by=["o_orderkey"],
-                              buckets=spark.sparkContext.defaultParallelism)
+                              buckets=default_parallelism(spark))
     table.commit(orders, "WRITE", at=CHANGE_AT)
     changes = order_changes(orders).withColumnRenamed("id", "o_orderkey")
     version = ch.apply_changes(table, changes, "o_orderkey", ORDER_SET, at=CHANGE_AT)
@@ -306,7 +311,7 @@ def q_stream_available_now(spark, sf):
     events = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
     ev = assign_batches(events, "event_id", STREAM_BATCHES, "arrival_batch")
     root = scratch_path(spark, "stream")
-    files = spark.sparkContext.defaultParallelism
+    files = default_parallelism(spark)
     land_batches(ev, "arrival_batch", f"{root}/landing", STREAM_BATCHES, files_per_batch=files)
     out = run_available_now(spark, f"{root}/landing", ev.schema, ["event_type"], STREAM_MEASURES,
                             f"{root}/sink", f"{root}/checkpoint", files_per_trigger=files,
@@ -371,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "loan_chain_e2e": q_loan_chain_e2e,
     "declarative_gold": q_declarative_gold,
     "expectation_report": q_expectation_report,
+    "bronze_validation": q_bronze_validation,
     "layer_reconcile": q_layer_reconcile,
     "default_rate": q_default_rate,
     "gold_regroup": q_gold_regroup,

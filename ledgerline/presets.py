@@ -51,6 +51,19 @@ LOAN_EXPECTATIONS = {
     ),
 }
 
+# Bronze validation of the raw loan text (reported, rows are not dropped).
+# Not in the original code, which only claims bronze validation.
+BRONZE_LOAN_EXPECTATIONS = {
+    "id_present": "id IS NOT NULL",
+    "loan_amnt_numeric": "try_cast(loan_amnt AS DOUBLE) IS NOT NULL",
+    "annual_inc_numeric": "try_cast(annual_inc AS DOUBLE) IS NOT NULL",
+    "loan_status_known": (
+        "loan_status IN ('Fully Paid', 'Charged Off', 'Current', "
+        "'Late (31-120 days)', 'Late (16-30 days)', 'In Grace Period', 'Default')"
+    ),
+    "issue_d_month_year": "try_to_date(issue_d, 'MMM-yyyy') IS NOT NULL",
+}
+
 # Statuses the narrative step and the rate report look at.
 NARRATIVE_STATUSES = ["Fully Paid", "Charged Off"]
 

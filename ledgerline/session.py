@@ -42,15 +42,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
+    """The cluster's shared checkpoint folder; set a local one only if unset
+    (local runs and tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
+        if sc is None:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for scratch output")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

@@ -26,8 +26,13 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], partitions: int
     paths = [path] if isinstance(path, str) else list(path)
     df = (spark.read.option("header", "true").option("inferSchema", "false")
           .option("sep", sep).option("multiLine", "false").csv(paths))
-    if partitions and df.rdd.getNumPartitions() < partitions:
-        df = df.repartition(partitions)
+    if partitions:
+        try:
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view under Spark Connect: always spread
+            splits = 0
+        if splits < partitions:
+            df = df.repartition(partitions)
     return df
 
 
