@@ -151,7 +151,7 @@ FROM events e, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) b
 """
 
 STREAM_PREFIX = f"""
-SELECT n.batch, e.event_type, count(e.event_id) AS count, {_avg_exact("e.value", 2)} AS avg_amount,
+SELECT CAST(n.batch AS INTEGER) AS batch, e.event_type, count(e.event_id) AS count, {_avg_exact("e.value", 2)} AS avg_amount,
        {_avg_exact("e.user_id", 0)} AS avg_score
 FROM ({EVENT_BATCHES}) e JOIN range(1, {STREAM_BATCHES + 1}) n(batch) ON e.arrival_batch <= n.batch
 GROUP BY n.batch, e.event_type
@@ -303,7 +303,7 @@ FROM lineitem""",
     "replay_changes": ORDERS_MERGED,
     "merge_bucketed": ORDERS_MERGED,
     "key_lookup": f"""
-SELECT o_orderkey, o_orderstatus, o_totalprice, length(CAST(o_orderkey AS VARCHAR)) AS id_length
+SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(length(CAST(o_orderkey AS VARCHAR)) AS INTEGER) AS id_length
 FROM ({ORDERS_MERGED}) m WHERE o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",
     "change_log": f"""
 SELECT id AS o_orderkey, old_status, new_status, loan_amnt, {_q(presets.CHANGE_OPERATION)} AS operation,

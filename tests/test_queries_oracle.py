@@ -9,6 +9,9 @@ import pytest
 import __spark_entry__ as se
 from tests.conftest import SF_SMALL
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -43,6 +46,8 @@ def test_query_matches_oracle(spark, con, name):
     cur = con.execute(se.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
+    otypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {se.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == otypes
     assert _rows(df.columns, rows) == _rows(ocols, cur.fetchall())
 
 
