@@ -45,10 +45,11 @@ def test_query_matches_oracle(spark, con, name):
     rows = [tuple(r) for r in df.collect()]
     cur = con.execute(se.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
+    orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     otypes = {r[0]: r[1] for r in con.execute(f"DESCRIBE {se.oracle_sql()[name]}").fetchall()}
     assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == otypes
-    assert _rows(df.columns, rows) == _rows(ocols, cur.fetchall())
+    assert _rows(df.columns, rows) == _rows(ocols, orows)
 
 
 def test_queries_without_oracle_produce_rows(spark):
