@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,26 +54,54 @@ def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure])
     return df.groupBy(*group).agg(*aggs), finals
 
 
+SPREAD_LIMIT = 64
+
+
 def prefix_aggregate(df: DataFrame, batch_col: str, keys: Sequence[str], measures: Sequence[Measure],
                      n_batches: int, digits: dict[str, int] | None = None,
-                     out_batch: str = "batch") -> DataFrame:
-    """Aggregate of batches 1..b for every b in 1..n, per key."""
+                     out_batch: str = "batch", spread_limit: int = SPREAD_LIMIT) -> DataFrame:
+    """Aggregate of batches 1..b for every b in 1..n, per key.
+
+    Both forms start from per-(batch, key) partial aggregates, so the data
+    is scanned and shuffled once.  Up to ``spread_limit`` batches each
+    partial row is copied to the prefixes it belongs to (at most n copies of
+    a tiny frame).  Beyond that the copies would grow with n squared, so a
+    per-key grid of batches (from the key's first batch to n, made with
+    ``explode``, no cross join) is left-joined to the partials and summed
+    with a running window per key: linear in keys x batches.
+    """
     digits = digits or {}
     partial, finals = _partials(df, [batch_col, *keys], measures)
-    spread = partial.withColumn(out_batch, F.explode(F.sequence(F.col(batch_col).cast("int"), F.lit(n_batches))))
-    if out_batch != batch_col:
-        spread = spread.drop(batch_col)
-    aggs = []
+    if n_batches <= spread_limit:
+        spread = partial.withColumn(out_batch, F.explode(F.sequence(F.col(batch_col).cast("int"),
+                                                                   F.lit(n_batches))))
+        if out_batch != batch_col:
+            spread = spread.drop(batch_col)
+        aggs = []
+        for name, fn, cols in finals:
+            if fn == "count":
+                aggs.append(F.sum(cols[0]).cast("bigint").alias(name))
+                continue
+            out = F.sum(cols[0]) if fn == "sum" else F.sum(cols[0]) / F.sum(cols[1])
+            aggs.append(to_double(out, digits.get(name)).alias(name))
+        return spread.groupBy(out_batch, *keys).agg(*aggs)
+
+    parts = partial.withColumnRenamed(batch_col, out_batch).withColumn(out_batch, F.col(out_batch).cast("int"))
+    grid = (parts.groupBy(*keys).agg(F.min(out_batch).alias("__ll_first"))
+            .select(*keys, F.explode(F.sequence(F.col("__ll_first"), F.lit(n_batches))).alias(out_batch)))
+    joined = grid.join(parts, [*keys, out_batch], "left")
+    w = Window.partitionBy(*keys).orderBy(out_batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    outs = []
     for name, fn, cols in finals:
         if fn == "count":
-            aggs.append(F.sum(cols[0]).cast("bigint").alias(name))
+            outs.append(F.coalesce(F.sum(cols[0]).over(w), F.lit(0)).cast("bigint").alias(name))
             continue
         if fn == "sum":
-            out = F.sum(cols[0])
+            out = F.sum(cols[0]).over(w)
         else:
-            out = F.sum(cols[0]) / F.sum(cols[1])
-        aggs.append(to_double(out, digits.get(name)).alias(name))
-    return spread.groupBy(out_batch, *keys).agg(*aggs)
+            out = F.sum(cols[0]).over(w) / F.sum(cols[1]).over(w)
+        outs.append(to_double(out, digits.get(name)).alias(name))
+    return joined.select(out_batch, *keys, *outs)
 
 
 def land_batches(df: DataFrame, batch_col: str, landing_dir: str, n_batches: int,

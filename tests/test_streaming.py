@@ -63,3 +63,17 @@ def test_available_now_stream_equals_batch_form(spark):
         got = {r.loan_purpose: (r["count"], r.avg_amount, r.avg_score)
                for r in out.filter(F.col("batch_id") == b - 1).collect()}
         assert got == _brute(df, b)
+
+
+def test_prefix_forms_agree_for_many_batches(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(rnd.randint(1, 80), rnd.choice("abcd"), round(rnd.uniform(0, 1000), 2)) for _ in range(600)]
+    rows.append((80, "late", 5.0))          # a key that appears only in the last batch
+    df = spark.createDataFrame(rows, "b int, k string, v double")
+    m = [("n", "count", "*"), ("avg_v", "avg", "v"), ("sum_v", "sum", "v")]
+    spread = prefix_aggregate(df, "b", ["k"], m, 80, {"avg_v": 2, "sum_v": 2}, spread_limit=1000)
+    windowed = prefix_aggregate(df, "b", ["k"], m, 80, {"avg_v": 2, "sum_v": 2}, spread_limit=10)
+    a = sorted(tuple(r) for r in spread.select("batch", "k", "n", "avg_v", "sum_v").collect())
+    b = sorted(tuple(r) for r in windowed.select("batch", "k", "n", "avg_v", "sum_v").collect())
+    assert a == b and len(a) == sum(80 - min(r[0] for r in rows if r[1] == k) + 1 for k in "abcd") + 1
