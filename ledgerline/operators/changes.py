@@ -77,14 +77,28 @@ def merge_update(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
     columns are untouched, a change may set NULL (the match marker, not the
     value, decides).  With ``keep_marker`` the boolean column
     ``__ll_matched`` is kept for metrics.
+
+    One aggregate over the change set (before the join) counts its rows and
+    its repeated keys: the change set is broadcast only if it has at most
+    ``broadcast_rows`` rows, and the target is consulted for the duplicate
+    guard only when repeated keys exist.
     """
     keys = _keys(on)
-    if check_duplicates and has_ambiguous_match(target, changes, keys, broadcast_rows):
-        raise ValueError("merge refused: several change rows match the same target row")
     tschema = {f.name: f.dataType for f in target.schema.fields}
     src = changes.select(*keys, *[F.col(s).alias(f"__ll_src_{t}") for t, s in set_columns.items()],
                          F.lit(True).alias(MATCH_MARKER))
-    src = sized_broadcast(src, broadcast_rows)
+    # one pass over the change set gives its size and its repeated keys
+    key_present = F.lit(True)
+    for k in keys:
+        key_present = key_present & F.col(k).isNotNull()
+    stats = (changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.sum("n").alias("rows"), F.count_if((F.col("n") > 1) & key_present).alias("dups"))
+             .first())
+    rows, dups = int(stats["rows"] or 0), int(stats["dups"] or 0)
+    if check_duplicates and dups and has_ambiguous_match(target, changes, keys, broadcast_rows):
+        raise ValueError("merge refused: several change rows match the same target row")
+    if rows <= broadcast_rows:
+        src = F.broadcast(src)
     joined = target.join(src, keys, "left")
     matched = F.coalesce(F.col(MATCH_MARKER), F.lit(False))
     cols = []

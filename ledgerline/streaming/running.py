@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -114,9 +115,13 @@ def land_batches(df: DataFrame, batch_col: str, landing_dir: str, n_batches: int
     ``maxFilesPerTrigger=files_per_batch`` sees exactly one batch per trigger
     (each batch must hold at least ``files_per_batch`` rows).
     """
-    for b in range(1, n_batches + 1):
-        (df.filter(F.col(batch_col) == b).repartition(files_per_batch)
-         .write.mode("append").parquet(landing_dir))
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)  # one scan of the source for all batches
+    try:
+        for b in range(1, n_batches + 1):
+            (kept.filter(F.col(batch_col) == b).repartition(files_per_batch)
+             .write.mode("append").parquet(landing_dir))
+    finally:
+        kept.unpersist()
 
 
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
