@@ -37,8 +37,10 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], partitions: int
 
 
 def write_csv(df: DataFrame, path: str, compression: str | None = "gzip", mode: str = "overwrite") -> None:
-    """Header CSV, one file per partition."""
-    w = df.write.mode(mode).option("header", "true")
+    """Header CSV, one file per partition; values are written verbatim
+    (Spark's writer trims surrounding blanks unless told not to)."""
+    w = (df.write.mode(mode).option("header", "true")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)

@@ -53,6 +53,7 @@ def test_csv_roundtrip_and_export(spark, tmp_dir, loans_raw):
     assert back.rdd.getNumPartitions() == 4
     assert set(back.columns) == set(loans_raw.columns) and dict(back.dtypes)["loan_amnt"] == "string"
     assert back.count() == loans_raw.count()
+    assert back.filter("id = '1'").first().term == " 36 months"      # raw text kept verbatim
     gold = chains.loan_chain(loans_raw)
     rows = files.export_tables({"loan_risk": gold}, f"{tmp_dir}/export")
     assert rows == {"loan_risk": 4}
