@@ -140,16 +140,30 @@ Client = Callable[[list[str]], list[tuple[str, int, int]]]
 
 
 def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: str = "prompt",
-             batch_size: int = 8) -> DataFrame:
+             batch_size: int = 8, max_retries: int = 3, backoff_s: float = 1.0) -> DataFrame:
     """Call a text model for every row's prompt, in parallel across partitions.
 
     ``client_factory`` is pickled to the executors and called once per
     partition; the client receives up to ``batch_size`` prompts per call.
-    Adds narrative, input_tokens, output_tokens, duration_ms (per prompt,
-    the call time divided evenly over the batch) and started_at.
+    A failing call is retried ``max_retries`` times with exponential backoff
+    before the task fails (a failed task is retried by Spark, which calls
+    the model again for that partition only).  Adds narrative, input_tokens,
+    output_tokens, duration_ms (per prompt, the successful call's time
+    divided evenly over the batch) and started_at.
     """
     schema = T.StructType(list(df.schema.fields) + GENERATED_FIELDS)
 
+    def call(client, chunk):
+        for attempt in range(max_retries + 1):
+            try:
+                started = datetime.now()
+                t0 = time.perf_counter()
+                return client(chunk), started, (time.perf_counter() - t0) * 1000.0
+            except Exception:  # noqa: BLE001 - provider errors are opaque here
+                if attempt == max_retries:
+                    raise
+                time.sleep(backoff_s * (2 ** attempt))
+
     def run(batches):
         client = client_factory()
         for pdf in batches:
@@ -157,10 +171,7 @@ def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: st
             prompts = pdf[prompt_col].tolist()
             for i in range(0, len(prompts), batch_size):
                 chunk = prompts[i:i + batch_size]
-                started = datetime.now()
-                t0 = time.perf_counter()
-                results = client(chunk)
-                elapsed = (time.perf_counter() - t0) * 1000.0
+                results, started, elapsed = call(client, chunk)
                 if len(results) != len(chunk):
                     raise ValueError("client returned a different number of results than prompts")
                 for text, n_in, n_out in results:

@@ -114,3 +114,19 @@ def test_segment_prompt_keeps_its_indented_blank_line(spark):
     text = _segments(spark).select(fill_template(presets.SEGMENT_NARRATIVE_TEMPLATE).alias("t")).first().t
     assert text == presets.SEGMENT_NARRATIVE_TEMPLATE.format(**TEST_VARIABLES)
     assert text.splitlines()[1] == "    "
+
+
+def test_generate_retries_transient_failures(spark):
+    def factory():
+        state = {"calls": 0}
+
+        def client(prompts):
+            state["calls"] += 1
+            if state["calls"] % 2 == 1:
+                raise ConnectionError("transient")
+            return [("ok", 1, 1) for _ in prompts]
+        return client
+
+    prompts = pr.render_prompts(_segments(spark), ["risk_narrative_v1.0"], keep=["grade"])
+    out = pr.generate(prompts, factory, backoff_s=0.01).collect()
+    assert [r.narrative for r in out] == ["ok"]
