@@ -288,6 +288,16 @@ SELECT applicant_race, {INCOME_BAND} AS income_band, count(*) FILTER (WHERE acti
        count(*) AS denominator_rows, {_pct("action_label = 'Denied'", "true")} AS denial_pct
 FROM ({MORTGAGE_SILVER}) s GROUP BY applicant_race, {INCOME_BAND}""",
     "mortgage_chain_e2e": MORTGAGE_GOLD,
+    "mortgage_quality": " UNION ALL ".join(
+        f"SELECT {_q(name)} AS expectation, count(*) AS total_rows, "
+        f"count(*) FILTER (WHERE coalesce({cond}, false)) AS passed_rows, "
+        f"count(*) FILTER (WHERE NOT coalesce({cond}, false)) AS failed_rows FROM ({MORTGAGE_SILVER}) s"
+        for name, cond in {
+            "dti_numeric": "TRY_CAST(replace(debt_to_income_ratio, '%', '') AS DOUBLE) IS NOT NULL",
+            "interest_rate_present": "interest_rate IS NOT NULL",
+            "income_present": "income IS NOT NULL",
+            "loan_term_present": "loan_term IS NOT NULL",
+        }.items()),
     "ordered_subset": f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {DEV_SUBSET_ROWS}",
     "bronze_csv_roundtrip": "SELECT * FROM customer",
     "export_roundtrip": LOAN_GOLD,

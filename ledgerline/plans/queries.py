@@ -9,6 +9,7 @@ checkpoint folder first and return a read of what they wrote.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -167,6 +168,12 @@ def q_denial_rate_by_group(spark, sf):
     return chains.denial_rate(silver, ["applicant_race", "income_band"])
 
 
+def q_mortgage_quality(spark, sf):
+    """Share of kept applications whose fields are usable: unparseable ratio
+    text (ranges such as 20%-<30%) silently drops out of avg_dti, so report it."""
+    return expectation_report(chains.mortgage_silver(mortgage_raw(spark, sf)), presets.MORTGAGE_EXPECTATIONS)
+
+
 def q_mortgage_chain_e2e(spark, sf):
     root = scratch_path(spark, "mortgage-chain")
     land_raw(spark, mortgage_raw(spark, sf), f"{root}/raw")
@@ -243,7 +250,6 @@ def q_merge_update(spark, sf):
 def q_merge_bucketed(spark, sf):
     """The same change feed against snapshots stored bucketed on the key, so
     a large change set shuffles alone and the target stays in place."""
-    import uuid
     orders = _t(spark, sf, "orders")
     table = ch.VersionedTable(spark, scratch_path(spark, "orders-bucketed"),
                               name=f"ll_orders_{uuid.uuid4().hex[:10]}", bucket_by=["o_orderkey"],
@@ -388,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "denial_rate": q_denial_rate,
     "denial_rate_by_group": q_denial_rate_by_group,
     "mortgage_chain_e2e": q_mortgage_chain_e2e,
+    "mortgage_quality": q_mortgage_quality,
     "ordered_subset": q_ordered_subset,
     "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
     "export_roundtrip": q_export_roundtrip,

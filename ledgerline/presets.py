@@ -112,6 +112,15 @@ MORTGAGE_SILVER_COLUMNS = [
     "applicant_sex", "applicant_age", "county_code",
 ]
 
+# Usability of mortgage silver fields (reported, rows are kept).  Not in the
+# original code; it makes the NULL share behind each average visible.
+MORTGAGE_EXPECTATIONS = {
+    "dti_numeric": "try_cast(replace(debt_to_income_ratio, '%', '') AS DOUBLE) IS NOT NULL",
+    "interest_rate_present": "interest_rate IS NOT NULL",
+    "income_present": "income IS NOT NULL",
+    "loan_term_present": "loan_term IS NOT NULL",
+}
+
 # --- FIXED VALUES (change feed) ---------------------------------------------
 
 CHANGE_OPERATION = "UPDATE"
