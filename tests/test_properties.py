@@ -72,3 +72,14 @@ def test_template_matches_python_format(spark, grade, count, amount, rate):
     df = spark.createDataFrame([(grade, count, amount, rate)], "grade string, count bigint, amount double, rate double")
     got = df.select(fill_template(template).alias("t")).first().t
     assert got == template.format(grade=grade, count=count, amount=amount, rate=rate)
+
+
+@SETTINGS
+@given(mapping=st.dictionaries(st.text(alphabet="0123456789", min_size=1, max_size=3),
+                               st.text(alphabet="abcXYZ ", min_size=1, max_size=8), max_size=90),
+       codes=st.lists(st.none() | st.text(alphabet="0123456789", min_size=1, max_size=3), min_size=1, max_size=20))
+def test_decode_matches_dict_lookup(spark, mapping, codes):
+    from ledgerline.functions.codes import decode
+    df = spark.createDataFrame([(c,) for c in codes], "c string")
+    got = [r[0] for r in df.select(decode("c", mapping, "Other")).collect()]
+    assert got == [mapping.get(c, "Other") if c is not None else "Other" for c in codes]

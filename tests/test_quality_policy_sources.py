@@ -43,6 +43,11 @@ def test_masking_and_row_policy(spark):
                .filter("r_name = 'EUROPE'").collect()}
     assert eu.count() == cust.filter(F.col("c_nationkey").isin(list(allowed))).count() > 0
     assert row_policy(cust, cust.limit(0), "c_custkey").count() == 0
+    import hashlib
+    first = cust.orderBy("c_custkey").first()
+    hashed = masked_view(cust, {"c_name": "sha256", "c_mktsegment": "redact"}).orderBy("c_custkey").first()
+    assert hashed.c_name == hashlib.sha256(first.c_name.encode()).hexdigest() and hashed.c_mktsegment == "****"
+    assert hashed.c_acctbal == first.c_acctbal
 
 
 def test_csv_roundtrip_and_export(spark, tmp_dir, loans_raw):
