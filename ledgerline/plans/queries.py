@@ -89,17 +89,18 @@ def q_loan_gold(spark, sf):
     return chains.loan_chain(loans_raw(spark, sf))
 
 
-def land_raw(spark, raw: DataFrame, path: str) -> None:
+def land_raw(spark, source: DataFrame, derive: Callable[[DataFrame], DataFrame], path: str) -> None:
     """Land raw text the way an upstream export does: gzip CSV, one file per
-    writer task."""
-    write_csv(raw.repartition(default_parallelism(spark)), path)
+    writer task.  The (numeric, narrow) source rows are spread first so the
+    text derivation and compression run in parallel."""
+    write_csv(derive(source.repartition(default_parallelism(spark))), path)
 
 
 def q_loan_chain_e2e(spark, sf):
     """Raw text lands as gzip CSV, then bronze, silver and gold are written
     as layers and gold is read back."""
     root = scratch_path(spark, "loan-chain")
-    land_raw(spark, loans_raw(spark, sf), f"{root}/raw")
+    land_raw(spark, _t(spark, sf, "lineitem"), standins.loans_raw, f"{root}/raw")
     run = chains.run_loan_chain(spark, f"{root}/raw", root,
                                 partitions=default_parallelism(spark))
     return read_layer(spark, run.paths["gold"])
@@ -176,7 +177,7 @@ def q_mortgage_quality(spark, sf):
 
 def q_mortgage_chain_e2e(spark, sf):
     root = scratch_path(spark, "mortgage-chain")
-    land_raw(spark, mortgage_raw(spark, sf), f"{root}/raw")
+    land_raw(spark, _t(spark, sf, "lineitem"), standins.mortgage_raw, f"{root}/raw")
     run = chains.run_mortgage_chain(spark, f"{root}/raw", root,
                                     partitions=default_parallelism(spark))
     return read_layer(spark, run.paths["gold"])
