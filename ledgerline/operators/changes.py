@@ -144,13 +144,30 @@ def replay_changes(base: DataFrame, log: DataFrame, on: str | Sequence[str], set
 
 
 def before_after(before: DataFrame, after: DataFrame, keys_df: DataFrame, on: str,
-                 columns: Sequence[str], broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Side-by-side values of the keys in ``keys_df`` in two snapshots:
-    ``<key>, <col>_before, <col>_after`` for each column."""
+                 columns: Sequence[str], broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 layout: str = "wide") -> DataFrame:
+    """Values of the keys in ``keys_df`` in two snapshots.
+
+    ``layout="wide"``: one row per key, ``<key>, <col>_before, <col>_after``
+    (a full outer join; the key must be unique in each snapshot, as a
+    primary key is -- a repeated key raises instead of pairing every row with
+    every other).  ``layout="long"``: the rows of both snapshots tagged
+    ``snapshot = 'before' | 'after'`` (a union, any keys).
+    """
     keys = sized_broadcast(keys_df.select(on).distinct(), broadcast_rows)
-    b = before.join(keys, on, "left_semi").select(on, *[F.col(c).alias(f"{c}_before") for c in columns])
-    a = after.join(keys, on, "left_semi").select(on, *[F.col(c).alias(f"{c}_after") for c in columns])
-    out = b.join(a, on, "full")
+    b = before.join(keys, on, "left_semi").select(on, *columns)
+    a = after.join(keys, on, "left_semi").select(on, *columns)
+    if layout == "long":
+        return (b.select(F.lit("before").alias("snapshot"), "*")
+                .unionByName(a.select(F.lit("after").alias("snapshot"), "*")))
+    if layout != "wide":
+        raise ValueError(f"unknown layout {layout!r}")
+    repeated = (b.select(on, F.lit(0).alias("__ll_side")).unionByName(a.select(on, F.lit(1).alias("__ll_side")))
+                .groupBy(on, "__ll_side").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
+    if repeated.limit(1).count() > 0:
+        raise ValueError(f"{on} repeats within a snapshot; use layout='long'")
+    out = (b.select(on, *[F.col(c).alias(f"{c}_before") for c in columns])
+           .join(a.select(on, *[F.col(c).alias(f"{c}_after") for c in columns]), on, "full"))
     order = [on]
     for c in columns:
         order += [f"{c}_before", f"{c}_after"]

@@ -171,3 +171,16 @@ def test_merge_with_a_hot_key_is_split_and_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_before_after_refuses_repeated_keys_and_long_layout(spark):
+    from pyspark.sql import functions as F
+    t = _target(spark)
+    dup = t.unionByName(t.filter("id = '1'"))
+    keys = spark.createDataFrame([("1",)], "id string")
+    with pytest.raises(ValueError, match="repeats"):
+        ch.before_after(dup, t, keys, "id", ["loan_status"])
+    long = ch.before_after(dup, t.withColumn("loan_status", F.lit("Default")), keys, "id", ["loan_status"],
+                           layout="long").collect()
+    assert sorted((r.snapshot, r.loan_status) for r in long) == [
+        ("after", "Default"), ("before", "Current"), ("before", "Current")]
