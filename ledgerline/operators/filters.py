@@ -22,15 +22,18 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df if cond is None else df.filter(cond)
 
 
-TOPK_ROWS = 100_000
+# A top-k merges up to n rows from every partition in one task; beyond this
+# many rows the input is cut at an exact key threshold first.
+TOPK_ROWS = 10_000
 
 
 def ordered_subset(df: DataFrame, order_by: Sequence[str], n: int, topk_rows: int = TOPK_ROWS) -> DataFrame:
     """Repeatable development subset: the first ``n`` rows by ``order_by``.
 
     Up to ``topk_rows`` rows this is a top-k (per-partition heaps of ``n``
-    rows, then one merge).  Beyond that, a heap of ``n`` rows per partition
-    merged in one task would not fit, so for a single sort key the input is
+    rows, then one merge).  Beyond that, ``n`` rows from each of thousands of
+    partitions merged in one task would be too much, so for a single sort key
+    the input is
     first cut at an exact key threshold (the n-th smallest key, found from an
     approximate quantile and checked by counting) and only the rows at or
     below it are ordered; rows tied on the threshold key are resolved by the
