@@ -99,3 +99,11 @@ def test_ordered_subset_threshold_path_equals_topk(spark):
     plain = [r.k for r in ordered_subset(df, ["k"], 1200).collect()]
     cut = [r.k for r in ordered_subset(df, ["k"], 1200, topk_rows=100).collect()]
     assert plain == cut == list(range(1200))
+
+
+def test_ordered_subset_threshold_path_keeps_nulls_first(spark):
+    from ledgerline.operators.filters import ordered_subset
+    df = spark.range(0, 3000).selectExpr("CASE WHEN id % 100 = 0 THEN NULL ELSE (id * 7919) % 3000 END AS k")
+    plain = [r.k for r in ordered_subset(df, ["k"], 500).collect()]
+    cut = [r.k for r in ordered_subset(df, ["k"], 500, topk_rows=100).collect()]
+    assert plain == cut and plain[:30] == [None] * 30
