@@ -9,9 +9,10 @@ the bigint range -- and round HALF_UP once at the end.  Per row this is a
 multiply, a rounding and an integer conversion, no text parsing, so it costs
 about as much as a plain double sum.
 
-Values must lie within +-9.2e12 (the bigint range in micro-units); a larger
-value fails the job under ANSI mode rather than being silently wrong.  NaN is
-ignored like NULL.
+A group holding a value outside +-9e12 or a non-finite one (``try_cast``
+turns the text 'NaN' or 'Infinity' into such doubles) falls back to the plain
+double aggregate for that measure, which yields NaN or infinity exactly as a
+double average would.
 """
 
 from __future__ import annotations
@@ -21,33 +22,52 @@ from pyspark.sql import functions as F
 
 SCALE = 6
 _UNIT = float(10 ** SCALE)
+LIMIT = 9.0e12  # |value| below this fits a bigint in micro-units
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def micro(c: str | Column) -> Column:
-    """A value as an exact ``decimal(38,0)`` count of micro-units."""
-    x = _col(c).cast("double")
-    return (F.when(F.isnan(x), F.lit(None)).otherwise(F.rint(x * F.lit(_UNIT)))
-            .cast("bigint").cast("decimal(38,0)"))
+def _double(c: str | Column) -> Column:
+    return _col(c).cast("double")
 
 
-def exact_sum(c: str | Column) -> Column:
-    """Sum in micro-units (pass through :func:`to_double`)."""
-    return F.sum(micro(c))
+def outside(c: str | Column) -> Column:
+    """True for a value that cannot be summed exactly (non-finite or too
+    large); NaN compares above every number in Spark, so it is caught too."""
+    x = _double(c)
+    return x.isNotNull() & ~(F.abs(x) < F.lit(LIMIT))
 
 
-def exact_avg(c: str | Column) -> Column:
-    """Average in micro-units (pass through :func:`to_double`)."""
-    return F.avg(micro(c))
+def micro(c: str | Column) -> Column:
+    """A value as an exact ``decimal(38,0)`` count of micro-units (NULL for
+    values :func:`outside` the exact range)."""
+    x = _double(c)
+    return (F.when(F.abs(x) < F.lit(LIMIT), F.rint(x * F.lit(_UNIT)))
+            .cast("bigint").cast("decimal(38,0)"))
 
 
-def to_double(micro_expr: Column, digits: int | None = None) -> Column:
+def from_micro(micro_expr: Column, digits: int | None = None) -> Column:
     """Micro-units back to a double, rounded HALF_UP to ``digits`` first."""
     if digits is not None:
         if digits > SCALE:
             raise ValueError(f"at most {SCALE} digits")
         micro_expr = F.round(micro_expr, digits - SCALE)
     return micro_expr.cast("double") / F.lit(_UNIT)
+
+
+def _plain(expr: Column, digits: int | None) -> Column:
+    return F.round(expr, digits) if digits is not None else expr
+
+
+def exact_sum(c: str | Column, digits: int | None = None) -> Column:
+    """``round(sum(c), digits)`` computed exactly; a double."""
+    return (F.when(F.count_if(outside(c)) > 0, _plain(F.sum(_double(c)), digits))
+            .otherwise(from_micro(F.sum(micro(c)), digits)))
+
+
+def exact_avg(c: str | Column, digits: int | None = None) -> Column:
+    """``round(avg(c), digits)`` computed exactly; a double."""
+    return (F.when(F.count_if(outside(c)) > 0, _plain(F.avg(_double(c)), digits))
+            .otherwise(from_micro(F.avg(micro(c)), digits)))

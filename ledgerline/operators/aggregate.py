@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exact import exact_avg, exact_sum, to_double
+from ledgerline.functions.exact import exact_avg, exact_sum
 
 # measure = (output name, function, input column)
 Measure = tuple[str, str, str]
@@ -23,9 +23,9 @@ def _measure(name: str, fn: str, col: str, digits: int | None) -> Column:
         out = F.count(F.lit(1)) if col == "*" else F.count(F.col(col))
         return out.alias(name)
     if fn == "avg":
-        return to_double(exact_avg(col), digits).alias(name)
+        return exact_avg(col, digits).alias(name)
     if fn == "sum":
-        return to_double(exact_sum(col), digits).alias(name)
+        return exact_sum(col, digits).alias(name)
     if fn == "min":
         return F.min(F.col(col)).alias(name)
     if fn == "max":
@@ -80,5 +80,5 @@ def regroup(df: DataFrame, keys: Sequence[str], sums: Sequence[tuple[str, str]],
         if name in long_sums:
             aggs.append(F.sum(F.col(col)).cast("bigint").alias(name))
         else:
-            aggs.append(to_double(exact_sum(col), digits).alias(name))
+            aggs.append(exact_sum(col, digits).alias(name))
     return df.groupBy(*keys).agg(*aggs)

@@ -18,11 +18,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.exact import exact_avg, exact_sum, to_double
+from ledgerline.functions.exact import exact_avg, exact_sum, from_micro, micro, outside
 
 # measure = (output name, function, input column); function in count, avg, sum
 Measure = tuple[str, str, str]
@@ -39,22 +39,40 @@ def assign_batches(df: DataFrame, key: str, n_batches: int, name: str = "batch")
 
 
 def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure]) -> tuple[DataFrame, list]:
+    """Per-group partial aggregates that later combine exactly: counts, sums
+    in micro-units, and for sums/averages also the count of values outside
+    the exact range with their plain double sum (the fallback)."""
     aggs, finals = [], []
     for i, (name, fn, col) in enumerate(measures):
         if fn == "count":
             aggs.append((F.count(F.lit(1)) if col == "*" else F.count(col)).alias(f"_n{i}"))
-            finals.append((name, fn, [f"_n{i}"]))
-        elif fn == "sum":
-            aggs.append(exact_sum(col).alias(f"_s{i}"))
-            finals.append((name, fn, [f"_s{i}"]))
-        elif fn == "avg":
-            aggs += [exact_sum(col).alias(f"_s{i}"), F.count(col).alias(f"_c{i}")]
-            finals.append((name, fn, [f"_s{i}", f"_c{i}"]))
+            finals.append((name, fn, i))
+        elif fn in ("sum", "avg"):
+            aggs += [F.sum(micro(col)).alias(f"_s{i}"), F.count(col).alias(f"_c{i}"),
+                     F.count_if(outside(col)).alias(f"_o{i}"), F.sum(F.col(col).cast("double")).alias(f"_d{i}")]
+            finals.append((name, fn, i))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
     return df.groupBy(*group).agg(*aggs), finals
 
 
+def _combine(name: str, fn: str, i: int, digits: int | None, over=None) -> Column:
+    """Final value of measure ``i`` from summed partials (optionally over a
+    window)."""
+    def total(c: str) -> Column:
+        return F.sum(c) if over is None else F.sum(c).over(over)
+
+    if fn == "count":
+        out = total(f"_n{i}")
+        return (out if over is None else F.coalesce(out, F.lit(0))).cast("bigint").alias(name)
+    if fn == "sum":
+        exact, plain = total(f"_s{i}"), total(f"_d{i}")
+    else:
+        exact, plain = total(f"_s{i}") / total(f"_c{i}"), total(f"_d{i}") / total(f"_c{i}")
+    fallback = F.round(plain, digits) if digits is not None else plain
+    return F.when(total(f"_o{i}") > 0, fallback).otherwise(from_micro(exact, digits)).alias(name)
+
+
 SPREAD_LIMIT = 64
 
 
@@ -78,31 +96,16 @@ def prefix_aggregate(df: DataFrame, batch_col: str, keys: Sequence[str], measure
                                                                    F.lit(n_batches))))
         if out_batch != batch_col:
             spread = spread.drop(batch_col)
-        aggs = []
-        for name, fn, cols in finals:
-            if fn == "count":
-                aggs.append(F.sum(cols[0]).cast("bigint").alias(name))
-                continue
-            out = F.sum(cols[0]) if fn == "sum" else F.sum(cols[0]) / F.sum(cols[1])
-            aggs.append(to_double(out, digits.get(name)).alias(name))
-        return spread.groupBy(out_batch, *keys).agg(*aggs)
+        return spread.groupBy(out_batch, *keys).agg(
+            *[_combine(name, fn, i, digits.get(name)) for name, fn, i in finals])
 
     parts = partial.withColumnRenamed(batch_col, out_batch).withColumn(out_batch, F.col(out_batch).cast("int"))
     grid = (parts.groupBy(*keys).agg(F.min(out_batch).alias("__ll_first"))
             .select(*keys, F.explode(F.sequence(F.col("__ll_first"), F.lit(n_batches))).alias(out_batch)))
     joined = grid.join(parts, [*keys, out_batch], "left")
     w = Window.partitionBy(*keys).orderBy(out_batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    outs = []
-    for name, fn, cols in finals:
-        if fn == "count":
-            outs.append(F.coalesce(F.sum(cols[0]).over(w), F.lit(0)).cast("bigint").alias(name))
-            continue
-        if fn == "sum":
-            out = F.sum(cols[0]).over(w)
-        else:
-            out = F.sum(cols[0]).over(w) / F.sum(cols[1]).over(w)
-        outs.append(to_double(out, digits.get(name)).alias(name))
-    return joined.select(out_batch, *keys, *outs)
+    return joined.select(out_batch, *keys, *[_combine(name, fn, i, digits.get(name), over=w)
+                                            for name, fn, i in finals])
 
 
 def land_batches(df: DataFrame, batch_col: str, landing_dir: str, n_batches: int,
@@ -137,12 +140,11 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
             aggs.append((F.count(F.lit(1)) if col == "*" else F.count(col)).alias(name))
             continue
         if fn == "sum":
-            out = exact_sum(col)
+            aggs.append(exact_sum(col, digits.get(name)).alias(name))
         elif fn == "avg":
-            out = exact_avg(col)
+            aggs.append(exact_avg(col, digits.get(name)).alias(name))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
-        aggs.append(to_double(out, digits.get(name)).alias(name))
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(source_dir))
     running = stream.groupBy(*keys).agg(*aggs)

@@ -4,6 +4,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.text import fill_template
@@ -83,3 +84,16 @@ def test_decode_matches_dict_lookup(spark, mapping, codes):
     df = spark.createDataFrame([(c,) for c in codes], "c string")
     got = [r[0] for r in df.select(decode("c", mapping, "Other")).collect()]
     assert got == [mapping.get(c, "Other") if c is not None else "Other" for c in codes]
+
+
+def test_non_finite_values_fall_back_to_double_semantics(spark):
+    df = spark.createDataFrame([("a", 1.5), ("a", 2.5), ("b", 1.0), ("b", float("nan")), ("c", float("inf")),
+                                ("c", 1.0), ("d", 2e13), ("d", 1.0)], "g string, v double")
+    out = {r.g: r for r in summarise(df, ["g"], [("a", "avg", "v"), ("s", "sum", "v")]).collect()}
+    assert out["a"].a == 2.0 and out["a"].s == 4.0
+    assert out["b"].a != out["b"].a                      # NaN, as a double average gives
+    assert out["c"].a == float("inf")
+    assert out["d"].a == 1.00000000000005e13 and out["d"].s == 2.0000000000001e13
+    pa = prefix_aggregate(df.withColumn("batch", F.lit(1)), "batch", ["g"], [("a", "avg", "v")], 2, {"a": 2})
+    got = {(r.batch, r.g): r.a for r in pa.collect()}
+    assert got[(2, "a")] == 2.0 and got[(1, "c")] == float("inf") and got[(2, "b")] != got[(2, "b")]
