@@ -28,7 +28,9 @@ def _round(expr: str, digits: int) -> str:
 def _micro(expr: str) -> str:
     """A value as integer micro-units, half-even on the binary value (Java's
     rint): the same quantisation the Spark side sums exactly."""
-    return f"CAST(round_even(CAST(({expr}) AS DOUBLE) * 1000000, 0) AS BIGINT)"
+    x = f"CAST(({expr}) AS DOUBLE)"
+    return (f"(CASE WHEN abs({x}) < 9e12 THEN CAST(round_even({x} * 1000000, 0) AS HUGEINT) "
+            f"ELSE CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 6)) * 1000000 AS HUGEINT) END)")
 
 
 def _half_up_div(k: str, d: str) -> str:

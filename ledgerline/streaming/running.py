@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.exact import exact_avg, exact_sum, from_micro, micro, outside
+from ledgerline.functions.exact import exact_avg, exact_sum, from_micro, micro, non_finite
 
 # measure = (output name, function, input column); function in count, avg, sum
 Measure = tuple[str, str, str]
@@ -40,8 +40,8 @@ def assign_batches(df: DataFrame, key: str, n_batches: int, name: str = "batch")
 
 def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure]) -> tuple[DataFrame, list]:
     """Per-group partial aggregates that later combine exactly: counts, sums
-    in micro-units, and for sums/averages also the count of values outside
-    the exact range with their plain double sum (the fallback)."""
+    in micro-units, and beside them a plain double sum that turns NaN or
+    infinite when the group holds such a value (the fallback)."""
     aggs, finals = [], []
     for i, (name, fn, col) in enumerate(measures):
         if fn == "count":
@@ -49,7 +49,7 @@ def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure])
             finals.append((name, fn, i))
         elif fn in ("sum", "avg"):
             aggs += [F.sum(micro(col)).alias(f"_s{i}"), F.count(col).alias(f"_c{i}"),
-                     F.count_if(outside(col)).alias(f"_o{i}"), F.sum(F.col(col).cast("double")).alias(f"_d{i}")]
+                     F.sum(F.col(col).cast("double")).alias(f"_d{i}")]
             finals.append((name, fn, i))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
@@ -65,12 +65,13 @@ def _combine(name: str, fn: str, i: int, digits: int | None, over=None) -> Colum
     if fn == "count":
         out = total(f"_n{i}")
         return (out if over is None else F.coalesce(out, F.lit(0))).cast("bigint").alias(name)
+    shadow = total(f"_d{i}")
     if fn == "sum":
-        exact, plain = total(f"_s{i}"), total(f"_d{i}")
+        exact, plain = total(f"_s{i}"), shadow
     else:
-        exact, plain = total(f"_s{i}") / total(f"_c{i}"), total(f"_d{i}") / total(f"_c{i}")
+        exact, plain = total(f"_s{i}") / total(f"_c{i}"), shadow / total(f"_c{i}")
     fallback = F.round(plain, digits) if digits is not None else plain
-    return F.when(total(f"_o{i}") > 0, fallback).otherwise(from_micro(exact, digits)).alias(name)
+    return F.when(non_finite(shadow), fallback).otherwise(from_micro(exact, digits)).alias(name)
 
 
 SPREAD_LIMIT = 64

@@ -93,7 +93,7 @@ def test_non_finite_values_fall_back_to_double_semantics(spark):
     assert out["a"].a == 2.0 and out["a"].s == 4.0
     assert out["b"].a != out["b"].a                      # NaN, as a double average gives
     assert out["c"].a == float("inf")
-    assert out["d"].a == 1.00000000000005e13 and out["d"].s == 2.0000000000001e13
+    assert out["d"].a == 1.00000000000005e13 and out["d"].s == 2.0000000000001e13   # exact via decimal
     pa = prefix_aggregate(df.withColumn("batch", F.lit(1)), "batch", ["g"], [("a", "avg", "v")], 2, {"a": 2})
     got = {(r.batch, r.g): r.a for r in pa.collect()}
     assert got[(2, "a")] == 2.0 and got[(1, "c")] == float("inf") and got[(2, "b")] != got[(2, "b")]
