@@ -184,3 +184,11 @@ def test_before_after_refuses_repeated_keys_and_long_layout(spark):
                            layout="long").collect()
     assert sorted((r.snapshot, r.loan_status) for r in long) == [
         ("after", "Default"), ("before", "Current"), ("before", "Current")]
+
+
+def test_current_of_empty_table_raises(spark, tmp_dir):
+    table = ch.VersionedTable(spark, f"{tmp_dir}/empty")
+    with pytest.raises(ValueError):
+        table.current()
+    with pytest.raises(ValueError):
+        ch.VersionedTable(spark, f"{tmp_dir}/x", bucket_by=["id"])

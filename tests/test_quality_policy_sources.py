@@ -93,3 +93,12 @@ def test_namespace_and_typed_table(spark, loans_raw):
     assert n == 8 and files.read_layer(spark, "bronze.loans_raw").count() == 8
     files.write_layer(loans_raw, "bronze.loans_raw", mode="append")
     assert spark.table("bronze.loans_raw").count() == 16
+
+
+def test_export_keeps_partitioning_above_the_single_file_bound(spark, tmp_dir):
+    df = spark.range(0, 1000).repartition(4)
+    assert files.export_parquet(df, f"{tmp_dir}/big", single_file_rows=100) == 1000
+    parts = [n for n in os.listdir(f"{tmp_dir}/big") if n.endswith(".parquet")]
+    assert len(parts) == 4
+    assert files.export_parquet(df, f"{tmp_dir}/small", single_file_rows=5000) == 1000
+    assert len([n for n in os.listdir(f"{tmp_dir}/small") if n.endswith(".parquet")]) == 1
