@@ -3,9 +3,9 @@
 ``assign_batches`` numbers rows into ``n`` arrival batches by equal ranges of
 an ordered integer key.  ``prefix_aggregate`` computes, for every batch b, the
 aggregate over all rows that arrived in batches 1..b (keys absent from batch b
-but seen earlier are kept), from per-batch partial aggregates: each partial
-row is copied to the prefixes it belongs to (at most ``n`` copies of a tiny
-frame), so the input is scanned and shuffled once.
+but seen earlier are kept), from per-batch partial aggregates, so the input
+is scanned and shuffled once: for few batches each partial row is copied to
+the prefixes it belongs to, for many a running window per key sums them.
 
 ``run_available_now`` is the same computation as a Structured Streaming query:
 files landed one batch at a time are read with ``maxFilesPerTrigger``, the
