@@ -23,11 +23,34 @@ def _col(c: str | Column) -> Column:
 
 
 def plain_text(c: str | Column, null_text: str = NULL_TEXT) -> Column:
-    """Value as text, as ``{x}`` prints it for strings, integers and doubles
-    below 1e7; NULL becomes ``null_text``."""
+    """Value as text, as ``{x}`` prints strings and integers; NULL becomes
+    ``null_text``.  Use :func:`double_text` for doubles."""
     return F.coalesce(_col(c).cast("string"), F.lit(null_text))
 
 
+def _trimmed_decimal(x: Column, scale: int) -> Column:
+    """Plain decimal text of a double without trailing zeros, keeping one
+    digit after the point (``28316375.0``)."""
+    text = F.regexp_replace(x.cast(f"decimal(38,{scale})").cast("string"), r"0+$", "")
+    return F.when(text.endswith("."), F.concat(text, F.lit("0"))).otherwise(text)
+
+
+def double_text(c: str | Column, null_text: str = NULL_TEXT) -> Column:
+    """A double as Python's ``str`` prints it: Spark's text switches to
+    exponent form below 1e-3 and from 1e7 on, Python only below 1e-4 and from
+    1e16 on, so the range in between is written out in plain digits; NaN and
+    infinity use Python's spelling."""
+    x = _col(c).cast("double")
+    ax = F.abs(x)
+    out = (F.when(F.isnan(x), F.lit("nan"))
+           .when(x == F.lit(float("inf")), F.lit("inf"))
+           .when(x == F.lit(float("-inf")), F.lit("-inf"))
+           .when((ax >= F.lit(1e7)) & (ax < F.lit(1e16)), _trimmed_decimal(x, 10))
+           .when((ax >= F.lit(1e-4)) & (ax < F.lit(1e-3)), _trimmed_decimal(x, 24))
+           .otherwise(x.cast("string")))
+    return F.coalesce(out, F.lit(null_text))
+
+
 def fixed_text(c: str | Column, digits: int = 2, grouping: bool = True,
                null_text: str = NULL_TEXT) -> Column:
     """``{x:,.2f}``: grouped thousands, fixed decimals (half-even on the binary
@@ -50,13 +73,16 @@ def template_fields(template: str) -> list[str]:
 
 
 def fill_template(template: str, columns: Mapping[str, str | Column] | None = None,
-                  null_text: str = NULL_TEXT) -> Column:
+                  null_text: str = NULL_TEXT, dtypes: Mapping[str, str] | None = None) -> Column:
     """Render a ``str.format`` template against the columns of each row.
 
     ``columns`` maps a field name to a column (default: the column of the same
-    name).  Supported specs: none, ``.Nf`` and ``,.Nf``.
+    name).  Supported specs: none, ``.Nf`` and ``,.Nf``.  ``dtypes`` (as
+    ``dict(df.dtypes)``) marks which plain fields are doubles, so they print
+    like Python's ``str``.
     """
     columns = dict(columns or {})
+    dtypes = dict(dtypes or {})
     parts: list[Column] = []
     for literal, field, spec, conversion in string.Formatter().parse(template):
         if literal:
@@ -67,7 +93,8 @@ def fill_template(template: str, columns: Mapping[str, str | Column] | None = No
             raise ValueError(f"conversion !{conversion} not supported in field {field!r}")
         col = columns.get(field, field)
         if not spec:
-            parts.append(plain_text(col, null_text))
+            is_double = dtypes.get(field) in ("double", "float")
+            parts.append(double_text(col, null_text) if is_double else plain_text(col, null_text))
             continue
         m = _FIXED.match(spec)
         if not m:

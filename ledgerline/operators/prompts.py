@@ -62,7 +62,7 @@ def render_prompts(segments: DataFrame, versions: Sequence[str],
     if unknown:
         raise KeyError(f"prompt versions not in registry: {unknown}")
     entries = [F.struct(F.lit(v).alias("prompt_version"), F.lit(registry[v]["model"]).alias("model"),
-                        fill_template(registry[v]["template"], columns).alias("prompt"))
+                        fill_template(registry[v]["template"], columns, dtypes=dict(segments.dtypes)).alias("prompt"))
                for v in versions]
     keep = list(keep if keep is not None else segments.columns)
     return (segments.select(*keep, F.explode(F.array(*entries)).alias("__ll_p"))
@@ -207,7 +207,8 @@ def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
     if version is None:
         prompts = segments.select(*keys, F.lit("segment_narrative").alias("prompt_version"),
                                   F.lit(presets.DEFAULT_MODEL).alias("model"),
-                                  fill_template(presets.SEGMENT_NARRATIVE_TEMPLATE).alias("prompt"))
+                                  fill_template(presets.SEGMENT_NARRATIVE_TEMPLATE,
+                                                dtypes=dict(segments.dtypes)).alias("prompt"))
     else:
         prompts = render_prompts(segments, [version], registry, keep=list(keys))
     calls = generate(prompts, client_factory, "prompt", batch_size)
