@@ -54,12 +54,14 @@ def double_text(c: str | Column, null_text: str = NULL_TEXT) -> Column:
 def fixed_text(c: str | Column, digits: int = 2, grouping: bool = True,
                null_text: str = NULL_TEXT) -> Column:
     """``{x:,.2f}``: grouped thousands, fixed decimals (half-even on the binary
-    value, like Python)."""
-    col = _col(c)
-    if grouping:
-        out = F.format_number(col.cast("double"), digits)
-    else:
-        out = F.replace(F.format_number(col.cast("double"), digits), F.lit(","), F.lit(""))
+    value, like Python, for magnitudes below 1e15); NaN and infinity spelled
+    as Python spells them."""
+    x = _col(c).cast("double")
+    out = F.format_number(x, digits)
+    if not grouping:
+        out = F.replace(out, F.lit(","), F.lit(""))
+    out = (F.when(F.isnan(x), F.lit("nan")).when(x == F.lit(float("inf")), F.lit("inf"))
+           .when(x == F.lit(float("-inf")), F.lit("-inf")).otherwise(out))
     return F.coalesce(out, F.lit(null_text))
 
 

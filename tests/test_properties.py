@@ -105,6 +105,9 @@ def test_non_finite_values_fall_back_to_double_semantics(spark):
 def test_double_fields_print_like_python(spark, v):
     df = spark.createDataFrame([(v,)], "x double")
     got = df.select(fill_template("{x}", dtypes=dict(df.dtypes)).alias("t")).first().t
+    money = df.select(fill_template("{x:,.2f}").alias("t")).first().t
+    if not abs(v) >= 1e15:                        # beyond 2**53 Python prints the exact binary integer
+        assert money == f"{v:,.2f}"
     if abs(v) < 1e-4 and v != 0 or abs(v) >= 1e16:
         return                                    # exponent forms differ in spelling, not covered
     assert got == str(v)
