@@ -117,7 +117,8 @@ def change_log(changes: DataFrame, columns: Sequence[str], at: _dt.datetime | No
                operation: str = "UPDATE", source_system: str = "loan_servicing_feed") -> DataFrame:
     """Audit rows for a change set: the change columns plus operation,
     source system and change timestamp (pass ``at`` to make runs repeat)."""
-    ts = F.current_timestamp() if at is None else F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+    # a Python datetime literal keeps its wall-clock value whatever the session time zone
+    ts = F.current_timestamp() if at is None else F.lit(at)
     return changes.select(*columns, F.lit(operation).alias("operation"),
                           F.lit(source_system).alias("source_system"),
                           ts.alias("change_timestamp"))
