@@ -2,7 +2,8 @@
 
 Scale notes: a gzip file is one unsplittable partition, so a raw scan of
 compressed text is repartitioned right after the read; the export writes a
-single file only for frames whose row count is proven small.
+single file only for frames whose row count is proven small, gathered behind
+a shuffle so the work before it stays parallel.
 """
 
 from __future__ import annotations
@@ -83,15 +84,19 @@ SMALL_EXPORT_ROWS = 1_000_000
 def export_parquet(df: DataFrame, path: str, single_file_rows: int = SMALL_EXPORT_ROWS) -> int:
     """Overwrite ``path`` with ``df`` as Parquet.
 
-    A frame with at most ``single_file_rows`` rows (checked with a bounded
-    count) is written as one file, like a gold table handed to another tool;
-    a larger one keeps its partitioning so the write stays parallel.
+    A frame with at most ``single_file_rows`` rows is written as one file,
+    like a gold table handed to another tool; a larger one keeps its
+    partitioning so the write stays parallel.  The frame is computed once, in
+    parallel, by the counting pass (persisted, so the write reads it back),
+    and a small one is gathered with ``repartition(1)`` -- a shuffle boundary,
+    so only the final write is a single task, never the work upstream of it
+    (``coalesce(1)`` would pull the whole upstream stage into that task).
     Returns the rows written.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)  # computed once for the check and the write
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        small = kept.limit(single_file_rows + 1).count() <= single_file_rows
-        out = kept.coalesce(1) if small else kept
+        rows = kept.count()
+        out = kept.repartition(1) if rows <= single_file_rows else kept
         return write_layer(out, path, "overwrite")
     finally:
         kept.unpersist()
