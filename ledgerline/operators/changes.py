@@ -87,16 +87,19 @@ def merge_update(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
     tschema = {f.name: f.dataType for f in target.schema.fields}
     src = changes.select(*keys, *[F.col(s).alias(f"__ll_src_{t}") for t, s in set_columns.items()],
                          F.lit(True).alias(MATCH_MARKER))
-    # one pass over the change set gives its size and its repeated keys
-    key_present = F.lit(True)
-    for k in keys:
-        key_present = key_present & F.col(k).isNotNull()
-    stats = (changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.sum("n").alias("rows"), F.count_if((F.col("n") > 1) & key_present).alias("dups"))
-             .first())
-    rows, dups = int(stats["rows"] or 0), int(stats["dups"] or 0)
-    if check_duplicates and dups and has_ambiguous_match(target, changes, keys, broadcast_rows):
-        raise ValueError("merge refused: several change rows match the same target row")
+    if check_duplicates:
+        # one pass over the change set gives its size and its repeated keys
+        key_present = F.lit(True)
+        for k in keys:
+            key_present = key_present & F.col(k).isNotNull()
+        stats = (changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                 .agg(F.sum("n").alias("rows"), F.count_if((F.col("n") > 1) & key_present).alias("dups"))
+                 .first())
+        rows, dups = int(stats["rows"] or 0), int(stats["dups"] or 0)
+        if dups and has_ambiguous_match(target, changes, keys, broadcast_rows):
+            raise ValueError("merge refused: several change rows match the same target row")
+    else:  # keys known unique (e.g. the latest change per key): a bounded count is enough
+        rows = changes.limit(broadcast_rows + 1).count()
     if rows <= broadcast_rows:
         src = F.broadcast(src)
     joined = target.join(src, keys, "left")
