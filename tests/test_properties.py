@@ -111,3 +111,32 @@ def test_double_fields_print_like_python(spark, v):
     if abs(v) < 1e-4 and v != 0 or abs(v) >= 1e16:
         return                                    # exponent forms differ in spelling, not covered
     assert got == str(v)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from("ABC"), st.sampled_from(["Charged Off", "Fully Paid", "Current", None])),
+                     min_size=1, max_size=40))
+def test_share_matches_brute_force(spark, rows):
+    from ledgerline.operators.aggregate import share
+    df = spark.createDataFrame(rows, "grade string, loan_status string")
+    got = {r.grade: (r.numerator_rows, r.denominator_rows, r.pct) for r in
+           share(df, ["grade"], "loan_status = 'Charged Off'", "loan_status IN ('Charged Off', 'Fully Paid')",
+                 name="pct").collect()}
+    for g in {r[0] for r in rows}:
+        num = sum(1 for r in rows if r[0] == g and r[1] == "Charged Off")
+        den = sum(1 for r in rows if r[0] == g and r[1] in ("Charged Off", "Fully Paid"))
+        pct = None if den == 0 else _half_up(Decimal(repr(100.0 * num / den)), 1)
+        assert got[g] == (num, den, pct)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from("123"), st.sampled_from(["1", "2", "31"])), min_size=1, max_size=60),
+       k=st.integers(1, 5))
+def test_top_k_matches_brute_force(spark, rows, k):
+    from collections import Counter
+    from ledgerline.operators.aggregate import top_k
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = [(r.a, r.b, r.n) for r in top_k(df, ["a", "b"], k, "n").collect()]
+    counts = Counter(rows)
+    expected = sorted(((a, b, n) for (a, b), n in counts.items()), key=lambda t: (-t[2], t[0], t[1]))[:k]
+    assert got == expected
