@@ -17,6 +17,7 @@ immutable versioned snapshots, history and as-of reads.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -279,7 +280,7 @@ class VersionedTable:
         """
         prev = self.latest_version()
         version = 0 if prev is None else prev + 1
-        obs = Observation(f"commit_{version}")
+        obs = Observation(f"commit_{version}_{uuid.uuid4().hex[:12]}")
         metrics = [F.count(F.lit(1)).alias("rows")]
         if updated_col:
             metrics.append(F.count_if(F.col(updated_col)).alias("updated"))

@@ -6,6 +6,7 @@ counts are unioned and folded by a single conditional aggregate.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation
@@ -44,7 +45,7 @@ def observe_expectations(df: DataFrame, expectations: Mapping[str, str], name: s
                          null_passes: bool = False) -> tuple[DataFrame, Observation]:
     """Attach expectation counters to ``df``; they fill in during whatever
     action writes it, so the check costs no extra scan."""
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:12]}")
     metrics = [F.count(F.lit(1)).alias("total_rows")]
     for n, cond in expectations.items():
         metrics.append(F.count_if(~F.coalesce(F.expr(cond), F.lit(null_passes))).alias(n))

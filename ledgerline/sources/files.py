@@ -8,6 +8,8 @@ a shuffle so the work before it stays parallel.
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -58,7 +60,7 @@ def write_layer(df: DataFrame, name_or_path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None) -> int:
     """Full-refresh (or append) write of a layer; returns the rows written,
     counted during the write by ``observe`` instead of a second scan."""
-    obs = Observation("write_layer")
+    obs = Observation(f"write_layer_{uuid.uuid4().hex[:12]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
