@@ -9,7 +9,6 @@ a shuffle so the work before it stays parallel.
 from __future__ import annotations
 
 import uuid
-
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
