@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ledgerline") -> SparkSession:
+                  app_name: str = "ledgerline", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session with the settings the operators are written for.
 
     AQE coalesces the small post-aggregation shuffles and splits skewed join
@@ -35,6 +35,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
