@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_windows, decontaminate, mixing, quality_rules, sharding, simhash
+from ledgerline.llm import (chat_windows, decontaminate, license_scan, lm_scoring, mixing, quality_classifier,
+                            quality_rules, sharding, simhash, toxicity)
 from ledgerline.session import table_path
 
 
@@ -19,6 +20,19 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf, name))
 
 
+def _predicted(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op1_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    scored = quality_classifier.train_and_score(_t(spark, sf, "documents"), _t(spark, sf, "labels"))
+    return _predicted(scored).select("doc_id", "held_out", "score", "predicted", "raw")
+
+
+def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scoring.score_texts(_t(spark, sf, "documents"))
+
+
 SHARDS = [f"shard-{i:02d}" for i in range(64)]
 
 
@@ -36,6 +50,10 @@ def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.document_licenses(_t(spark, sf, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix_plan(_t(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -49,6 +67,11 @@ def op8_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
     return chat_windows.read_back(chat_windows.format_windows(turns))
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.train_and_score(_t(spark, sf, "documents"), _t(spark, sf, "labels"))
+    return _predicted(scored).select("doc_id", "held_out", "score", "predicted", "vote", "neighbours", "cosines")
+
+
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contamination(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -57,11 +80,15 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_sharding": op3_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash": op5_simhash,
+    "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
     "op8_chat_windows": op8_chat_windows,
+    "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
