@@ -175,6 +175,13 @@ class Trainer:
         return np.bincount(flat, g.ravel(), shape[0] * shape[1]).reshape(shape)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, which bounds the arrays made of one."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def _ids(at: dict[bytes, int], words: list[bytes], other: int) -> np.ndarray:
     get = at.get
     return np.fromiter((get(w, other) for w in words), np.int64, len(words))
@@ -200,10 +207,8 @@ def train_model(train: DataFrame, words: list[bytes], unigram: np.ndarray, dim:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(begin, unigram, noise, rate, seed)
         seen = 0
-        for b in batches:
-            held = [tokens_of(t.as_py()) for t in b.column(0)]
-            if not held:
-                continue
+        for texts in _slices(batches):
+            held = [tokens_of(t.as_py()) for t in texts.column(0)]
             ends = np.zeros(sum(map(len, held)), bool)
             ends[np.cumsum([len(h) for h in held]) - 1] = True
             ids = np.concatenate([_ids(at, h, other) for h in held])
@@ -263,7 +268,7 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out_fold: int = 0, vocab:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ta, tb, tz = tables.value
         logs = {w: float(np.log10(c + ALPHA)) for w, c in known.items()}
-        for rb in batches:
+        for rb in _slices(batches):
             cols: list[list] = [[], [], [], [], [], []]
             for t in rb.column(3):
                 got = tokens_of(t.as_py())

@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, split_words, text_of
+from ledgerline.llm.common import broadcast_if_small, materialise, split_words, text_key, text_of
 
 # The most frequent function words of each language, lower case.
 COMMON_WORDS = {
@@ -60,6 +60,10 @@ class Rules:
     common_words: dict = field(default_factory=lambda: COMMON_WORDS)
 
 
+#: Rejected keys up to which they are broadcast (about 50 bytes each); beyond, Spark joins by shuffle.
+REJECTED_ROWS = 500_000
+
+
 # --- counts ------------------------------------------------------------------------
 
 def _let(value: Column, body) -> Column:
@@ -231,11 +235,20 @@ def quality_report(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_i
                       "__v.char_distance", "__v.word_distance", "__v.kept")
 
 
-def keep_good(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows of ``docs`` the rules keep, columns as they came.  The references
-    take a pass of their own, so that no text is stored twice or moved."""
-    src = docs.select(F.col(text_col).alias("__text"), F.col(lang_col).alias("__lang"))
-    refs = references(_with_histograms(src, rules, "__text"), rules)
-    named = docs.withColumn("__text", F.col(text_col)).withColumn("__lang", F.col(lang_col))
-    return (_judge(_with_counts(named, rules, "__text"), refs, rules).filter("__v.kept")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+def keep_good(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text",
+              lang_col: str = "lang") -> DataFrame:
+    """Rows of ``docs`` the rules keep, columns as they came.  The counts are
+    stored by (id, text, language) once, and the rejected keys leave ``docs`` by an
+    anti join; as a filter, the optimizer would copy the counting expressions."""
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("__text"),
+                      F.col(lang_col).alias("__lang"))
+    counts = materialise(_with_counts(src, rules, "__text").select(
+        "doc_id", text_key(F.col("__text")).alias("__tk"), "__lang", "__len", "__n", "__c", "__w", "__q"),
+        "quality-counts")
+    verdicts = materialise(_judge(counts, references(counts, rules), rules)
+                           .select("doc_id", "__tk", "__lang", F.col("__v.kept").alias("kept")), "quality-verdicts")
+    gone = (verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__gid"), F.col("__tk").alias("__gtk"),
+                                                   F.col("__lang").alias("__glang")).distinct())
+    return docs.join(broadcast_if_small(gone, REJECTED_ROWS),
+                     docs[id_col].eqNullSafe(F.col("__gid")) & (text_key(docs[text_col]) == F.col("__gtk"))
+                     & docs[lang_col].eqNullSafe(F.col("__glang")), "left_anti")
