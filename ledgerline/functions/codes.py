@@ -7,10 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Above this many codes a map lookup is cheaper to analyse than a CASE chain.
-_CASE_LIMIT = 64
-
-
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -18,16 +14,13 @@ def _col(c: str | Column) -> Column:
 def decode(c: str | Column, mapping: Mapping[str, str], default: str | None = "Other") -> Column:
     """Replace a code by its label; unknown codes and NULL get ``default``.
 
-    Short maps become a ``CASE WHEN`` chain, long ones a literal map lookup;
-    both stay inside whole-stage codegen and need no join.
+    One ``CASE WHEN`` chain of any length; it stays inside whole-stage codegen
+    and needs no join.
     """
     col = _col(c)
     items = list(mapping.items())
     if not items:
         return F.lit(default)
-    if len(items) > _CASE_LIMIT:
-        lookup = F.create_map(*[F.lit(x) for kv in items for x in kv])
-        return F.coalesce(F.try_element_at(lookup, col.cast("string")), F.lit(default))
     expr = F.when(col == F.lit(items[0][0]), F.lit(items[0][1]))
     for code, label in items[1:]:
         expr = expr.when(col == F.lit(code), F.lit(label))

@@ -1,20 +1,10 @@
-"""Exact, partition-independent averages and sums of double columns.
+"""Rounded averages and sums of double columns.
 
-Adding doubles is not associative, so ``round(avg(x), 2)`` over a double
-column can round a tie (say 535134.375) either way depending on how rows fall
-into partitions.  These helpers quantise each value to integer micro-units
-(``rint(x * 1e6)``, half-even on the binary value: exact for every value with
-at most six decimals), add them as ``decimal(38,0)`` -- exact and far beyond
-the bigint range -- and round HALF_UP once at the end.  Per row this is a
-multiply, a rounding and an integer conversion, no text parsing, so it costs
-about as much as a plain double sum.
-
-Values beyond +-9e12 are converted through a decimal cast instead (rare,
-still exact).  Non-finite values (``try_cast`` turns the text 'NaN' or
-'Infinity' into such doubles) cannot be summed exactly: a plain double sum is
-kept beside the exact one, and when it is NaN or infinite the measure returns
-the double result, NaN or infinity, as a double average would.  That costs one
-extra buffer per measure.
+Plain ``round(avg(x), d)`` and ``round(sum(x), d)``: no value is cut, dropped
+or refused, whatever its size, and NaN and infinity behave as in any double
+aggregate.  Adding doubles is not associative, so a mean that sits on a tie of
+the last digit may round either way between partitionings; where that matters,
+cast the column to a decimal first.
 """
 
 from __future__ import annotations
@@ -22,52 +12,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 6
-_UNIT = float(10 ** SCALE)
-LIMIT = 9.0e12  # |value| below this fits a bigint in micro-units (fast path)
-
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
 
 def _double(c: str | Column) -> Column:
-    return _col(c).cast("double")
-
-
-def non_finite(x: Column) -> Column:
-    return F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-
-
-def micro(c: str | Column) -> Column:
-    """A value as an exact ``decimal(38,0)`` count of micro-units; NULL for
-    NULL, NaN and infinity."""
-    x = _double(c)
-    return (F.when(F.abs(x) < F.lit(LIMIT), F.rint(x * F.lit(_UNIT)).cast("bigint").cast("decimal(38,0)"))
-            .otherwise((x.try_cast("decimal(38,6)") * F.lit(10 ** SCALE)).cast("decimal(38,0)")))
-
-
-def from_micro(micro_expr: Column, digits: int | None = None) -> Column:
-    """Micro-units back to a double, rounded HALF_UP to ``digits`` first."""
-    if digits is not None:
-        if digits > SCALE:
-            raise ValueError(f"at most {SCALE} digits")
-        micro_expr = F.round(micro_expr, digits - SCALE)
-    return micro_expr.cast("double") / F.lit(_UNIT)
+    return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def _plain(expr: Column, digits: int | None) -> Column:
+def rounded(expr: Column, digits: int | None = None) -> Column:
     return F.round(expr, digits) if digits is not None else expr
 
 
-def exact_sum(c: str | Column, digits: int | None = None) -> Column:
-    """``round(sum(c), digits)`` computed exactly; a double."""
-    shadow = F.sum(_double(c))
-    return F.when(non_finite(shadow), _plain(shadow, digits)).otherwise(from_micro(F.sum(micro(c)), digits))
+def rounded_sum(c: str | Column, digits: int | None = None) -> Column:
+    return rounded(F.sum(_double(c)), digits)
 
 
-def exact_avg(c: str | Column, digits: int | None = None) -> Column:
-    """``round(avg(c), digits)`` computed exactly; a double."""
-    shadow = F.sum(_double(c))
-    return (F.when(non_finite(shadow), _plain(shadow / F.count(_col(c)), digits))
-            .otherwise(from_micro(F.avg(micro(c)), digits)))
+def rounded_avg(c: str | Column, digits: int | None = None) -> Column:
+    return rounded(F.avg(_double(c)), digits)

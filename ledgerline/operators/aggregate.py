@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.exact import exact_avg, exact_sum
+from ledgerline.functions.rounded import rounded_avg, rounded_sum
 
 # measure = (output name, function, input column)
 Measure = tuple[str, str, str]
@@ -23,9 +23,9 @@ def _measure(name: str, fn: str, col: str, digits: int | None) -> Column:
         out = F.count(F.lit(1)) if col == "*" else F.count(F.col(col))
         return out.alias(name)
     if fn == "avg":
-        return exact_avg(col, digits).alias(name)
+        return rounded_avg(col, digits).alias(name)
     if fn == "sum":
-        return exact_sum(col, digits).alias(name)
+        return rounded_sum(col, digits).alias(name)
     if fn == "min":
         return F.min(F.col(col)).alias(name)
     if fn == "max":
@@ -38,8 +38,8 @@ def summarise(df: DataFrame, keys: Sequence[str], measures: Sequence[Measure],
     """``GROUP BY keys`` with counts and rounded averages / sums.
 
     ``("loan_count", "count", "id")`` skips NULL ids like ``count(id)``;
-    ``("n", "count", "*")`` counts rows.  Averages and sums are exact
-    (decimal) and rounded HALF_UP once, see :mod:`ledgerline.functions.exact`.
+    ``("n", "count", "*")`` counts rows.  Averages and sums are plain
+    double aggregates, rounded, see :mod:`ledgerline.functions.rounded`.
     """
     out = df.groupBy(*keys).agg(*[_measure(n, f, c, digits) for n, f, c in measures])
     return out.orderBy(*keys) if order else out
@@ -80,5 +80,5 @@ def regroup(df: DataFrame, keys: Sequence[str], sums: Sequence[tuple[str, str]],
         if name in long_sums:
             aggs.append(F.sum(F.col(col)).cast("bigint").alias(name))
         else:
-            aggs.append(exact_sum(col, digits).alias(name))
+            aggs.append(rounded_sum(col, digits).alias(name))
     return df.groupBy(*keys).agg(*aggs)

@@ -22,45 +22,11 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df if cond is None else df.filter(cond)
 
 
-# A top-k merges up to n rows from every partition in one task; beyond this
-# many rows the input is cut at an exact key threshold first.
-TOPK_ROWS = 10_000
-
-
-def ordered_subset(df: DataFrame, order_by: Sequence[str], n: int, topk_rows: int = TOPK_ROWS) -> DataFrame:
+def ordered_subset(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """Repeatable development subset: the first ``n`` rows by ``order_by``
-    (ascending, NULLs first as ``orderBy`` sorts them).
+    (ascending, NULLs first as ``orderBy`` sorts them), for keys of any type.
 
-    Up to ``topk_rows`` rows this is a top-k (per-partition heaps of ``n``
-    rows, then one merge).  Beyond that, ``n`` rows from each of thousands of
-    partitions merged in one task would be too much, so for a single sort key
-    the input is first cut at an exact key threshold (the key of the last
-    wanted row, found from an approximate quantile and checked by counting)
-    and only the rows at or below it -- about ``n`` -- are ordered; rows tied
-    on the threshold key are resolved by the final top-k like in the plain
-    form.
+    Spark keeps at most ``n`` rows per partition before the final merge, or
+    sorts by range for a large ``n``; either way it is one lazy plan.
     """
-    if n <= topk_rows or len(order_by) != 1:
-        return df.orderBy(*order_by).limit(n)
-    key = order_by[0]
-    col = F.col(key)
-    nulls = df.filter(col.isNull())
-    n_null = nulls.count()
-    if n_null >= n:
-        return nulls.limit(n)
-    wanted = n - n_null
-    keyed = df.filter(col.isNotNull())
-    total = keyed.count()
-    if total <= wanted:
-        return df.orderBy(*order_by).limit(n)
-    frac = wanted / total
-    threshold = None
-    for slack in (1.001, 1.01, 1.1, 1.5):
-        q = min(1.0, frac * slack)
-        t = keyed.approxQuantile(key, [q], 0.0005)[0]
-        if keyed.filter(col <= F.lit(t)).count() >= wanted:
-            threshold = t
-            break
-    if threshold is None:  # quantiles kept undershooting: plain sort-limit
-        return df.orderBy(*order_by).limit(n)
-    return nulls.unionByName(keyed.filter(col <= F.lit(threshold))).orderBy(*order_by).limit(n)
+    return df.orderBy(*order_by).limit(n)

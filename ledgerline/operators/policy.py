@@ -9,36 +9,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import mask_text
-from ledgerline.operators.changes import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
-def _masked(c: str, kind: str) -> Column:
-    col = F.col(c)
+def _masked(c: str, kind: str, salt: str) -> Column:
+    col = F.col(f"`{c}`")
     if kind == "mask":
         return mask_text(col)
     if kind == "sha256":
-        return F.sha2(col.cast("string"), 256)
+        return F.sha2(F.concat(F.lit(salt), col.cast("string")), 256)
     if kind == "redact":
         return F.when(col.isNull(), F.lit(None).cast("string")).otherwise(F.lit("****"))
     if kind == "last4":
         s = col.cast("string")
         n = F.length(s)
-        return F.when(n <= 4, s).otherwise(F.concat(F.repeat(F.lit("*"), n - 4), F.substring(s, -4, 4)))
+        # a value of up to four characters is all mask: its last four would be the whole of it
+        return F.when(n <= 4, F.repeat(F.lit("*"), n)).otherwise(
+            F.concat(F.repeat(F.lit("*"), n - 4), F.substring(s, -4, 4)))
     raise ValueError(f"unknown mask kind {kind!r}")
 
 
-def masked_view(df: DataFrame, masks: Mapping[str, str]) -> DataFrame:
+def masked_view(df: DataFrame, masks: Mapping[str, str], salt: str = "") -> DataFrame:
     """Same columns, with the columns in ``masks`` replaced by their masked
-    form (``mask``, ``sha256``, ``redact`` or ``last4``)."""
-    return df.select(*[_masked(c, masks[c]).alias(c) if c in masks else F.col(c) for c in df.columns])
+    form (``mask``, ``sha256`` behind ``salt``, ``redact`` or ``last4``).
 
+    Names resolve as Spark resolves them (``spark.sql.caseSensitive``); a name
+    that matches no column, or one column named twice, raises.
+    """
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
 
-def row_policy(df: DataFrame, allowed: DataFrame, on: str | list[str],
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``df`` whose key appears in ``allowed`` (a semi join; the
-    allowed list is broadcast when its size is proven small)."""
+    def fold(name: str) -> str:
+        return name if exact else name.lower()
+
+    kinds = {fold(c): kind for c, kind in masks.items()}
+    if len(kinds) != len(masks):
+        raise ValueError("a column is masked twice")
+    unknown = sorted(set(kinds) - {fold(c) for c in df.columns})
+    if unknown:
+        raise ValueError(f"no such column to mask: {', '.join(unknown)}")
+    return df.select(*[_masked(c, kinds[fold(c)], salt).alias(c) if fold(c) in kinds else F.col(f"`{c}`")
+                       for c in df.columns])
+
+
+def row_policy(df: DataFrame, allowed: DataFrame, on: str | list[str]) -> DataFrame:
+    """Rows of ``df`` whose key appears in ``allowed``: one lazy semi join;
+    Spark broadcasts the allowed list when its size in bytes permits."""
     keys = [on] if isinstance(on, str) else list(on)
-    return df.join(sized_broadcast(allowed.select(*keys).distinct(), broadcast_rows), keys, "left_semi")
+    return df.join(allowed.select(*keys), keys, "left_semi")
 
 
 def region_policy(customers: DataFrame, nation: DataFrame, region: DataFrame, reader_region: str,

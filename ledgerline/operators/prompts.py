@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import presets
-from ledgerline.functions.exact import exact_avg, exact_sum, from_micro, micro
+from ledgerline.functions.rounded import rounded_avg, rounded_sum
 from ledgerline.functions.text import fill_template
 
 REGISTRY_SCHEMA = T.StructType([
@@ -103,8 +103,8 @@ def cost_by_version(costs: DataFrame, version_col: str = "prompt_version", digit
         F.sum("input_tokens").cast("bigint").alias("input_tokens"),
         F.sum("output_tokens").cast("bigint").alias("output_tokens"),
         F.sum("total_tokens").cast("bigint").alias("total_tokens"),
-        exact_sum("cost_usd", digits).alias("total_cost_usd"),
-        exact_avg("cost_usd", digits).alias("avg_cost_usd"),
+        rounded_sum("cost_usd", digits).alias("total_cost_usd"),
+        rounded_avg("cost_usd", digits).alias("avg_cost_usd"),
     )
 
 
@@ -119,12 +119,12 @@ def version_compare(costs: DataFrame, version_a: str, version_b: str,
         return [
             F.count_if(is_v).alias(f"calls_{tag}"),
             F.sum(F.when(is_v, F.col("total_tokens"))).cast("bigint").alias(f"total_tokens_{tag}"),
-            exact_sum(F.when(is_v, F.col("cost_usd")), digits).alias(f"cost_usd_{tag}"),
+            rounded_sum(F.when(is_v, F.col("cost_usd")), digits).alias(f"cost_usd_{tag}"),
         ]
 
     agg = costs.filter(v.isin(version_a, version_b)).agg(*part("a", version_a), *part("b", version_b))
     return agg.select(F.lit(version_a).alias("version_a"), F.lit(version_b).alias("version_b"), "*",
-                      from_micro(micro("cost_usd_b") - micro("cost_usd_a"), digits).alias("cost_difference"))
+                      F.round(F.col("cost_usd_b") - F.col("cost_usd_a"), digits).alias("cost_difference"))
 
 
 GENERATED_FIELDS = [

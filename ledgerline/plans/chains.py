@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerline import presets
 from ledgerline.functions.casts import month_date, safe_double, safe_int, strip_cast
 from ledgerline.functions.codes import decode, tier
-from ledgerline.functions.exact import exact_avg
+from ledgerline.functions.rounded import rounded_avg
 from ledgerline.operators.aggregate import share, summarise, top_k
 from ledgerline.operators.filters import keep_in, require
 from ledgerline.sources.files import read_layer, read_raw_csv, write_layer
@@ -104,7 +104,7 @@ def bronze_profile(raw: DataFrame) -> DataFrame:
     """Rows and average amount per raw status, most frequent first."""
     return (raw.groupBy("loan_status")
             .agg(F.count(F.lit(1)).alias("loan_count"),
-                 exact_avg(safe_double("loan_amnt"), 2).alias("avg_loan_amount"))
+                 rounded_avg(safe_double("loan_amnt"), 2).alias("avg_loan_amount"))
             .orderBy(F.col("loan_count").desc(), F.col("loan_status")))
 
 

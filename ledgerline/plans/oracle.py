@@ -25,33 +25,12 @@ def _round(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
 
 
-def _micro(expr: str) -> str:
-    """A value as integer micro-units, half-even on the binary value (Java's
-    rint): the same quantisation the Spark side sums exactly."""
-    x = f"CAST(({expr}) AS DOUBLE)"
-    return (f"(CASE WHEN abs({x}) < 9e12 THEN CAST(round_even({x} * 1000000, 0) AS HUGEINT) "
-            f"ELSE CAST(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 6)) * 1000000 AS HUGEINT) END)")
+def _avg(expr: str, digits: int) -> str:
+    return _round(f"avg({expr})", digits)
 
 
-def _half_up_div(k: str, d: str) -> str:
-    """round HALF_UP of k / d for integers (HUGEINT), away from zero."""
-    return f"(CASE WHEN {k} >= 0 THEN (2 * {k} + {d}) // (2 * {d}) ELSE -((-2 * {k} + {d}) // (2 * {d})) END)"
-
-
-def _avg_exact(expr: str, digits: int) -> str:
-    """Exact mean of the micro-unit values rounded HALF_UP to ``digits``,
-    computed with integer arithmetic."""
-    k = f"CAST(sum({_micro(expr)}) AS HUGEINT)"
-    d = f"(CAST(count({_micro(expr)}) AS HUGEINT) * {10 ** (6 - digits)})"
-    return (f"(CASE WHEN count({_micro(expr)}) = 0 THEN NULL "
-            f"ELSE CAST({_half_up_div(k, d)} AS DOUBLE) / {10 ** digits} END)")
-
-
-def _sum_exact(expr: str, digits: int) -> str:
-    k = f"CAST(sum({_micro(expr)}) AS HUGEINT)"
-    d = f"CAST({10 ** (6 - digits)} AS HUGEINT)"
-    return (f"(CASE WHEN count({_micro(expr)}) = 0 THEN NULL "
-            f"ELSE CAST({_half_up_div(k, d)} AS DOUBLE) / {10 ** digits} END)")
+def _sum(expr: str, digits: int) -> str:
+    return _round(f"sum({expr})", digits)
 
 
 def _in_list(values) -> str:
@@ -90,9 +69,9 @@ RISK_TIER = _tier_case("grade", presets.RISK_TIERS, presets.RISK_TIER_DEFAULT)
 
 LOAN_GOLD = f"""
 SELECT grade, loan_status, count(id) AS loan_count,
-       {_avg_exact("loan_amnt", 2)} AS avg_loan_amt, {_avg_exact("int_rate", 2)} AS avg_interest_rate,
-       {_avg_exact("annual_inc", 2)} AS avg_annual_income, {_avg_exact("dti", 2)} AS avg_dti,
-       {_sum_exact("loan_amnt", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
+       {_avg("loan_amnt", 2)} AS avg_loan_amt, {_avg("int_rate", 2)} AS avg_interest_rate,
+       {_avg("annual_inc", 2)} AS avg_annual_income, {_avg("dti", 2)} AS avg_dti,
+       {_sum("loan_amnt", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
 FROM ({LOAN_SILVER}) s GROUP BY grade, loan_status
 """
 
@@ -126,10 +105,10 @@ WHERE action_taken IN ({_in_list(presets.KEPT_ACTIONS)}) AND TRY_CAST(loan_amoun
 
 MORTGAGE_GOLD = f"""
 SELECT loan_purpose_label, action_label, loan_type_label, count(*) AS application_count,
-       {_avg_exact("loan_amount", 2)} AS avg_loan_amount, {_avg_exact("interest_rate", 2)} AS avg_interest_rate,
-       {_avg_exact("income", 2)} AS avg_income,
-       {_avg_exact("TRY_CAST(replace(debt_to_income_ratio, '%', '') AS DOUBLE)", 2)} AS avg_dti,
-       {_sum_exact("loan_amount", 2)} AS total_loan_volume,
+       {_avg("loan_amount", 2)} AS avg_loan_amount, {_avg("interest_rate", 2)} AS avg_interest_rate,
+       {_avg("income", 2)} AS avg_income,
+       {_avg("TRY_CAST(replace(debt_to_income_ratio, '%', '') AS DOUBLE)", 2)} AS avg_dti,
+       {_sum("loan_amount", 2)} AS total_loan_volume,
        {_decode_case('action_label', presets.APPROVAL_TIERS, presets.CODE_DEFAULT)} AS approval_tier
 FROM ({MORTGAGE_SILVER}) s GROUP BY loan_purpose_label, action_label, loan_type_label
 """
@@ -153,8 +132,8 @@ FROM events e, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events) b
 """
 
 STREAM_PREFIX = f"""
-SELECT CAST(n.batch AS INTEGER) AS batch, e.event_type, count(e.event_id) AS count, {_avg_exact("e.value", 2)} AS avg_amount,
-       {_avg_exact("e.user_id", 0)} AS avg_score
+SELECT CAST(n.batch AS INTEGER) AS batch, e.event_type, count(e.event_id) AS count, {_avg("e.value", 2)} AS avg_amount,
+       {_avg("e.user_id", 0)} AS avg_score
 FROM ({EVENT_BATCHES}) e JOIN range(1, {STREAM_BATCHES + 1}) n(batch) ON e.arrival_batch <= n.batch
 GROUP BY n.batch, e.event_type
 """
@@ -222,22 +201,22 @@ ORACLE: dict[str, str] = {
     "loan_gold": LOAN_GOLD,
     "gold_summary": f"""
 SELECT o_orderpriority AS grade, o_orderstatus AS loan_status, count(o_orderkey) AS loan_count,
-       {_avg_exact("o_totalprice", 2)} AS avg_loan_amt, {_sum_exact("o_totalprice", 2)} AS total_loan_volume,
+       {_avg("o_totalprice", 2)} AS avg_loan_amt, {_sum("o_totalprice", 2)} AS total_loan_volume,
        {_tier_case('o_orderpriority', ORDER_PRIORITY_TIERS, 'Unknown')} AS risk_tier
 FROM orders GROUP BY o_orderpriority, o_orderstatus""",
     "silver_clean": LOAN_SILVER,
     "silver_profile": f"""
-SELECT grade, count(*) AS loan_count, {_avg_exact("loan_amnt", 2)} AS avg_loan_amt,
-       {_avg_exact("int_rate", 2)} AS avg_interest_rate, {_avg_exact("dti", 2)} AS avg_dti
+SELECT grade, count(*) AS loan_count, {_avg("loan_amnt", 2)} AS avg_loan_amt,
+       {_avg("int_rate", 2)} AS avg_interest_rate, {_avg("dti", 2)} AS avg_dti
 FROM ({LOAN_SILVER}) s GROUP BY grade""",
     "bronze_profile": f"""
-SELECT loan_status, count(*) AS loan_count, {_avg_exact("TRY_CAST(loan_amnt AS DOUBLE)", 2)} AS avg_loan_amount
+SELECT loan_status, count(*) AS loan_count, {_avg("TRY_CAST(loan_amnt AS DOUBLE)", 2)} AS avg_loan_amount
 FROM ({LOANS_RAW}) r GROUP BY loan_status""",
     "loan_chain_e2e": LOAN_GOLD,
     "declarative_gold": f"""
-SELECT grade, loan_status, count(id) AS loan_count, {_avg_exact("loan_amnt", 2)} AS avg_loan_amt,
-       {_avg_exact("int_rate", 2)} AS avg_interest_rate, {_avg_exact("dti", 2)} AS avg_dti,
-       {_sum_exact("loan_amnt", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
+SELECT grade, loan_status, count(id) AS loan_count, {_avg("loan_amnt", 2)} AS avg_loan_amt,
+       {_avg("int_rate", 2)} AS avg_interest_rate, {_avg("dti", 2)} AS avg_dti,
+       {_sum("loan_amnt", 2)} AS total_loan_volume, {RISK_TIER} AS risk_tier
 FROM ({DECL_TYPED}) t
 WHERE loan_status IN ({_in_list(presets.LOAN_STATUSES)}) AND loan_amnt IS NOT NULL
 GROUP BY grade, loan_status""",
@@ -268,12 +247,12 @@ SELECT grade,
        {_pct("loan_status = 'Charged Off'", "loan_status IN ('Charged Off', 'Fully Paid')")} AS charged_off_pct
 FROM ({LOAN_SILVER}) s GROUP BY grade""",
     "gold_regroup": f"""
-SELECT grade, risk_tier, CAST(sum(loan_count) AS BIGINT) AS total_loans, {_sum_exact("total_loan_volume", 2)} AS total_volume
+SELECT grade, risk_tier, CAST(sum(loan_count) AS BIGINT) AS total_loans, {_sum("total_loan_volume", 2)} AS total_volume
 FROM ({LOAN_GOLD}) g GROUP BY grade, risk_tier""",
     "rename_dashed": MORTGAGE_PROJ,
     "label_decode": MORTGAGE_SILVER,
     "label_profile": f"""
-SELECT loan_purpose_label, action_label, count(*) AS application_count, {_avg_exact("loan_amount", 2)} AS avg_loan_amount
+SELECT loan_purpose_label, action_label, count(*) AS application_count, {_avg("loan_amount", 2)} AS avg_loan_amount
 FROM ({MORTGAGE_SILVER}) s GROUP BY loan_purpose_label, action_label""",
     "gold_three_key": MORTGAGE_GOLD,
     "combo_topk": f"""
@@ -338,19 +317,19 @@ WHERE b.o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",
     "cost_by_version": f"""
 SELECT prompt_version, count(*) AS calls, CAST(sum(input_tokens) AS BIGINT) AS input_tokens,
        CAST(sum(output_tokens) AS BIGINT) AS output_tokens, CAST(sum(total_tokens) AS BIGINT) AS total_tokens,
-       {_sum_exact("cost_usd", 6)} AS total_cost_usd, {_avg_exact("cost_usd", 6)} AS avg_cost_usd
+       {_sum("cost_usd", 6)} AS total_cost_usd, {_avg("cost_usd", 6)} AS avg_cost_usd
 FROM ({COSTS}) c GROUP BY prompt_version""",
     "version_compare": f"""
 SELECT {_q(PROMPT_VERSIONS[0])} AS version_a, {_q(PROMPT_VERSIONS[1])} AS version_b,
        calls_a, total_tokens_a, cost_usd_a, calls_b, total_tokens_b, cost_usd_b,
-       CAST({_micro("cost_usd_b")} - {_micro("cost_usd_a")} AS DOUBLE) / 1000000 AS cost_difference
+       {_round("cost_usd_b - cost_usd_a", 6)} AS cost_difference
 FROM (
   SELECT count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS calls_a,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS BIGINT) AS total_tokens_a,
-         {_sum_exact(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[0])} THEN cost_usd END", 6)} AS cost_usd_a,
+         {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[0])} THEN cost_usd END", 6)} AS cost_usd_a,
          count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS calls_b,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS BIGINT) AS total_tokens_b,
-         {_sum_exact(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[1])} THEN cost_usd END", 6)} AS cost_usd_b
+         {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[1])} THEN cost_usd END", 6)} AS cost_usd_b
   FROM ({COSTS}) c WHERE prompt_version IN ({_in_list(PROMPT_VERSIONS)})
 ) v""",
     "masked_view": """

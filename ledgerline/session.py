@@ -68,6 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if sc is None:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder for scratch output")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            # every executor would write to a disk of its own
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.exact import exact_avg, exact_sum, from_micro, micro, non_finite
+from ledgerline.functions.rounded import rounded, rounded_avg, rounded_sum
 
 # measure = (output name, function, input column); function in count, avg, sum
 Measure = tuple[str, str, str]
@@ -39,17 +39,14 @@ def assign_batches(df: DataFrame, key: str, n_batches: int, name: str = "batch")
 
 
 def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure]) -> tuple[DataFrame, list]:
-    """Per-group partial aggregates that later combine exactly: counts, sums
-    in micro-units, and beside them a plain double sum that turns NaN or
-    infinite when the group holds such a value (the fallback)."""
+    """Per-group partial aggregates that later combine: counts and sums."""
     aggs, finals = [], []
     for i, (name, fn, col) in enumerate(measures):
         if fn == "count":
             aggs.append((F.count(F.lit(1)) if col == "*" else F.count(col)).alias(f"_n{i}"))
             finals.append((name, fn, i))
         elif fn in ("sum", "avg"):
-            aggs += [F.sum(micro(col)).alias(f"_s{i}"), F.count(col).alias(f"_c{i}"),
-                     F.sum(F.col(col).cast("double")).alias(f"_d{i}")]
+            aggs += [F.sum(F.col(col).cast("double")).alias(f"_s{i}"), F.count(col).alias(f"_c{i}")]
             finals.append((name, fn, i))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
@@ -65,47 +62,32 @@ def _combine(name: str, fn: str, i: int, digits: int | None, over=None) -> Colum
     if fn == "count":
         out = total(f"_n{i}")
         return (out if over is None else F.coalesce(out, F.lit(0))).cast("bigint").alias(name)
-    shadow = total(f"_d{i}")
-    if fn == "sum":
-        exact, plain = total(f"_s{i}"), shadow
-    else:
-        exact, plain = total(f"_s{i}") / total(f"_c{i}"), shadow / total(f"_c{i}")
-    fallback = F.round(plain, digits) if digits is not None else plain
-    return F.when(non_finite(shadow), fallback).otherwise(from_micro(exact, digits)).alias(name)
-
-
-SPREAD_LIMIT = 64
+    value = total(f"_s{i}") if fn == "sum" else total(f"_s{i}") / F.nullif(total(f"_c{i}"), F.lit(0))
+    return rounded(value, digits).alias(name)
 
 
 def prefix_aggregate(df: DataFrame, batch_col: str, keys: Sequence[str], measures: Sequence[Measure],
                      n_batches: int, digits: dict[str, int] | None = None,
-                     out_batch: str = "batch", spread_limit: int = SPREAD_LIMIT) -> DataFrame:
-    """Aggregate of batches 1..b for every b in 1..n, per key.
-
-    Both forms start from per-(batch, key) partial aggregates, so the data
-    is scanned and shuffled once.  Up to ``spread_limit`` batches each
-    partial row is copied to the prefixes it belongs to (at most n copies of
-    a tiny frame).  Beyond that the copies would grow with n squared, so a
-    per-key grid of batches (from the key's first batch to n, made with
-    ``explode``, no cross join) is left-joined to the partials and summed
-    with a running window per key: linear in keys x batches.
+                     out_batch: str = "batch") -> DataFrame:
+    """Aggregate of batches 1..b for every b in 1..n, per key (a NULL key is a
+    key like any other).
+
+    The data is scanned and shuffled once, into per-(batch, key) partial
+    aggregates.  A key's empty batches are added as empty partials by a
+    union, so nothing is joined on the keys, and a running window per key sums
+    them up: linear in keys x batches.
     """
     digits = digits or {}
     partial, finals = _partials(df, [batch_col, *keys], measures)
-    if n_batches <= spread_limit:
-        spread = partial.withColumn(out_batch, F.explode(F.sequence(F.col(batch_col).cast("int"),
-                                                                   F.lit(n_batches))))
-        if out_batch != batch_col:
-            spread = spread.drop(batch_col)
-        return spread.groupBy(out_batch, *keys).agg(
-            *[_combine(name, fn, i, digits.get(name)) for name, fn, i in finals])
-
     parts = partial.withColumnRenamed(batch_col, out_batch).withColumn(out_batch, F.col(out_batch).cast("int"))
-    grid = (parts.groupBy(*keys).agg(F.min(out_batch).alias("__ll_first"))
-            .select(*keys, F.explode(F.sequence(F.col("__ll_first"), F.lit(n_batches))).alias(out_batch)))
-    joined = grid.join(parts, [*keys, out_batch], "left")
+    parts = parts.filter(F.col(out_batch) <= n_batches)
+    empty = (parts.groupBy(*keys).agg(F.min(out_batch).alias("__ll_first"))
+             .select(*keys, F.explode(F.sequence(F.col("__ll_first"), F.lit(n_batches))).alias(out_batch)))
+    both = parts.unionByName(empty, allowMissingColumns=True)
+    sums = [c for c in parts.columns if c not in (*keys, out_batch)]
+    filled = both.groupBy(*keys, out_batch).agg(*[F.sum(c).alias(c) for c in sums])
     w = Window.partitionBy(*keys).orderBy(out_batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return joined.select(out_batch, *keys, *[_combine(name, fn, i, digits.get(name), over=w)
+    return filled.select(out_batch, *keys, *[_combine(name, fn, i, digits.get(name), over=w)
                                             for name, fn, i in finals])
 
 
@@ -130,8 +112,7 @@ def land_batches(df: DataFrame, batch_col: str, landing_dir: str, n_batches: int
 
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
                       measures: Sequence[Measure], sink_dir: str, checkpoint_dir: str,
-                      files_per_trigger: int = 1, digits: dict[str, int] | None = None,
-                      timeout_s: float = 600.0) -> DataFrame:
+                      files_per_trigger: int = 1, digits: dict[str, int] | None = None) -> DataFrame:
     """Process everything landed so far in rate-limited micro-batches and
     return all micro-batch results with their ``batch_id`` (0-based)."""
     digits = digits or {}
@@ -141,9 +122,9 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
             aggs.append((F.count(F.lit(1)) if col == "*" else F.count(col)).alias(name))
             continue
         if fn == "sum":
-            aggs.append(exact_sum(col, digits.get(name)).alias(name))
+            aggs.append(rounded_sum(col, digits.get(name)).alias(name))
         elif fn == "avg":
-            aggs.append(exact_avg(col, digits.get(name)).alias(name))
+            aggs.append(rounded_avg(col, digits.get(name)).alias(name))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
@@ -155,10 +136,7 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
 
     query = (running.writeStream.outputMode("complete").foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError("availableNow stream did not finish in time")
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return spark.read.parquet(sink_dir)

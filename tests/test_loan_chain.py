@@ -93,17 +93,26 @@ def test_rates_topk_regroup(spark):
     assert g.total == 5
 
 
-def test_ordered_subset_threshold_path_equals_topk(spark):
+def test_ordered_subset_of_any_size_and_key_type(spark):
     from ledgerline.operators.filters import ordered_subset
-    df = spark.range(0, 5000).selectExpr("(id * 7919) % 5000 AS k", "id").repartition(7)
-    plain = [r.k for r in ordered_subset(df, ["k"], 1200).collect()]
-    cut = [r.k for r in ordered_subset(df, ["k"], 1200, topk_rows=100).collect()]
-    assert plain == cut == list(range(1200))
-
-
-def test_ordered_subset_threshold_path_keeps_nulls_first(spark):
-    from ledgerline.operators.filters import ordered_subset
-    df = spark.range(0, 3000).selectExpr("CASE WHEN id % 100 = 0 THEN NULL ELSE (id * 7919) % 3000 END AS k")
-    plain = [r.k for r in ordered_subset(df, ["k"], 500).collect()]
-    cut = [r.k for r in ordered_subset(df, ["k"], 500, topk_rows=100).collect()]
-    assert plain == cut and plain[:30] == [None] * 30
+    df = spark.range(0, 250000).selectExpr("lpad(cast((id * 7919) % 250000 as string), 6, '0') AS k").repartition(7)
+    assert ordered_subset(df, ["k"], 220000).agg(F.max("k"), F.count("*")).first()[:] == ("219999", 220000)
+    nulls = spark.range(0, 3000).selectExpr("CASE WHEN id % 100 = 0 THEN NULL ELSE (id * 7919) % 3000 END AS k")
+    got = [r.k for r in ordered_subset(nulls, ["k"], 500).collect()]
+    assert got[:30] == [None] * 30 and got[30:] == sorted(got[30:])
+
+
+def test_decode_keeps_its_answers_for_long_maps(spark):
+    from ledgerline.functions.codes import decode
+    long = {str(i): (None if i == 3 else f"L{i}") for i in range(70)}
+    df = spark.createDataFrame([("3",), ("69",), ("x",), (None,)], "c string")
+    assert [r[0] for r in df.select(decode("c", long)).collect()] == [None, "L69", "Other", "Other"]
+
+
+def test_rounded_aggregates_drop_no_value(spark):
+    from ledgerline.functions.rounded import rounded_avg, rounded_sum
+    small = spark.range(1_000_000).select(F.lit(4e-7).alias("x"))
+    assert small.agg(rounded_sum("x", 2)).first()[0] == 0.4
+    for big in (1e27, 1e33):
+        got = spark.createDataFrame([(1.0,), (big,)], "x double").agg(rounded_avg("x", 2)).first()[0]
+        assert got == (1.0 + big) / 2

@@ -12,3 +12,25 @@ def test_default_parallelism_and_session_settings(spark):
     same = build_session(extra_conf={"spark.sql.shuffle.partitions": "8"})   # returns the active session
     assert same.conf.get("spark.sql.adaptive.enabled") == "true"
     assert same.conf.get("spark.ui.showConsoleProgress") == "false"
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    from ledgerline import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())

@@ -65,15 +65,20 @@ def test_available_now_stream_equals_batch_form(spark):
         assert got == _brute(df, b)
 
 
-def test_prefix_forms_agree_for_many_batches(spark):
+def test_prefix_aggregate_for_many_batches_and_null_keys(spark):
     import random
     rnd = random.Random(7)
-    rows = [(rnd.randint(1, 80), rnd.choice("abcd"), round(rnd.uniform(0, 1000), 2)) for _ in range(600)]
+    rows = [(rnd.randint(1, 80), rnd.choice(["a", "b", "c", None]), round(rnd.uniform(0, 1000), 2))
+            for _ in range(600)]
     rows.append((80, "late", 5.0))          # a key that appears only in the last batch
     df = spark.createDataFrame(rows, "b int, k string, v double")
     m = [("n", "count", "*"), ("avg_v", "avg", "v"), ("sum_v", "sum", "v")]
-    spread = prefix_aggregate(df, "b", ["k"], m, 80, {"avg_v": 2, "sum_v": 2}, spread_limit=1000)
-    windowed = prefix_aggregate(df, "b", ["k"], m, 80, {"avg_v": 2, "sum_v": 2}, spread_limit=10)
-    a = sorted(tuple(r) for r in spread.select("batch", "k", "n", "avg_v", "sum_v").collect())
-    b = sorted(tuple(r) for r in windowed.select("batch", "k", "n", "avg_v", "sum_v").collect())
-    assert a == b and len(a) == sum(80 - min(r[0] for r in rows if r[1] == k) + 1 for k in "abcd") + 1
+    got = {(r.batch, r.k): r for r in prefix_aggregate(df, "b", ["k"], m, 80).collect()}
+    want = {}
+    for b in range(1, 81):
+        for k in {r[1] for r in rows if r[0] <= b}:
+            want[(b, k)] = [r[2] for r in rows if r[0] <= b and r[1] == k]
+    assert got.keys() == want.keys()
+    for key, vals in want.items():
+        r = got[key]
+        assert r.n == len(vals) and abs(r.sum_v - sum(vals)) < 1e-6 and abs(r.avg_v - sum(vals) / len(vals)) < 1e-6
