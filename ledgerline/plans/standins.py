@@ -20,7 +20,7 @@ _GRADE = "SUBSTR('ABCDEFG', CAST(l_partkey % 7 AS INT) + 1, 1)"
 
 LOANS_RAW = [
     ("id", "CAST(l_orderkey * 10 + l_linenumber AS STRING)"),
-    ("loan_amnt", "CASE WHEN l_quantity = 1 THEN 'n/a' ELSE CAST(l_extendedprice AS STRING) END"),
+    ("loan_amnt", "CASE WHEN l_quantity = 1 THEN 'n/a' ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) END"),
     ("funded_amnt", "CAST(l_extendedprice * (1 - l_discount) AS STRING)"),
     ("term", "CASE WHEN l_linenumber % 2 = 0 THEN ' 60 months' ELSE ' 36 months' END"),
     ("int_rate", "CONCAT(CAST(l_discount * 100 + 5 AS STRING), '%')"),
@@ -56,7 +56,7 @@ MORTGAGE_RAW = [
      "CASE l_partkey % 6 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '4'"
      " WHEN 3 THEN '31' WHEN 4 THEN '32' ELSE '5' END"),
     ("action_taken", "CAST(l_linenumber AS STRING)"),
-    ("loan_amount", "CASE WHEN l_quantity = 2 THEN 'NA' ELSE CAST(l_extendedprice * 10 AS STRING) END"),
+    ("loan_amount", "CASE WHEN l_quantity = 2 THEN 'NA' ELSE CAST(CAST(floor(l_extendedprice * 10) AS BIGINT) AS STRING) END"),
     ("interest_rate",
      "CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'Exempt'"
      " ELSE CAST(l_discount * 50 + 3 AS STRING) END"),
