@@ -61,10 +61,14 @@ def test_quality_rules_counts_and_filter(spark):
 
 
 def test_quality_rules_reject_far_histograms(spark):
-    plain = [(i, f"The plan of the town and the road to the sea is old {i} and it is in a good place. " * 9, "en", "s")
-             for i in range(9)]
-    plain = [(i, " ".join(f"{w}{'' if len(w) < 4 else chr(97 + (i + j) % 26)}" for j, w in enumerate(t.split())), g, s)
-             for i, t, g, s in plain]
+    rng = np.random.default_rng(1)
+    common = ["the", "of", "and", "to", "in", "a", "is"]
+
+    def word():
+        return "".join(chr(97 + int(c)) for c in rng.integers(0, 26, 7))
+
+    plain = [(i, " ".join(common[int(rng.integers(7))] if rng.random() < 0.4 else word() for _ in range(220)) + ".",
+              "en", "s") for i in range(9)]
     junk = (99, " ".join(f"q{i}###" for i in range(200)), "en", "s")
     verdict = {r.doc_id: r.kept for r in quality_rules.quality_report(frame(spark, [*plain, junk])).collect()}
     assert not verdict.pop(99) and all(verdict.values())
@@ -291,7 +295,7 @@ def test_quality_classifier_on_held_out_rows(spark):
 
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = _labelled(spark, lambda i: f"the w{i} of x{i % 9} y{i % 7} and so on",
-                             lambda i: f"the w{i} of badstem{i % 5} y{i % 7} and so badstem{i % 3} on")
+                             lambda i: f"the w{i} badstem{i % 5} y{i} and so badstem{i % 3} on")
     got = {r.doc_id: r for r in toxicity.train_and_score(docs, labels).collect()}
     assert len(got) == 242 and all(0 <= r.score <= 1 for r in got.values())
     assert all((r.score >= 0.3) == (i % 4 == 0) for i, r in got.items() if i < 240)
