@@ -42,6 +42,9 @@ _FRONTIER = 262_144
 #: Node pairs of at most this many combinations are compared leaf by leaf.
 _SMALL = 8
 _HASHES_AT_ONCE = 65_536
+#: A fingerprint of more than one in HOT_SHARE of all rows (and over HOT_ROWS) is hot; there are fewer than HOT_SHARE.
+HOT_SHARE = 100_000
+HOT_ROWS = 1_000
 
 
 def _fingerprint(text: bytes, shingle: int, seed: int) -> int:
@@ -266,16 +269,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
     ``max_bits`` differing bits share the smallest doc_id among them and
     group_fp, the group's smallest (signed) fingerprint."""
     fps = materialise(fingerprints(docs, shingle, seed, id_col, text_col), "simhash-fps")
-    reps = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-reps")
+    reps = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n_rows")),
+                       "simhash-reps")
     roots = components(near_links(reps.select("fp"), max_bits, leaf_rows))
     linked = roots.join(reps, roots["node"] == reps["fp"]).select("node", "root", "least_id")
     named = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
     named = linked.select("node", "root").join(named, "root").select(F.col("node").alias("fp"), "root", "component_id")
-    classes = (reps.join(named, "fp", "left")
-               .select("fp", F.coalesce("root", "fp").alias("group_fp"),
-                       F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id"))
-                       .alias("component_id")))
-    return fps.join(classes, "fp").select("doc_id", "text_key", "fp", "group_fp", "component_id")
+    classes = materialise(reps.join(named, "fp", "left")
+                          .select("fp", F.coalesce("root", "fp").alias("group_fp"),
+                                  F.when(F.col("root").isNull(), F.col("least_id")).otherwise(F.col("component_id"))
+                                  .alias("component_id"), "n_rows"), "simhash-classes")
+    return _members(fps, classes)
+
+
+def _members(fps: DataFrame, classes: DataFrame) -> DataFrame:
+    """Every row with its class.  The rows of hot fingerprints meet theirs by a
+    broadcast bounded by HOT_SHARE and stay where they are; all others, none of
+    which has many rows, join by shuffle."""
+    total = classes.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    is_hot = F.col("n_rows") > max(HOT_ROWS, total // HOT_SHARE)
+    hot = F.broadcast(classes.filter(is_hot))
+    cold = fps.join(hot.select("fp"), "fp", "left_anti").join(classes.filter(~is_hot), "fp")
+    columns = ["doc_id", "text_key", "fp", "group_fp", "component_id"]
+    return fps.join(hot, "fp").select(*columns).unionByName(cold.select(*columns))
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -93,6 +93,17 @@ def test_fingerprints_and_groups(spark):
     assert simhash.near_duplicates(frame(spark, DOCS).limit(0)).count() == 0
 
 
+def test_hot_fingerprints_return_the_same_rows(spark, monkeypatch):
+    fps = spark.createDataFrame([(i, i, i % 3) for i in range(12)] + [(99, 99, 7)],
+                                "doc_id bigint, text_key bigint, fp bigint")
+    classes = spark.createDataFrame([(0, 0, 0, 4), (1, 0, 0, 4), (2, 2, 2, 4), (7, 7, 99, 1)],
+                                    "fp bigint, group_fp bigint, component_id bigint, n_rows bigint")
+    expected = sorted(map(tuple, simhash._members(fps, classes).collect()))
+    assert len(expected) == 13
+    monkeypatch.setattr(simhash, "HOT_ROWS", 2)
+    assert sorted(map(tuple, simhash._members(fps, classes).collect())) == expected
+
+
 @pytest.mark.parametrize("leaf_rows", [8, 65_536])
 def test_links_close_like_all_pairs(spark, leaf_rows):
     rng = np.random.default_rng(leaf_rows)
