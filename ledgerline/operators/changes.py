@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,13 +130,16 @@ def change_log(changes: DataFrame, columns: Sequence[str], at: _dt.datetime | No
 
 
 def latest_changes(log: DataFrame, on: str | Sequence[str], order_col: str = "change_timestamp") -> DataFrame:
-    """The last logged change per key (by ``order_col``, ties broken by the
-    other columns so the choice is repeatable), as one partial-aggregate
-    pass -- no window sort over the log."""
+    """The last logged change per key, as one aggregate over the log: by
+    ``order_col``, then by the ``version`` that wrote the change if the log
+    has that column (see :func:`apply_changes`), then by the other columns, so
+    the choice is repeatable."""
     keys = _keys(on)
-    rest = [c for c in log.columns if c not in keys and c != order_col]
-    latest = log.groupBy(*keys).agg(F.max(F.struct(order_col, *rest)).alias("__ll_last"))
-    return latest.select(*keys, *[F.col(f"__ll_last.{c}").alias(c) for c in [order_col, *rest]])
+    order = [order_col] + ["version"] * ("version" in log.columns and order_col != "version")
+    rest = [c for c in log.columns if c not in keys and c not in order]
+    latest = log.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("__ll_last"))
+    kept = [c for c in log.columns if c not in keys]
+    return latest.select(*keys, *[F.col(f"__ll_last.{c}").alias(c) for c in kept])
 
 
 def replay_changes(base: DataFrame, log: DataFrame, on: str | Sequence[str], set_columns: Mapping[str, str],
@@ -184,14 +188,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     file-system call on a classic session, a zero-row read under Connect."""
     try:
         sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no context
+        sc = None
+    if sc is not None:  # an error of the file system is not an answer and goes up
         p = sc._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
-    except Exception:  # noqa: BLE001 - Spark Connect
-        try:
-            spark.read.format("binaryFile").load(path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
             return False
+        raise
 
 
 HISTORY_SCHEMA = T.StructType([
@@ -295,7 +303,7 @@ class VersionedTable:
         else:
             observed.write.mode("overwrite").parquet(self.version_path(version))
         m = obs.get
-        when = at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        when = at or _dt.datetime.now(_dt.timezone.utc)
         row = (version, when, operation, parameters, int(m.get("rows", 0)),
                int(m["updated"]) if "updated" in m else None)
         (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
@@ -309,19 +317,25 @@ def apply_changes(table: VersionedTable, changes: DataFrame, on: str | Sequence[
                   operation: str = "UPDATE", source_system: str = "loan_servicing_feed",
                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
     """Merge ``changes`` into the latest snapshot, commit the result as a new
-    version, and append the audit rows to ``log_root`` (if given)."""
+    version, and write its audit rows to ``log_root`` (if given).
+
+    The rows of version n go to ``<log_root>/version=<n>`` before the commit,
+    in overwrite mode: a crash never leaves a version without its log, a retry
+    replaces its own rows, and readers see ``version`` as a column.
+    """
     # the change set is read by the duplicate check, the size check, the join
     # and the log: compute it once (blocks lost with an executor are recomputed)
     changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if log_root:
+            cols = list(log_columns or changes.columns)
+            (change_log(changes, cols, at, operation, source_system).write.mode("overwrite")
+             .parquet(f"{log_root.rstrip('/')}/version={(table.latest_version() or 0) + 1}"))
         merged = merge_update(table.current(), changes, on, set_columns,
                               broadcast_rows=broadcast_rows, keep_marker=True)
         version = table.commit(merged, "MERGE", at=at, updated_col=MATCH_MARKER,
                                parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}",
                                prepartitioned=table.bucketed and table.bucket_by == _keys(on))
-        if log_root:
-            cols = list(log_columns or changes.columns)
-            change_log(changes, cols, at, operation, source_system).write.mode("append").parquet(log_root)
     finally:
         changes.unpersist()
     return version

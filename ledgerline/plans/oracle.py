@@ -282,6 +282,10 @@ FROM ({MORTGAGE_SILVER}) s GROUP BY applicant_race, {INCOME_BAND}""",
     "ordered_subset": f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {DEV_SUBSET_ROWS}",
     "bronze_csv_roundtrip": "SELECT * FROM customer",
     "export_roundtrip": LOAN_GOLD,
+    "export_manifest": f"""
+SELECT 'loan_risk' AS "table", CAST(1 AS BIGINT) AS files, count(*) AS rows, true AS sound FROM ({LOAN_GOLD}) g
+UNION ALL
+SELECT 'mortgage_risk', CAST(1 AS BIGINT), count(*), true FROM ({MORTGAGE_GOLD}) m""",
     "export_verify": f"""
 SELECT 'loan_risk' AS "table", count(*) AS expected_rows, count(*) AS exported_rows, true AS matches
 FROM ({LOAN_GOLD}) g

@@ -11,7 +11,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,35 +78,20 @@ def create_table_if_missing(spark: SparkSession, name: str, ddl_columns: str) ->
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl_columns}) USING parquet")
 
 
-SMALL_EXPORT_ROWS = 1_000_000
+def export_parquet(df: DataFrame, path: str, files: int | None = None) -> int:
+    """Overwrite ``path`` with ``df`` as Parquet in one write and return its rows.
 
-
-def export_parquet(df: DataFrame, path: str, single_file_rows: int = SMALL_EXPORT_ROWS) -> int:
-    """Overwrite ``path`` with ``df`` as Parquet.
-
-    A frame with at most ``single_file_rows`` rows is written as one file,
-    like a gold table handed to another tool; a larger one keeps its
-    partitioning so the write stays parallel.  The frame is computed once, in
-    parallel, by the counting pass (persisted, so the write reads it back),
-    and a small one is gathered with ``repartition(1)`` -- a shuffle boundary,
-    so only the final write is a single task, never the work upstream of it
-    (``coalesce(1)`` would pull the whole upstream stage into that task).
-    Returns the rows written.
+    ``files``: number of files, for a reader that expects one; the rows are
+    gathered behind a shuffle, so the work before it stays parallel.  The
+    caller decides, whatever the number of rows; by default the frame keeps its
+    partitioning.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = kept.count()
-        out = kept.repartition(1) if rows <= single_file_rows else kept
-        return write_layer(out, path, "overwrite")
-    finally:
-        kept.unpersist()
+    return write_layer(df.repartition(files) if files else df, path, "overwrite")
 
 
-def export_tables(tables: Mapping[str, DataFrame], root: str,
-                  single_file_rows: int = SMALL_EXPORT_ROWS) -> dict[str, int]:
+def export_tables(tables: Mapping[str, DataFrame], root: str, files: int | None = None) -> dict[str, int]:
     """Export each table to ``<root>/<name>``; returns rows per table."""
-    return {name: export_parquet(df, f"{root.rstrip('/')}/{name}", single_file_rows)
-            for name, df in tables.items()}
+    return {name: export_parquet(df, f"{root.rstrip('/')}/{name}", files) for name, df in tables.items()}
 
 
 def export_manifest(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:

@@ -97,6 +97,20 @@ def test_replay_takes_latest_change_per_key(spark, tmp_dir):
     assert out["2"].loan_status == "Fully Paid" and out["3"].loan_status == "Current"
 
 
+def test_replay_of_changes_logged_with_one_timestamp(spark, tmp_dir):
+    """The later version wins although its old status sorts first."""
+    at = dt.datetime(2026, 6, 20, 12, 0, 0)
+    table = ch.VersionedTable(spark, f"{tmp_dir}/loans")
+    table.commit(_target(spark), "WRITE", at=at)
+    for old, new in [("Z", "Late (16-30 days)"), ("A", "Default")]:
+        changes = spark.createDataFrame([("1", old, new, 1.0, 2.0)], CHANGES)
+        ch.apply_changes(table, changes, "id", SET, at=at, log_root=f"{tmp_dir}/log")
+    log = spark.read.parquet(f"{tmp_dir}/log")
+    assert log.count() == 2
+    out = ch.replay_changes(_target(spark), log, "id", SET)
+    assert out.filter("id = '1'").first().loan_status == "Default"
+
+
 def test_bucketed_versions_merge_without_target_shuffle(spark, tmp_dir):
     import contextlib
     import io

@@ -60,7 +60,7 @@ def test_csv_roundtrip_and_export(spark, tmp_dir, loans_raw):
     assert back.count() == loans_raw.count()
     assert back.filter("id = '1'").first().term == " 36 months"      # raw text kept verbatim
     gold = chains.loan_chain(loans_raw)
-    rows = files.export_tables({"loan_risk": gold}, f"{tmp_dir}/export")
+    rows = files.export_tables({"loan_risk": gold}, f"{tmp_dir}/export", files=1)
     assert rows == {"loan_risk": 4}
     man = files.export_manifest(spark, f"{tmp_dir}/export", ["loan_risk"]).collect()
     assert len(man) == 1 and man[0].rows == 4 and man[0].file_size > 0
@@ -95,10 +95,10 @@ def test_namespace_and_typed_table(spark, loans_raw):
     assert spark.table("bronze.loans_raw").count() == 16
 
 
-def test_export_keeps_partitioning_above_the_single_file_bound(spark, tmp_dir):
+def test_export_writes_the_files_the_caller_asks_for(spark, tmp_dir):
     df = spark.range(0, 1000).repartition(4)
-    assert files.export_parquet(df, f"{tmp_dir}/big", single_file_rows=100) == 1000
+    assert files.export_parquet(df, f"{tmp_dir}/big") == 1000
     parts = [n for n in os.listdir(f"{tmp_dir}/big") if n.endswith(".parquet")]
     assert len(parts) == 4
-    assert files.export_parquet(df, f"{tmp_dir}/small", single_file_rows=5000) == 1000
+    assert files.export_parquet(df, f"{tmp_dir}/small", files=1) == 1000
     assert len([n for n in os.listdir(f"{tmp_dir}/small") if n.endswith(".parquet")]) == 1
