@@ -26,7 +26,7 @@ def run(spark, loans_csv: str, mortgages_csv: str, root: str, partitions: int |
     checks = reconcile(read_layer(spark, loans.paths["bronze"]), read_layer(spark, loans.paths["silver"]),
                        read_layer(spark, loans.paths["gold"]), gold_count_col="loan_count")
     exported = export_tables({"loan_risk": read_layer(spark, loans.paths["gold"]),
-                              "mortgage_risk": read_layer(spark, mortgages.paths["gold"])}, f"{root}/export")
+                              "mortgage_risk": read_layer(spark, mortgages.paths["gold"])}, f"{root}/export", files=1)
     verified = all(r.matches for r in verify_export(spark, f"{root}/export", exported).collect())
     return {
         "loans": loans.rows,
