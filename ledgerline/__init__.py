@@ -11,7 +11,7 @@ from ledgerline.functions import (decode, fill_template, mask_text, money, month
                                   safe_double, safe_int, strip_cast, tier)
 from ledgerline.operators.aggregate import regroup, share, summarise, top_k
 from ledgerline.operators.changes import (VersionedTable, apply_changes, before_after, change_log,
-                                          latest_changes, merge_update, replay_changes, sized_broadcast)
+                                          latest_changes, merge_update, replay_changes)
 from ledgerline.operators.filters import keep_in, ordered_subset, require
 from ledgerline.operators.policy import masked_view, region_policy, row_policy
 from ledgerline.operators.prompts import (cost_by_version, estimate_tokens, generate, narrate_segments,
@@ -24,22 +24,22 @@ from ledgerline.plans.chains import (declarative_gold, declarative_silver, loan_
 from ledgerline.session import build_session, checkpoint_root, scratch_path
 from ledgerline.sources.files import (export_manifest, export_parquet, export_tables, read_layer,
                                       read_raw_csv, verify_export, write_csv, write_layer)
-from ledgerline.streaming.running import (assign_batches, land_batches, prefix_aggregate,
+from ledgerline.streaming.running import (prefix_aggregate,
                                           run_available_now)
 
 __version__ = "0.1.0"
 
 __all__ = [
-    "VersionedTable", "apply_changes", "assign_batches", "before_after", "build_session",
+    "VersionedTable", "apply_changes", "before_after", "build_session",
     "change_log", "checkpoint_root", "cost_by_version", "declarative_gold", "declarative_silver",
     "decode", "estimate_tokens", "expectation_report", "export_manifest", "export_parquet",
-    "export_tables", "fill_template", "generate", "keep_in", "land_batches", "latest_changes",
+    "export_tables", "fill_template", "generate", "keep_in", "latest_changes",
     "layer_counts", "loan_chain", "loan_gold", "loan_silver", "mask_text", "masked_view",
     "merge_update", "money", "month_date", "mortgage_chain", "mortgage_gold", "mortgage_silver",
     "narrate_segments", "observe_expectations", "ordered_subset", "prefix_aggregate", "read_layer",
     "read_raw_csv", "reconcile", "region_policy", "regroup", "render_prompts", "replay_changes",
     "require", "row_policy", "run_available_now", "run_loan_chain", "run_mortgage_chain",
-    "safe_cast", "safe_double", "safe_int", "scratch_path", "share", "sized_broadcast",
+    "safe_cast", "safe_double", "safe_int", "scratch_path", "share",
     "source_shape", "strip_cast", "summarise", "tier", "token_cost", "top_k", "verify_export",
     "version_compare", "write_cost_log", "write_csv", "write_layer",
 ]

@@ -2,12 +2,13 @@
 immutable versioned snapshots, history and as-of reads.
 
 * ``merge_update`` is a left join of the target to the change set followed by
-  a ``CASE`` per updated column.  The change set is broadcast only after its
-  row count is proven below a bound; otherwise both sides shuffle on the key
-  and AQE splits skewed target partitions.
+  a ``CASE`` per updated column.  No join carries a hint: the optimizer
+  broadcasts the change set when its bytes are below the session's threshold,
+  else both sides shuffle on the key and AQE splits skewed target partitions.
 * A change set with several rows for a key that exists in the target is
   refused, as a table-format MERGE refuses it; a join would silently multiply
-  target rows.
+  target rows.  The check is part of the plan: the job fails, no count runs
+  before the caller acts.
 * ``VersionedTable`` writes every version to its own folder
   ``<root>/v=<n>`` (never overwritten) and appends one history row per
   version after the data commit, so a version is visible only once complete
@@ -20,7 +21,6 @@ import datetime as _dt
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,50 +28,14 @@ from pyspark.sql import types as T
 
 MATCH_MARKER = "__ll_matched"
 
-DEFAULT_BROADCAST_ROWS = 500_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked by a
-    bounded count); otherwise return it unchanged for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def duplicate_keys(changes: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Keys that occur more than once in ``changes`` (NULL keys never match
-    and are ignored)."""
-    keys = _keys(on)
-    present = changes
-    for k in keys:
-        present = present.filter(F.col(k).isNotNull())
-    return (present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > 1).select(*keys))
-
-
-def has_ambiguous_match(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
-                        broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Whether a key repeated in ``changes`` also exists in ``target``.
-
-    The change set is checked on its own first (the usual answer, "no
-    repeated key", never touches the target); only repeated keys are then
-    looked up in the target, broadcast when their number is proven small.
-    """
-    keys = _keys(on)
-    dup = duplicate_keys(changes, keys)
-    if dup.limit(1).count() == 0:
-        return False
-    hit = target.select(*keys).join(sized_broadcast(dup, broadcast_rows), keys, "left_semi")
-    return hit.limit(1).count() > 0
-
-
 def merge_update(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
-                 set_columns: Mapping[str, str], broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 check_duplicates: bool = True, keep_marker: bool = False) -> DataFrame:
+                 set_columns: Mapping[str, str], check_duplicates: bool = True,
+                 keep_marker: bool = False) -> DataFrame:
     """``MERGE INTO target USING changes ON key WHEN MATCHED THEN UPDATE SET``.
 
     ``set_columns`` maps a target column to the change column that replaces
@@ -80,32 +44,26 @@ def merge_update(target: DataFrame, changes: DataFrame, on: str | Sequence[str],
     value, decides).  With ``keep_marker`` the boolean column
     ``__ll_matched`` is kept for metrics.
 
-    One aggregate over the change set (before the join) counts its rows and
-    its repeated keys: the change set is broadcast only if it has at most
-    ``broadcast_rows`` rows, and the target is consulted for the duplicate
-    guard only when repeated keys exist.
+    The change set is folded to one row per key before the join, so a target
+    row meets one row at most; when a folded key had several rows and a target
+    row matches it, the job fails.  ``check_duplicates=False`` is for keys known
+    to be unique (the latest change per key) and saves that aggregate.
     """
     keys = _keys(on)
     tschema = {f.name: f.dataType for f in target.schema.fields}
-    src = changes.select(*keys, *[F.col(s).alias(f"__ll_src_{t}") for t, s in set_columns.items()],
-                         F.lit(True).alias(MATCH_MARKER))
+    src = changes.select(*keys, *[F.col(s).alias(f"__ll_src_{t}") for t, s in set_columns.items()])
     if check_duplicates:
-        # one pass over the change set gives its size and its repeated keys
-        key_present = F.lit(True)
-        for k in keys:
-            key_present = key_present & F.col(k).isNotNull()
-        stats = (changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-                 .agg(F.sum("n").alias("rows"), F.count_if((F.col("n") > 1) & key_present).alias("dups"))
-                 .first())
-        rows, dups = int(stats["rows"] or 0), int(stats["dups"] or 0)
-        if dups and has_ambiguous_match(target, changes, keys, broadcast_rows):
-            raise ValueError("merge refused: several change rows match the same target row")
-    else:  # keys known unique (e.g. the latest change per key): a bounded count is enough
-        rows = changes.limit(broadcast_rows + 1).count()
-    if rows <= broadcast_rows:
-        src = F.broadcast(src)
+        new_values = [c for c in src.columns if c not in keys]
+        # grouped on one struct, so that the join still shuffles both sides itself and AQE may split a hot key
+        src = (src.groupBy(F.struct(*keys).alias("__ll_key"))
+               .agg(*[F.first(c).alias(c) for c in new_values], F.count(F.lit(1)).alias("__ll_n"))
+               .select("__ll_key.*", *new_values, "__ll_n"))
+        refused = F.raise_error("merge refused: several change rows match the same target row").cast("boolean")
+        matched = F.when(F.col("__ll_n") > 1, refused).otherwise(F.col("__ll_n").isNotNull())
+    else:
+        src = src.withColumn(MATCH_MARKER, F.lit(True))
+        matched = F.coalesce(F.col(MATCH_MARKER), F.lit(False))
     joined = target.join(src, keys, "left")
-    matched = F.coalesce(F.col(MATCH_MARKER), F.lit(False))
     cols = []
     for c in target.columns:
         if c in set_columns:
@@ -143,44 +101,39 @@ def latest_changes(log: DataFrame, on: str | Sequence[str], order_col: str = "ch
 
 
 def replay_changes(base: DataFrame, log: DataFrame, on: str | Sequence[str], set_columns: Mapping[str, str],
-                   order_col: str = "change_timestamp",
-                   broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   order_col: str = "change_timestamp") -> DataFrame:
     """Re-apply a change log to a rebuilt table (a rerun of the silver step
     would otherwise lose merged changes): the latest change per key, merged
     with :func:`merge_update`."""
-    return merge_update(base, latest_changes(log, on, order_col), on, set_columns,
-                        broadcast_rows=broadcast_rows, check_duplicates=False)
+    return merge_update(base, latest_changes(log, on, order_col), on, set_columns, check_duplicates=False)
 
 
 def before_after(before: DataFrame, after: DataFrame, keys_df: DataFrame, on: str,
-                 columns: Sequence[str], broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                 layout: str = "wide") -> DataFrame:
+                 columns: Sequence[str], layout: str = "wide") -> DataFrame:
     """Values of the keys in ``keys_df`` in two snapshots.
 
     ``layout="wide"``: one row per key, ``<key>, <col>_before, <col>_after``
-    (a full outer join; the key must be unique in each snapshot, as a
-    primary key is -- a repeated key raises instead of pairing every row with
-    every other).  ``layout="long"``: the rows of both snapshots tagged
+    (one aggregate over the union of both snapshots; the key must be unique in
+    each, as a primary key is -- a repeated key fails the job).
+    ``layout="long"``: the rows of both snapshots tagged
     ``snapshot = 'before' | 'after'`` (a union, any keys).
     """
-    keys = sized_broadcast(keys_df.select(on).distinct(), broadcast_rows)
-    b = before.join(keys, on, "left_semi").select(on, *columns)
-    a = after.join(keys, on, "left_semi").select(on, *columns)
-    if layout == "long":
-        return (b.select(F.lit("before").alias("snapshot"), "*")
-                .unionByName(a.select(F.lit("after").alias("snapshot"), "*")))
-    if layout != "wide":
+    if layout not in ("wide", "long"):
         raise ValueError(f"unknown layout {layout!r}")
-    repeated = (b.select(on, F.lit(0).alias("__ll_side")).unionByName(a.select(on, F.lit(1).alias("__ll_side")))
-                .groupBy(on, "__ll_side").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
-    if repeated.limit(1).count() > 0:
-        raise ValueError(f"{on} repeats within a snapshot; use layout='long'")
-    out = (b.select(on, *[F.col(c).alias(f"{c}_before") for c in columns])
-           .join(a.select(on, *[F.col(c).alias(f"{c}_after") for c in columns]), on, "full"))
-    order = [on]
-    for c in columns:
-        order += [f"{c}_before", f"{c}_after"]
-    return out.select(*order)
+    both = (before.select(F.lit("before").alias("snapshot"), on, *columns)
+            .unionByName(after.select(F.lit("after").alias("snapshot"), on, *columns))
+            .join(keys_df.select(on), on, "left_semi")
+            .select("snapshot", on, *columns))
+    if layout == "long":
+        return both
+    sides = {s: F.col("snapshot") == s for s in ("before", "after")}
+    row = F.struct(*columns)
+    folded = both.groupBy(on).agg(*[F.first(F.when(is_side, row), ignorenulls=True).alias(f"__ll_{s}") for s, is_side in sides.items()],
+                                  *[F.count_if(is_side).alias(f"__ll_n_{s}") for s, is_side in sides.items()])
+    refused = F.raise_error(f"{on} repeats within a snapshot; use layout='long'").cast("boolean")
+    repeated = F.greatest("__ll_n_before", "__ll_n_after") > 1
+    return (folded.filter(F.when(repeated, refused).otherwise(F.lit(True)))
+            .select(on, *[F.col(f"__ll_{s}.{c}").alias(f"{c}_{s}") for c in columns for s in sides]))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -314,8 +267,7 @@ class VersionedTable:
 def apply_changes(table: VersionedTable, changes: DataFrame, on: str | Sequence[str],
                   set_columns: Mapping[str, str], at: _dt.datetime | None = None,
                   log_root: str | None = None, log_columns: Sequence[str] | None = None,
-                  operation: str = "UPDATE", source_system: str = "loan_servicing_feed",
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> int:
+                  operation: str = "UPDATE", source_system: str = "loan_servicing_feed") -> int:
     """Merge ``changes`` into the latest snapshot, commit the result as a new
     version, and write its audit rows to ``log_root`` (if given).
 
@@ -323,19 +275,12 @@ def apply_changes(table: VersionedTable, changes: DataFrame, on: str | Sequence[
     in overwrite mode: a crash never leaves a version without its log, a retry
     replaces its own rows, and readers see ``version`` as a column.
     """
-    # the change set is read by the duplicate check, the size check, the join
-    # and the log: compute it once (blocks lost with an executor are recomputed)
-    changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if log_root:
-            cols = list(log_columns or changes.columns)
-            (change_log(changes, cols, at, operation, source_system).write.mode("overwrite")
-             .parquet(f"{log_root.rstrip('/')}/version={(table.latest_version() or 0) + 1}"))
-        merged = merge_update(table.current(), changes, on, set_columns,
-                              broadcast_rows=broadcast_rows, keep_marker=True)
-        version = table.commit(merged, "MERGE", at=at, updated_col=MATCH_MARKER,
-                               parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}",
-                               prepartitioned=table.bucketed and table.bucket_by == _keys(on))
-    finally:
-        changes.unpersist()
-    return version
+    if log_root:
+        cols = list(log_columns or changes.columns)
+        path = f"{log_root.rstrip('/')}/version={(table.latest_version() or 0) + 1}"
+        change_log(changes, cols, at, operation, source_system).write.mode("overwrite").parquet(path)
+        changes = table.spark.read.parquet(path).select(*cols)  # stored once, not computed again for the merge
+    merged = merge_update(table.current(), changes, on, set_columns, keep_marker=True)
+    return table.commit(merged, "MERGE", at=at, updated_col=MATCH_MARKER,
+                        parameters=f"predicate: target.{_keys(on)[0]} = source.{_keys(on)[0]}",
+                        prepartitioned=table.bucketed and table.bucket_by == _keys(on))

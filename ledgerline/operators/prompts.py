@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from ledgerline import presets
 from ledgerline.functions.rounded import rounded_avg, rounded_sum
 from ledgerline.functions.text import fill_template
+from ledgerline.sources.files import read_layer, write_layer
 
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("prompt_version", T.StringType(), True),
@@ -111,8 +112,10 @@ def cost_by_version(costs: DataFrame, version_col: str = "prompt_version", digit
 def version_compare(costs: DataFrame, version_a: str, version_b: str,
                     version_col: str = "prompt_version", digits: int = 6) -> DataFrame:
     """One row comparing two versions: calls, tokens, cost of each and the
-    cost difference b - a, by conditional aggregation (one pass)."""
+    cost difference b - a, by conditional aggregation (one pass).  Calls with
+    a ``duration_ms`` are compared by that too."""
     v = F.col(version_col)
+    timed = "duration_ms" in costs.columns
 
     def part(tag: str, name: str):
         is_v = v == F.lit(name)
@@ -120,11 +123,14 @@ def version_compare(costs: DataFrame, version_a: str, version_b: str,
             F.count_if(is_v).alias(f"calls_{tag}"),
             F.sum(F.when(is_v, F.col("total_tokens"))).cast("bigint").alias(f"total_tokens_{tag}"),
             rounded_sum(F.when(is_v, F.col("cost_usd")), digits).alias(f"cost_usd_{tag}"),
+            *([rounded_sum(F.when(is_v, F.col("duration_ms")), 2).alias(f"duration_ms_{tag}")] if timed else []),
         ]
 
     agg = costs.filter(v.isin(version_a, version_b)).agg(*part("a", version_a), *part("b", version_b))
     return agg.select(F.lit(version_a).alias("version_a"), F.lit(version_b).alias("version_b"), "*",
-                      F.round(F.col("cost_usd_b") - F.col("cost_usd_a"), digits).alias("cost_difference"))
+                      F.round(F.col("cost_usd_b") - F.col("cost_usd_a"), digits).alias("cost_difference"),
+                      *([F.round(F.col("duration_ms_b") - F.col("duration_ms_a"), 2).alias("duration_difference_ms")]
+                        if timed else []))
 
 
 GENERATED_FIELDS = [
@@ -135,16 +141,19 @@ GENERATED_FIELDS = [
     T.StructField("started_at", T.TimestampType(), True),
 ]
 
-# A client takes a list of prompts and returns, per prompt, (text, input_tokens, output_tokens).
-Client = Callable[[list[str]], list[tuple[str, int, int]]]
+# A client takes prompts and the output limit and returns, per prompt, (text, input_tokens, output_tokens).
+Client = Callable[[list[str], int], list[tuple[str, int, int]]]
 
 
 def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: str = "prompt",
-             batch_size: int = 8, max_retries: int = 3, backoff_s: float = 1.0) -> DataFrame:
+             batch_size: int = 8, max_retries: int = 3, backoff_s: float = 1.0,
+             max_tokens: int = presets.NARRATIVE_MAX_TOKENS, partitions: int | None = None) -> DataFrame:
     """Call a text model for every row's prompt, in parallel across partitions.
 
     ``client_factory`` is pickled to the executors and called once per
-    partition; the client receives up to ``batch_size`` prompts per call.
+    partition; the client receives up to ``batch_size`` prompts per call and the
+    output limit ``max_tokens``.  ``partitions`` spreads the rows over that many
+    tasks first: the few rows of an aggregate otherwise sit in one.
     A failing call is retried ``max_retries`` times with exponential backoff
     before the task fails (a failed task is retried by Spark, which calls
     the model again for that partition only).  Adds narrative, input_tokens,
@@ -156,9 +165,9 @@ def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: st
     def call(client, chunk):
         for attempt in range(max_retries + 1):
             try:
-                started = datetime.now()
+                started = datetime.now(timezone.utc)
                 t0 = time.perf_counter()
-                return client(chunk), started, (time.perf_counter() - t0) * 1000.0
+                return client(chunk, max_tokens), started, (time.perf_counter() - t0) * 1000.0
             except Exception:  # noqa: BLE001 - provider errors are opaque here
                 if attempt == max_retries:
                     raise
@@ -184,7 +193,7 @@ def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: st
                              output_tokens=pd.array(outs, dtype="Int32"), duration_ms=durs,
                              started_at=pd.to_datetime(starts))
 
-    return df.mapInPandas(run, schema)
+    return (df.repartition(partitions) if partitions else df).mapInPandas(run, schema)
 
 
 NARRATIVE_COLUMNS = ["grade", "loan_status", "risk_tier"]
@@ -194,10 +203,12 @@ def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
                      version: str | None = None,
                      statuses: Sequence[str] = presets.NARRATIVE_STATUSES,
                      registry: Mapping[str, Mapping[str, str]] = presets.PROMPT_REGISTRY,
-                     keys: Sequence[str] = NARRATIVE_COLUMNS, batch_size: int = 8) -> DataFrame:
-    """Narrative table: one generated text per gold segment of the given
-    statuses -- grade, loan_status, risk_tier, ai_risk_narrative, plus the
-    prompt version, model, tokens and cost of the call.
+                     keys: Sequence[str] = NARRATIVE_COLUMNS, batch_size: int = 8,
+                     max_tokens: int = presets.NARRATIVE_MAX_TOKENS, partitions: int | None = None) -> DataFrame:
+    """One generated text per gold segment of the given statuses -- grade,
+    loan_status, risk_tier, ai_risk_narrative, plus the prompt version, model,
+    tokens and cost of the call.  Store it before use: every action on it calls
+    the model again.
 
     Without ``version`` the per-segment narrative prompt is used
     (``presets.SEGMENT_NARRATIVE_TEMPLATE``, default model); with one, that
@@ -211,10 +222,17 @@ def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
                                                 dtypes=dict(segments.dtypes)).alias("prompt"))
     else:
         prompts = render_prompts(segments, [version], registry, keep=list(keys))
-    calls = generate(prompts, client_factory, "prompt", batch_size)
+    calls = generate(prompts, client_factory, "prompt", batch_size, max_tokens=max_tokens, partitions=partitions)
     return token_cost(calls.withColumnRenamed("narrative", "ai_risk_narrative").drop("prompt"))
 
 
+def store_narratives(calls: DataFrame, name_or_path: str, keys: Sequence[str] = NARRATIVE_COLUMNS) -> DataFrame:
+    """Write the narrative table (the keys and the text) and read it back,
+    sorted by tier, grade and status."""
+    write_layer(calls.select(*keys, "ai_risk_narrative"), name_or_path)
+    return read_layer(calls.sparkSession, name_or_path).orderBy("risk_tier", "grade", "loan_status")
+
+
 COST_LOG_COLUMNS = ["prompt_version", "model", "ai_risk_narrative", "input_tokens", "output_tokens",
                     "total_tokens", "cost_usd", "duration_ms", "started_at"]
 

@@ -164,6 +164,25 @@ PROMPTS = " UNION ALL ".join(
 
 _PRICE = presets.PRICES[presets.DEFAULT_MODEL]
 
+
+def _counted(prompts: str) -> str:
+    """What the stand-in text model says to each prompt."""
+    return f"SELECT *, 'Segment text of ' || length(prompt) || ' characters.' AS narrative FROM ({prompts}) p"
+
+
+NARRATED = _counted(
+    f"SELECT grade, loan_status, risk_tier, {_render_sql(presets.SEGMENT_NARRATIVE_TEMPLATE)} AS prompt "
+    f"FROM ({LOAN_GOLD}) g WHERE loan_status IN ({_in_list(presets.NARRATIVE_STATUSES)})")
+
+COST_LOG = f"""
+SELECT prompt_version, model, narrative, input_tokens, output_tokens,
+       CAST(input_tokens + output_tokens AS INTEGER) AS total_tokens,
+       {_round(f"input_tokens / 1000 * {_PRICE['input_cost_per_1k']} + output_tokens / 1000 * {_PRICE['output_cost_per_1k']}", 6)} AS cost_usd,
+       true AS timed
+FROM (SELECT prompt_version, model, narrative, CAST(ceil(length(prompt) / 4) AS INTEGER) AS input_tokens,
+             CAST(ceil(length(narrative) / 4) AS INTEGER) AS output_tokens FROM ({_counted(PROMPTS)}) n) t
+"""
+
 CALLS = f"""
 SELECT conv_id,
        CASE WHEN conv_id % 2 = 0 THEN {_q(PROMPT_VERSIONS[0])} ELSE {_q(PROMPT_VERSIONS[1])} END AS prompt_version,
@@ -291,6 +310,7 @@ SELECT 'loan_risk' AS "table", count(*) AS expected_rows, count(*) AS exported_r
 FROM ({LOAN_GOLD}) g
 UNION ALL
 SELECT 'mortgage_risk', count(*), count(*), true FROM ({MORTGAGE_GOLD}) m""",
+    "catalog_layers": "SELECT * FROM orders",
     "source_shape": f"""
 SELECT 'loans_raw' AS source, count(*) AS row_count, CAST({len(standins.LOANS_RAW)} AS BIGINT) AS column_count
 FROM lineitem""",
@@ -326,16 +346,21 @@ FROM ({COSTS}) c GROUP BY prompt_version""",
     "version_compare": f"""
 SELECT {_q(PROMPT_VERSIONS[0])} AS version_a, {_q(PROMPT_VERSIONS[1])} AS version_b,
        calls_a, total_tokens_a, cost_usd_a, calls_b, total_tokens_b, cost_usd_b,
-       {_round("cost_usd_b - cost_usd_a", 6)} AS cost_difference
+       {_round("cost_usd_b - cost_usd_a", 6)} AS cost_difference,
+       duration_ms_a, duration_ms_b, duration_ms_b - duration_ms_a AS duration_difference_ms
 FROM (
   SELECT count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS calls_a,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS BIGINT) AS total_tokens_a,
          {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[0])} THEN cost_usd END", 6)} AS cost_usd_a,
          count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS calls_b,
          CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS BIGINT) AS total_tokens_b,
-         {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[1])} THEN cost_usd END", 6)} AS cost_usd_b
+         {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[1])} THEN cost_usd END", 6)} AS cost_usd_b,
+         sum(output_tokens * 20.0::DOUBLE) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS duration_ms_a,
+         sum(output_tokens * 20.0::DOUBLE) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS duration_ms_b
   FROM ({COSTS}) c WHERE prompt_version IN ({_in_list(PROMPT_VERSIONS)})
 ) v""",
+    "narratives": f"SELECT grade, loan_status, risk_tier, narrative AS ai_risk_narrative FROM ({NARRATED}) n",
+    "cost_log": COST_LOG,
     "masked_view": """
 SELECT c_custkey,
        regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS c_name,

@@ -25,10 +25,9 @@ from ledgerline.operators.policy import masked_view, region_policy
 from ledgerline.operators.quality import expectation_report, reconcile, source_shape
 from ledgerline.plans import chains, standins
 from ledgerline.session import default_parallelism, scratch_path, table_path
-from ledgerline.sources.files import (export_manifest, export_tables, read_layer, read_raw_csv,
-                                      verify_export, write_csv)
-from ledgerline.streaming.running import (assign_batches, land_batches, prefix_aggregate,
-                                          run_available_now)
+from ledgerline.sources.files import (create_table_if_missing, ensure_namespace, export_manifest, export_tables,
+                                      read_layer, read_raw_csv, verify_export, write_csv, write_layer)
+from ledgerline.streaming.running import prefix_aggregate, run_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -199,19 +198,30 @@ def q_bronze_csv_roundtrip(spark, sf):
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in cust.schema.fields])
 
 
-def _exported(spark, sf):
+def _exported(spark, sf, *names):
+    golds = {"loan_risk": lambda: chains.loan_gold(chains.loan_silver(loans_raw(spark, sf)), order=False),
+             "mortgage_risk": lambda: chains.mortgage_gold(chains.mortgage_silver(mortgage_raw(spark, sf)), order=False)}
     root = scratch_path(spark, "export")
-    raw_l, raw_m = loans_raw(spark, sf), mortgage_raw(spark, sf)
-    rows = export_tables({
-        "loan_risk": chains.loan_chain(raw_l),
-        "mortgage_risk": chains.mortgage_chain(raw_m),
-    }, root, files=1)
-    return root, rows
+    return root, export_tables({n: golds[n]() for n in names}, root, files=1)
+
+
+def q_catalog_layers(spark, sf):
+    """A layer kept by catalog name: namespace, typed empty table, full-refresh
+    write, append, read."""
+    orders = _t(spark, sf, "orders")
+    space = f"ledger_{uuid.uuid4().hex[:12]}"
+    ensure_namespace(spark, space, scratch_path(spark, "catalog"))
+    name = f"{space}.orders"
+    create_table_if_missing(spark, name, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema))
+    pending = F.coalesce(F.col("o_orderstatus") == "P", F.lit(False))
+    write_layer(orders.filter(~pending), name, "overwrite")
+    write_layer(orders.filter(pending), name, "append")
+    return read_layer(spark, name)
 
 
 def q_export_verify(spark, sf):
     """Re-read every export and compare its rows with the rows written."""
-    root, rows = _exported(spark, sf)
+    root, rows = _exported(spark, sf, "loan_risk", "mortgage_risk")
     return verify_export(spark, root, rows)
 
 
@@ -220,12 +230,12 @@ def q_source_shape(spark, sf):
 
 
 def q_export_roundtrip(spark, sf):
-    root, _ = _exported(spark, sf)
+    root, _ = _exported(spark, sf, "loan_risk")
     return read_layer(spark, f"{root}/loan_risk")
 
 
 def q_export_manifest(spark, sf):
-    root, _ = _exported(spark, sf)
+    root, _ = _exported(spark, sf, "loan_risk", "mortgage_risk")
     files = export_manifest(spark, root, ["loan_risk", "mortgage_risk"])
     # names and sizes differ from run to run, so the query tells whether they are sound
     sound = F.col("file_name").endswith(".parquet") & (F.col("file_size") > 0)
@@ -278,7 +288,7 @@ def _versioned(spark, sf):
 def q_key_lookup(spark, sf):
     table, changes, _ = _versioned(spark, sf)
     current = table.current()
-    hits = current.join(ch.sized_broadcast(changes.select("o_orderkey")), "o_orderkey", "left_semi")
+    hits = current.join(changes.select("o_orderkey"), "o_orderkey", "left_semi")
     return (hits.select("o_orderkey", "o_orderstatus", "o_totalprice",
                         F.length(F.col("o_orderkey").cast("string")).alias("id_length"))
             .orderBy(F.col("o_orderkey").desc()))
@@ -313,20 +323,19 @@ STREAM_DIGITS = {"avg_amount": 2, "avg_score": 0}
 
 
 def q_stream_prefix_agg(spark, sf):
-    ev = assign_batches(_t(spark, sf, "events"), "event_id", STREAM_BATCHES, "arrival_batch")
+    ev = standins.assign_batches(_t(spark, sf, "events"), "event_id", STREAM_BATCHES, "arrival_batch")
     return prefix_aggregate(ev, "arrival_batch", ["event_type"], STREAM_MEASURES, STREAM_BATCHES,
                             STREAM_DIGITS, out_batch="batch")
 
 
 def q_stream_available_now(spark, sf):
     events = _t(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "ts")
-    ev = assign_batches(events, "event_id", STREAM_BATCHES, "arrival_batch")
+    ev = standins.assign_batches(events, "event_id", STREAM_BATCHES, "arrival_batch")
     root = scratch_path(spark, "stream")
-    files = default_parallelism(spark)
-    land_batches(ev, "arrival_batch", f"{root}/landing", STREAM_BATCHES, files_per_batch=files)
-    out = run_available_now(spark, f"{root}/landing", ev.schema, ["event_type"], STREAM_MEASURES,
-                            f"{root}/sink", f"{root}/checkpoint", files_per_trigger=files,
-                            digits=STREAM_DIGITS)
+    for batch in range(1, STREAM_BATCHES + 1):      # a batch arrives, the stream runs, however many files it came in
+        standins.land_batch(ev, "arrival_batch", batch, f"{root}/landing")
+        out = run_available_now(spark, f"{root}/landing", ev.schema, ["event_type"], STREAM_MEASURES,
+                                f"{root}/sink", f"{root}/checkpoint", digits=STREAM_DIGITS)
     return out.select((F.col("batch_id") + 1).cast("int").alias("batch"), "event_type", "count",
                       "avg_amount", "avg_score")
 
@@ -364,7 +373,28 @@ def q_cost_by_version(spark, sf):
 
 
 def q_version_compare(spark, sf):
-    return pr.version_compare(q_token_cost(spark, sf), *PROMPT_VERSIONS)
+    # stand-in for a measured duration: 20 ms per output token
+    timed = q_token_cost(spark, sf).withColumn("duration_ms", F.col("output_tokens") * F.lit(20.0))
+    return pr.version_compare(timed, *PROMPT_VERSIONS)
+
+
+def _narrated(spark, sf, version=None):
+    gold = chains.loan_gold(chains.loan_silver(loans_raw(spark, sf)), order=False)
+    return pr.narrate_segments(gold, standins.counting_client, version, partitions=default_parallelism(spark))
+
+
+def q_narratives(spark, sf):
+    return pr.store_narratives(_narrated(spark, sf), scratch_path(spark, "narratives"))
+
+
+def q_cost_log(spark, sf):
+    """The cost log after one run of each prompt version."""
+    path = scratch_path(spark, "cost-log")
+    for version in PROMPT_VERSIONS:
+        pr.write_cost_log(_narrated(spark, sf, version), path)
+    # durations and start times differ from run to run, so the query tells whether they are sound
+    timed = (F.col("duration_ms") >= 0) & F.col("started_at").between(F.date_sub(F.current_date(), 2), F.now())
+    return read_layer(spark, path).withColumn("timed", timed).drop("duration_ms", "started_at")
 
 
 # --- governance -----------------------------------------------------------------------
@@ -406,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "export_manifest": q_export_manifest,
     "export_verify": q_export_verify,
     "source_shape": q_source_shape,
+    "catalog_layers": q_catalog_layers,
     "merge_update": q_merge_update,
     "merge_bucketed": q_merge_bucketed,
     "key_lookup": q_key_lookup,
@@ -419,6 +450,8 @@ QUERIES: dict[str, Query] = {
     "token_cost": q_token_cost,
     "cost_by_version": q_cost_by_version,
     "version_compare": q_version_compare,
+    "narratives": q_narratives,
+    "cost_log": q_cost_log,
     "masked_view": q_masked_view,
     "row_policy": q_row_policy,
 }

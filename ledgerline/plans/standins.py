@@ -12,6 +12,7 @@ input; only month formatting and identifier quoting differ by dialect.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _MONTH = {"spark": "date_format(l_shipdate, 'MMM-yyyy')", "duckdb": "strftime(l_shipdate, '%b-%Y')"}
 _QUOTE = {"spark": "`{}`", "duckdb": '"{}"'}
@@ -96,3 +97,30 @@ def loans_raw_sql(source: str = "lineitem") -> str:
 
 def mortgage_raw_sql(source: str = "lineitem") -> str:
     return f"SELECT {', '.join(select_list(MORTGAGE_RAW, 'duckdb'))} FROM {source}"
+
+
+# --- arrivals ---------------------------------------------------------------------
+
+def assign_batches(df: DataFrame, key: str, n_batches: int, name: str = "batch") -> DataFrame:
+    """Batch number 1..n by equal ranges of the integer ``key`` (two scalars,
+    min and max, are read first)."""
+    lo, hi = df.agg(F.min(key), F.max(key)).first()
+    if lo is None:
+        return df.withColumn(name, F.lit(None).cast("int"))
+    span = int(hi) - int(lo) + 1
+    return df.withColumn(name, F.expr(f"CAST((({key} - {int(lo)}) * {n_batches}) DIV {span} + 1 AS INT)"))
+
+
+def land_batch(df: DataFrame, batch_col: str, batch: int, landing_dir: str) -> None:
+    """Append the rows of one arrival batch to ``landing_dir``."""
+    df.filter(F.col(batch_col) == batch).write.mode("append").parquet(landing_dir)
+
+
+# --- text model -------------------------------------------------------------------
+
+def counting_client():
+    """A repeatable stand-in for a text model: tells the length of each prompt."""
+    def client(prompts, max_tokens):
+        texts = [f"Segment text of {len(p)} characters."[:4 * max_tokens] for p in prompts]
+        return [(t, -(-len(p) // 4), -(-len(t) // 4)) for p, t in zip(prompts, texts)]
+    return client

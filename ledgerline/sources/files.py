@@ -1,9 +1,9 @@
 """Raw CSV scans, layer reads and writes, Parquet export and its manifest.
 
 Scale notes: a gzip file is one unsplittable partition, so a raw scan of
-compressed text is repartitioned right after the read; the export writes a
-single file only for frames whose row count is proven small, gathered behind
-a shuffle so the work before it stays parallel.
+compressed text is repartitioned right after the read; the export writes as
+many files as the caller asks for, gathered behind a shuffle so the work
+before it stays parallel.
 """
 
 from __future__ import annotations
@@ -69,8 +69,9 @@ def write_layer(df: DataFrame, name_or_path: str, mode: str = "overwrite",
     return int(obs.get.get("rows", 0))
 
 
-def ensure_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
+def ensure_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}{at}")
 
 
 def create_table_if_missing(spark: SparkSession, name: str, ddl_columns: str) -> None:

@@ -1,23 +1,20 @@
 """Running (prefix) aggregates over micro-batches.
 
-``assign_batches`` numbers rows into ``n`` arrival batches by equal ranges of
-an ordered integer key.  ``prefix_aggregate`` computes, for every batch b, the
-aggregate over all rows that arrived in batches 1..b (keys absent from batch b
-but seen earlier are kept), from per-batch partial aggregates, so the input
-is scanned and shuffled once: for few batches each partial row is copied to
-the prefixes it belongs to, for many a running window per key sums them.
+``prefix_aggregate`` computes, for every batch b, the aggregate over all rows
+that arrived in batches 1..b (keys absent from batch b but seen earlier are
+kept), from per-batch partial aggregates, so the input is scanned and shuffled
+once and a running window per key sums the partials.
 
 ``run_available_now`` is the same computation as a Structured Streaming query:
-files landed one batch at a time are read with ``maxFilesPerTrigger``, the
-aggregate runs in complete mode and every micro-batch result is written to its
-own ``batch_id=<id>`` folder (overwrite, so a retried batch is idempotent).
+it takes what has landed since the last run on its checkpoint, the aggregate
+runs in complete mode and every micro-batch result is written to its own
+``batch_id=<id>`` folder (overwrite, so a retried batch is idempotent).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,16 +25,6 @@ from ledgerline.functions.rounded import rounded, rounded_avg, rounded_sum
 Measure = tuple[str, str, str]
 
 
-def assign_batches(df: DataFrame, key: str, n_batches: int, name: str = "batch") -> DataFrame:
-    """Batch number 1..n by equal ranges of the integer ``key`` (two scalars,
-    min and max, are read first)."""
-    lo, hi = df.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return df.withColumn(name, F.lit(None).cast("int"))
-    span = int(hi) - int(lo) + 1
-    return df.withColumn(name, F.expr(f"CAST((({key} - {int(lo)}) * {n_batches}) DIV {span} + 1 AS INT)"))
-
-
 def _partials(df: DataFrame, group: Sequence[str], measures: Sequence[Measure]) -> tuple[DataFrame, list]:
     """Per-group partial aggregates that later combine: counts and sums."""
     aggs, finals = [], []
@@ -91,30 +78,12 @@ def prefix_aggregate(df: DataFrame, batch_col: str, keys: Sequence[str], measure
                                             for name, fn, i in finals])
 
 
-def land_batches(df: DataFrame, batch_col: str, landing_dir: str, n_batches: int,
-                 files_per_batch: int = 1) -> None:
-    """Append each batch to ``landing_dir`` in arrival order, one write job per
-    batch, spread evenly over ``files_per_batch`` files written in parallel.
-
-    The file source orders files by modification time and a batch's files are
-    all written before the next batch starts, so a stream reading
-    ``maxFilesPerTrigger=files_per_batch`` sees exactly one batch per trigger
-    (each batch must hold at least ``files_per_batch`` rows).
-    """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)  # one scan of the source for all batches
-    try:
-        for b in range(1, n_batches + 1):
-            (kept.filter(F.col(batch_col) == b).repartition(files_per_batch)
-             .write.mode("append").parquet(landing_dir))
-    finally:
-        kept.unpersist()
-
-
 def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
                       measures: Sequence[Measure], sink_dir: str, checkpoint_dir: str,
-                      files_per_trigger: int = 1, digits: dict[str, int] | None = None) -> DataFrame:
-    """Process everything landed so far in rate-limited micro-batches and
-    return all micro-batch results with their ``batch_id`` (0-based)."""
+                      files_per_trigger: int | None = None, digits: dict[str, int] | None = None) -> DataFrame:
+    """Process everything landed since the last run on ``checkpoint_dir``, as one
+    micro-batch or (``files_per_trigger``) several, and return all micro-batch
+    results so far with their ``batch_id`` (0-based)."""
     digits = digits or {}
     aggs = []
     for name, fn, col in measures:
@@ -127,8 +96,10 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
             aggs.append(rounded_avg(col, digits.get(name)).alias(name))
         else:
             raise ValueError(f"unsupported running aggregate {fn!r}")
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-              .parquet(source_dir))
+    source = spark.readStream.schema(schema)
+    if files_per_trigger:
+        source = source.option("maxFilesPerTrigger", files_per_trigger)
+    stream = source.parquet(source_dir)
     running = stream.groupBy(*keys).agg(*aggs)
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from ledgerline.operators import changes as ch
@@ -38,16 +39,16 @@ def test_merge_update_semantics(spark):
 
 def test_merge_refuses_duplicate_matches(spark):
     dup = spark.createDataFrame([("1", "Current", "Default", 1.0, 1.0), ("1", "Current", "Current", 2.0, 2.0)], CHANGES)
-    with pytest.raises(ValueError):
-        ch.merge_update(_target(spark), dup, "id", SET)
+    with pytest.raises(PySparkException, match="merge refused"):
+        ch.merge_update(_target(spark), dup, "id", SET).collect()
     # repeated key that is not in the target is harmless
     dup_unmatched = spark.createDataFrame([("8", "a", "b", 1.0, 1.0), ("8", "a", "c", 2.0, 2.0)], CHANGES)
     assert ch.merge_update(_target(spark), dup_unmatched, "id", SET).count() == 4
 
 
 def test_merge_without_broadcast(spark):
-    changes = spark.createDataFrame([("3", "Current", "Default", 1.0, 2.0)], CHANGES)
-    out = ch.merge_update(_target(spark), changes, "id", SET, broadcast_rows=0)
+    changes = spark.createDataFrame([("3", "Current", "Default", 1.0, 2.0)], CHANGES).hint("merge")
+    out = ch.merge_update(_target(spark), changes, "id", SET)
     assert out.filter("id = '3'").first().loan_status == "Default"
 
 
@@ -128,14 +129,14 @@ def test_bucketed_versions_merge_without_target_shuffle(spark, tmp_dir):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the shuffle join path
     try:
-        merged = ch.merge_update(table.current(), changes, "id", SET, broadcast_rows=0)
+        merged = ch.merge_update(table.current(), changes, "id", SET)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             merged.explain()
         plan = buf.getvalue()
         assert "SortMergeJoin" in plan and "Bucketed: true" in plan
         assert plan.count("Exchange hashpartitioning(id") == 1      # only the change set moves
-        v = ch.apply_changes(table, changes, "id", SET, broadcast_rows=0)
+        v = ch.apply_changes(table, changes, "id", SET)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     cur = table.as_of(v)
@@ -171,7 +172,7 @@ def test_merge_with_a_hot_key_is_split_and_whole(spark):
             F.col("id").cast("double").alias("loan_amnt"), F.lit(10.0).alias("int_rate"), F.lit("A").alias("grade"))
         changes = spark.createDataFrame([("hot", "Current", "Default", 2.0, 3.0), ("1", "Current", "Default", 2.0, 3.0)],
                                         CHANGES)
-        merged = ch.merge_update(target, changes, "id", SET, broadcast_rows=0)
+        merged = ch.merge_update(target, changes, "id", SET)
         rows = merged.collect()                    # executes this plan, so explain shows the final one
         assert len(rows) == n
         assert sum(r.loan_status == "Default" for r in rows) == n // 3 + 1
@@ -192,8 +193,8 @@ def test_before_after_refuses_repeated_keys_and_long_layout(spark):
     t = _target(spark)
     dup = t.unionByName(t.filter("id = '1'"))
     keys = spark.createDataFrame([("1",)], "id string")
-    with pytest.raises(ValueError, match="repeats"):
-        ch.before_after(dup, t, keys, "id", ["loan_status"])
+    with pytest.raises(PySparkException, match="repeats"):
+        ch.before_after(dup, t, keys, "id", ["loan_status"]).collect()
     long = ch.before_after(dup, t.withColumn("loan_status", F.lit("Default")), keys, "id", ["loan_status"],
                            layout="long").collect()
     assert sorted((r.snapshot, r.loan_status) for r in long) == [

@@ -75,7 +75,7 @@ def test_estimate_tokens(spark):
 
 def test_generate_runs_per_partition(spark):
     def _stub_factory():  # nested so it is shipped to the workers by value
-        def client(prompts):
+        def client(prompts, max_tokens):
             return [(f"narrative for {p.splitlines()[2]}", len(p) // 4, 10) for p in prompts]
         return client
 
@@ -87,6 +87,27 @@ def test_generate_runs_per_partition(spark):
     assert dict(pr.generate(prompts, _stub_factory).dtypes)["input_tokens"] == "int"
 
 
+def test_calls_spread_over_tasks_and_get_the_output_limit(spark):
+    def factory():
+        from pyspark import TaskContext
+
+        def client(prompts, max_tokens):
+            return [(f"{TaskContext.get().partitionId()}", 1, max_tokens) for _ in prompts]
+        return client
+
+    seg = spark.range(16).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("prompt")).coalesce(1)
+    out = pr.generate(seg, factory, partitions=4).collect()
+    assert len(out) == 16 and len({r.narrative for r in out}) > 1
+    assert {r.output_tokens for r in out} == {presets.NARRATIVE_MAX_TOKENS}
+
+
+def test_version_compare_of_durations(spark):
+    calls = spark.createDataFrame([("a", presets.DEFAULT_MODEL, 1, 1, 10.5), ("b", presets.DEFAULT_MODEL, 1, 1, 30.0)],
+                                  "prompt_version string, model string, input_tokens int, output_tokens int, duration_ms double")
+    row = pr.version_compare(pr.token_cost(calls), "a", "b").first()
+    assert (row.duration_ms_a, row.duration_ms_b, row.duration_difference_ms) == (10.5, 30.0, 19.5)
+
+
 def test_registry_and_price_frames(spark):
     reg = pr.registry_frame(spark)
     assert reg.count() == 2 and set(reg.columns) >= {"prompt_version", "template", "model"}
@@ -95,7 +116,7 @@ def test_registry_and_price_frames(spark):
 
 def test_narrative_table_and_cost_log(spark, tmp_dir):
     def factory():
-        def client(prompts):
+        def client(prompts, max_tokens):
             return [("Segment narrative.", 100, 20) for _ in prompts]
         return client
 
@@ -120,7 +141,7 @@ def test_generate_retries_transient_failures(spark):
     def factory():
         state = {"calls": 0}
 
-        def client(prompts):
+        def client(prompts, max_tokens):
             state["calls"] += 1
             if state["calls"] % 2 == 1:
                 raise ConnectionError("transient")

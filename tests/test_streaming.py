@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.session import scratch_path
-from ledgerline.streaming.running import assign_batches, land_batches, prefix_aggregate, run_available_now
+from ledgerline.plans.standins import assign_batches, land_batch
+from ledgerline.streaming.running import prefix_aggregate, run_available_now
 
 SCHEMA = T.StructType([
     T.StructField("application_id", T.StringType(), True), T.StructField("applicant_name", T.StringType(), True),
@@ -55,9 +56,10 @@ def test_prefix_aggregate_matches_brute_force(spark):
 def test_available_now_stream_equals_batch_form(spark):
     df = assign_batches(_apps(spark), "seq", 5, "batch")
     root = scratch_path(spark, "test-stream")
-    land_batches(df, "batch", f"{root}/landing", 5)
-    out = run_available_now(spark, f"{root}/landing", df.schema, ["loan_purpose"], MEASURES,
-                            f"{root}/sink", f"{root}/ckpt", files_per_trigger=1, digits=DIGITS)
+    for batch in range(1, 6):      # 10 rows a batch, in more files than rows
+        land_batch(df.repartition(16), "batch", batch, f"{root}/landing")
+        out = run_available_now(spark, f"{root}/landing", df.schema, ["loan_purpose"], MEASURES,
+                                f"{root}/sink", f"{root}/ckpt", digits=DIGITS)
     assert sorted(r[0] for r in out.select("batch_id").distinct().collect()) == [0, 1, 2, 3, 4]
     for b in range(1, 6):
         got = {r.loan_purpose: (r["count"], r.avg_amount, r.avg_score)
