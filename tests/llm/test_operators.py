@@ -339,3 +339,25 @@ def test_license_families(spark):
     assert sorted(got, key=str) == sorted([("1", "mit"), ("2", None), ("3", None), ("None", "cc-by-nc-4.0"), ("4", None),
                           ("7", "cc-by-4.0"), ("5", "apache-2.0"), ("5", "apache-2.0"), ("8", None)], key=str)
     assert license_scan.document_licenses(df.limit(0)).count() == 0
+
+
+BSD = ("Redistribution and use in source and binary\nforms, with or without modification, are\npermitted provided that the "
+       "following\nconditions are met:")
+GPL = ("This program is free software: you can\nredistribute it and/or modify it under the\nterms of the GNU General Public "
+       "License as\npublished by the Free Software Foundation,\neither version 3 of the License, or any\nlater version.")
+MIT = ("Permission is hereby granted, free of charge,\nto any person obtaining a copy of this software\nand associated "
+       "documentation files, to deal\nin the Software without restriction.")
+
+
+def test_wrapped_license_notices(spark):
+    prose = "\n".join(f"line {i} of the plain text goes on here" for i in range(30))
+    noted = "".join(f" * {x}\n" for x in GPL.split("\n"))
+    rows = [(1, f"Copyright someone\n\n{BSD}\n\nend"), (2, f"/*\n{noted} */\nint main"), (3, f"{prose}\n{MIT}\n{prose}"),
+            (4, "This work is licensed under a\nCreative Commons Attribution-ShareAlike 4.0\nInternational License."),
+            (5, BSD.replace("\n", "\n\n")), (6, prose), (None, MIT.replace("\n", "\r\n")),
+            (7, f"{BSD}\n{prose}\n{GPL}"), (7, f"{BSD}\n{prose}\n{GPL}")]
+    df = frame(spark, [(i, t, "en", "s") for i, t in rows])
+    got = {str(r.doc_id): (r.family, r.paragraph, r.n_licenses) for r in license_scan.document_licenses(df).collect()}
+    assert got.pop("7")[2] == 2
+    assert got == {"1": ("bsd-3-clause", 2, 1), "2": ("gpl-3.0", 1, 1), "3": ("mit", 30, 1), "4": ("cc-by-sa-4.0", 0, 1),
+                   "5": (None, None, 0), "6": (None, None, 0), "None": ("mit", 0, 1)}
