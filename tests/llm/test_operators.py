@@ -361,3 +361,12 @@ def test_wrapped_license_notices(spark):
     assert got.pop("7")[2] == 2
     assert got == {"1": ("bsd-3-clause", 2, 1), "2": ("gpl-3.0", 1, 1), "3": ("mit", 30, 1), "4": ("cc-by-sa-4.0", 0, 1),
                    "5": (None, None, 0), "6": (None, None, 0), "None": ("mit", 0, 1)}
+
+
+def test_unknown_sample_holds_different_lines(spark):
+    lines = [("the same line",)] * 300 + [(f"line {i}",) for i in range(30)]
+    df = spark.createDataFrame(lines, "line string")
+    got = [r.line for r in license_scan._sample_lines(df, 31).collect()]
+    assert sorted(got) == sorted({x for x, in lines})
+    assert len({r.line for r in license_scan._sample_lines(df, 10).collect()}) == 10
+    assert license_scan._sample_lines(df.limit(0), 10).count() == 0
