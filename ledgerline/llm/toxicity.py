@@ -169,8 +169,10 @@ def sample_examples(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
              .filter(F.col("label").isNotNull() & F.col("lid").isNotNull()
                      & (crc_mod(F.col("lid"), folds) != held_out_fold)))
     chosen = known.orderBy(unit_hash(F.lit("examples"), "lid"), "lid", "label").limit(max_examples)
-    return (docs.join(F.broadcast(chosen), docs[id_col] == F.col("lid"))
-            .select(F.col("lid").alias("doc_id"), "label", text_of(docs[text_col]).cast("binary").alias("t")))
+    # an id may repeat in docs: the bound holds for the different joined rows
+    rows = (docs.join(F.broadcast(chosen), docs[id_col] == F.col("lid"))
+            .select(F.col("lid").alias("doc_id"), "label", text_of(docs[text_col]).cast("binary").alias("t")).distinct())
+    return rows.orderBy(unit_hash(F.lit("examples"), "doc_id"), "doc_id", "label", "t").limit(max_examples)
 
 
 def _term_counts(sample: DataFrame) -> DataFrame:

@@ -370,3 +370,13 @@ def test_unknown_sample_holds_different_lines(spark):
     assert sorted(got) == sorted({x for x, in lines})
     assert len({r.line for r in license_scan._sample_lines(df, 10).collect()}) == 10
     assert license_scan._sample_lines(df.limit(0), 10).count() == 0
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark):
+    docs = frame(spark, [(1, f"text {i % 40}", "en", "s") for i in range(80)] + [(2, "other", "en", "s")])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+
+    def sample(most):
+        return toxicity.sample_examples(docs, labels, "toxic", 1000, 999, most, "doc_id", "text").collect()
+
+    assert len(sample(10)) == 10 and len(sample(1000)) == 41
