@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import (chat_windows, decontaminate, license_scan, lm_scoring, mixing, quality_classifier,
+from ledgerline.llm import (bpe, chat_windows, decontaminate, license_scan, lm_scoring, mixing, quality_classifier,
                             quality_rules, sharding, simhash, toxicity)
 from ledgerline.session import table_path
 
@@ -79,6 +79,19 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
 
 
+#: Tokenizer file of the query; the operator takes any path.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op11_bpe_coding(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    model = bpe.load_model(public_tokenizers.path(TOKENIZER))
+    coded = bpe.decode_ids(bpe.encode_texts(_t(spark, sf, "documents"), model), model)
+    return coded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_lm_scoring": op2_lm_scoring,
@@ -90,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_windows": op8_chat_windows,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_bpe_coding": op11_bpe_coding,
 }
 
 # The lookup table is a fixed value of the shard names; the placement of every row is recomputed in SQL.
