@@ -27,12 +27,12 @@ def run(spark, loans_csv: str, mortgages_csv: str, root: str, partitions: int |
                        read_layer(spark, loans.paths["gold"]), gold_count_col="loan_count")
     exported = export_tables({"loan_risk": read_layer(spark, loans.paths["gold"]),
                               "mortgage_risk": read_layer(spark, mortgages.paths["gold"])}, f"{root}/export", files=1)
-    verified = all(r.matches for r in verify_export(spark, f"{root}/export", exported).collect())
+    verified = all(r.matches and r.digest_matches for r in verify_export(spark, f"{root}/export", exported).collect())
     return {
         "loans": loans.rows,
         "mortgages": mortgages.rows,
         "loan_checks": {r.measure: r.value for r in checks.collect()},
-        "exported": exported,
+        "exported": {name: d.rows for name, d in exported.items()},
         "export_verified": verified,
     }
 

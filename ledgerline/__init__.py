@@ -10,8 +10,10 @@ The names below are the public surface; submodules hold the rest.
 from ledgerline.functions import (decode, fill_template, mask_text, money, month_date, safe_cast,
                                   safe_double, safe_int, strip_cast, tier)
 from ledgerline.operators.aggregate import regroup, share, summarise, top_k
-from ledgerline.operators.changes import (VersionedTable, apply_changes, before_after, change_log,
-                                          latest_changes, merge_update, replay_changes)
+from ledgerline.operators.changes import (apply_change_set, before_after, change_log, feed_history, gold_refresh,
+                                          group_sums, image_sums, latest_changes, lookup_ranged, merge_ranged,
+                                          merge_update, read_ranged, replay_changes, start_feed, visible_images,
+                                          visible_log, write_ranged)
 from ledgerline.operators.filters import keep_in, ordered_subset, require
 from ledgerline.operators.policy import masked_view, region_policy, row_policy
 from ledgerline.operators.prompts import (cost_by_version, estimate_tokens, generate, narrate_segments,
@@ -30,7 +32,8 @@ from ledgerline.streaming.running import (prefix_aggregate,
 __version__ = "0.1.0"
 
 __all__ = [
-    "VersionedTable", "apply_changes", "before_after", "build_session",
+    "apply_change_set", "before_after", "build_session", "feed_history", "gold_refresh", "group_sums", "image_sums",
+    "lookup_ranged", "merge_ranged", "read_ranged", "start_feed", "visible_images", "visible_log", "write_ranged",
     "change_log", "checkpoint_root", "cost_by_version", "declarative_gold", "declarative_silver",
     "decode", "estimate_tokens", "expectation_report", "export_manifest", "export_parquet",
     "export_tables", "fill_template", "generate", "keep_in", "latest_changes",

@@ -107,6 +107,34 @@ def fill_template(template: str, columns: Mapping[str, str | Column] | None = No
     return F.concat(*parts)
 
 
+def template_values(columns: Mapping[str, str], null_text: str = NULL_TEXT) -> Column:
+    """Map from every placeholder that templates may use (``{name}``, and for
+    numbers ``{name:,.2f}`` and ``{name:.2f}``) to its text.  ``columns`` maps
+    column names to their types, as ``dict(df.dtypes)`` does."""
+    entries: list[Column] = []
+    for name, dtype in columns.items():
+        is_double = dtype in ("double", "float")
+        entries += [F.lit(f"{{{name}}}"), double_text(name, null_text) if is_double else plain_text(name, null_text)]
+        if is_double or dtype.startswith("decimal") or dtype in ("tinyint", "smallint", "int", "bigint"):
+            for grouping, spec in ((True, ",.2f"), (False, ".2f")):
+                entries += [F.lit(f"{{{name}:{spec}}}"), fixed_text(name, 2, grouping, null_text)]
+    return F.create_map(*entries)
+
+
+def fill_from(template: str | Column, values: str | Column) -> Column:
+    """Fill a template that is itself a column with a map of
+    :func:`template_values`.  Values are put in once and never read as
+    placeholders; a placeholder without a value fails the job."""
+    values = _col(values)
+
+    def piece(p: Column) -> Column:
+        found = F.try_element_at(values, p)
+        unknown = F.raise_error(F.concat(F.lit("no value for placeholder: "), p))
+        return F.when(~p.startswith("{"), p).when(found.isNotNull(), found).otherwise(unknown)
+
+    return F.array_join(F.transform(F.regexp_extract_all(_col(template), F.lit(r"(\{[^{}]*\}|[^{}]+)"), F.lit(1)), piece), "")
+
+
 def mask_text(c: str | Column, upper: str = "X", lower: str = "x", digit: str = "n",
               other: str | None = None) -> Column:
     """Replace letters and digits by class characters (``Ab1`` -> ``Xxn``)."""

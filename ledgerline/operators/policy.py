@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import mask_text
@@ -65,3 +65,35 @@ def region_policy(customers: DataFrame, nation: DataFrame, region: DataFrame, re
                            nation["n_regionkey"] == region["r_regionkey"], "left_semi")
                .select(F.col("n_nationkey").alias(nation_key)))
     return row_policy(customers, allowed, nation_key)
+
+
+def create_reader_view(spark: SparkSession, view: str, rows: DataFrame, allowed: DataFrame, on: str, group_col: str,
+                       variable: str, masks: Mapping[str, str] | None = None, salt: str = "") -> None:
+    """A view that shows each reader the rows of the reader's group.
+
+    ``allowed`` lists keys (``on``) per group (``group_col``); the session
+    variable ``variable`` names the reader's group and is read when a query on
+    the view is analysed, so one view serves every group.  A reader without a
+    group (the variable is NULL) sees no row.  ``masks`` as in
+    :func:`masked_view`.
+    """
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {variable} STRING DEFAULT NULL")
+    shown = masked_view(rows, masks, salt) if masks else rows
+    shown.createOrReplaceTempView(f"{view}__rows")
+    allowed.select(on, group_col).createOrReplaceTempView(f"{view}__allowed")
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT r.* FROM {view}__rows r
+                  LEFT SEMI JOIN (SELECT {on} FROM {view}__allowed WHERE {group_col} = {variable}) a
+                  ON r.{on} = a.{on}""")
+
+
+def read_as(spark: SparkSession, view: str, variable: str, group: str | None) -> DataFrame:
+    """The view as a reader of ``group`` sees it."""
+    spark.sql(f"SET VARIABLE {variable} = ?", [group])
+    return spark.table(view)
+
+
+def drop_reader_view(spark: SparkSession, view: str, variable: str) -> None:
+    """Frames read from the view before stay readable."""
+    for name in (view, f"{view}__rows", f"{view}__allowed"):
+        spark.catalog.dropTempView(name)
+    spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {variable}")

@@ -1,13 +1,14 @@
 """Versioned prompts, text-model calls and token cost.
 
-* Rendering: the registry is configuration (a handful of versions), so each
-  chosen version becomes one ``concat`` expression; the versions are attached
-  to every segment row with ``explode(array(struct...))`` -- no join.
-* Prices: a literal map lookup per row; a model without a price fails the
-  job with ``raise_error`` (the dict lookup of a missing key raises too).
+* Rendering: a registry given as a mapping is configuration, each chosen
+  version becomes one ``concat`` expression; a registry given as a frame is
+  joined on the version and its templates are filled per row.
+* Prices: a frame, left-joined on the model and, if calls carry a date, the
+  time a price is valid; a call without a price fails the job.
 * Calls: ``generate`` runs a caller-given client over Arrow batches with
   ``mapInPandas``; the client is built once per partition.  No provider code
-  lives here.
+  lives here.  ``generate_missing`` keeps results by a hash of the call, so a
+  rerun calls the model only for what is not stored yet.
 """
 
 from __future__ import annotations
@@ -17,13 +18,13 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import presets
 from ledgerline.functions.rounded import rounded_avg, rounded_sum
-from ledgerline.functions.text import fill_template
+from ledgerline.functions.text import fill_from, fill_template, template_values
 from ledgerline.sources.files import read_layer, write_layer
 
 REGISTRY_SCHEMA = T.StructType([
@@ -53,12 +54,33 @@ def price_frame(spark: SparkSession, prices: Mapping[str, Mapping[str, float]] =
     return spark.createDataFrame(rows, PRICE_SCHEMA)
 
 
+def prompt_lookup(rows: DataFrame, registry: DataFrame, version_col: str = "prompt_version") -> DataFrame:
+    """``rows`` with the model and template of their prompt version (columns
+    ``model`` and ``template``): one left join; a version that the registry
+    lacks fails the job."""
+    entry = registry.select(F.col("prompt_version").alias("__ll_version"), F.struct("model", "template").alias("__ll_entry"))
+    version = F.col(version_col)
+    missing = F.raise_error(F.concat(F.lit("prompt version not in registry: "), F.coalesce(version, F.lit("NULL"))))
+    joined = rows.join(entry, version == F.col("__ll_version"), "left")
+    found = F.when(F.col("__ll_version").isNull(), missing.cast(entry.schema["__ll_entry"].dataType)).otherwise(F.col("__ll_entry"))
+    return (joined.withColumn("__ll_entry", found)
+            .select(*rows.columns, "__ll_entry.model", "__ll_entry.template"))
+
+
 def render_prompts(segments: DataFrame, versions: Sequence[str],
-                   registry: Mapping[str, Mapping[str, str]] = presets.PROMPT_REGISTRY,
+                   registry: Mapping[str, Mapping[str, str]] | DataFrame = presets.PROMPT_REGISTRY,
                    columns: Mapping[str, str | Column] | None = None,
                    keep: Sequence[str] | None = None) -> DataFrame:
     """One row per segment and chosen version: ``keep`` columns (default all),
-    prompt_version, model, prompt."""
+    prompt_version, model, prompt.  With ``registry`` a frame (see
+    :func:`registry_frame`) versions are looked up by a join, and unknown ones
+    fail the job; ``columns`` belongs to the mapping form."""
+    if isinstance(registry, DataFrame):
+        keep = list(keep if keep is not None else segments.columns)
+        asked = segments.select(*keep, template_values(dict(segments.dtypes)).alias("__ll_values"),
+                                F.explode(F.array(*map(F.lit, versions))).alias("prompt_version"))
+        return prompt_lookup(asked, registry).select(*keep, "prompt_version", "model",
+                                                     fill_from("template", "__ll_values").alias("prompt"))
     unknown = [v for v in versions if v not in registry]
     if unknown:
         raise KeyError(f"prompt versions not in registry: {unknown}")
@@ -77,24 +99,51 @@ def estimate_tokens(text: str | Column, chars_per_token: int = 4) -> Column:
     return F.ceil(F.length(col) / F.lit(chars_per_token)).cast("int")
 
 
-def _price(prices: Mapping[str, Mapping[str, float]], field: str, model: Column) -> Column:
-    lookup = F.create_map(*[x for m, p in prices.items() for x in (F.lit(m), F.lit(float(p[field])))])
-    found = F.try_element_at(lookup, model)
-    return F.when(found.isNull(), F.raise_error(F.concat(F.lit("no price for model: "), F.coalesce(model, F.lit("NULL"))))) \
-        .otherwise(found)
+def price_periods(prices: DataFrame) -> DataFrame:
+    """Price list with the time each price is valid: from its ``valid_from``
+    (NULL or no such column: from the beginning) to the next one of the model
+    (``valid_to``, exclusive).  Two prices of one model from the same time fail
+    the job."""
+    if "valid_from" not in prices.columns:
+        prices = prices.withColumn("valid_from", F.lit(None).cast("timestamp"))
+    w = Window.partitionBy("model").orderBy(F.asc_nulls_first("valid_from"))
+    again = F.lead(F.struct("valid_from")).over(w)
+    twice = again.isNotNull() & again["valid_from"].eqNullSafe(F.col("valid_from"))
+    refused = F.raise_error(F.concat(F.lit("two prices of one time for model: "), F.col("model"))).cast("boolean")
+    return (prices.withColumns({"valid_to": again["valid_from"], "__ll_twice": F.when(twice, refused).otherwise(F.lit(False))})
+            .where(~F.col("__ll_twice")).drop("__ll_twice"))
 
 
-def token_cost(calls: DataFrame, prices: Mapping[str, Mapping[str, float]] = presets.PRICES,
+def token_cost(calls: DataFrame, prices: DataFrame | Mapping[str, Mapping[str, float]] = presets.PRICES,
                model_col: str = "model", input_col: str = "input_tokens",
-               output_col: str = "output_tokens", digits: int = 6) -> DataFrame:
-    """Add total_tokens and cost_usd = round(in/1000*p_in + out/1000*p_out, 6)."""
+               output_col: str = "output_tokens", digits: int = 6, at_col: str | None = None) -> DataFrame:
+    """Add total_tokens and cost_usd = round(in/1000*p_in + out/1000*p_out, 6).
+
+    ``prices`` (a frame like :func:`price_frame`, or a mapping) is left-joined
+    on the model; with ``at_col`` the price valid at that time counts, without
+    it the latest.  A call without a price fails the job.
+    """
+    if not isinstance(prices, DataFrame):
+        prices = price_frame(calls.sparkSession, prices)
+    price = price_periods(prices).select(
+        F.col("model").alias("__ll_model"), F.col("valid_from").alias("__ll_from"), F.col("valid_to").alias("__ll_to"),
+        F.struct("input_cost_per_1k", "output_cost_per_1k").alias("__ll_price"))
     model = F.col(model_col)
-    cost = (F.col(input_col) / F.lit(1000) * _price(prices, "input_cost_per_1k", model)
-            + F.col(output_col) / F.lit(1000) * _price(prices, "output_cost_per_1k", model))
-    return calls.withColumns({
-        "total_tokens": (F.col(input_col) + F.col(output_col)).cast("int"),
-        "cost_usd": F.round(cost, digits),
-    })
+    if at_col is None:
+        price = price.where(F.col("__ll_to").isNull())
+        on = model == F.col("__ll_model")
+    else:
+        at = F.col(at_col)
+        on = ((model == F.col("__ll_model")) & (F.col("__ll_from").isNull() | (at >= F.col("__ll_from")))
+              & (F.col("__ll_to").isNull() | (at < F.col("__ll_to"))))
+    missing = F.raise_error(F.concat(F.lit("no price for model: "), F.coalesce(model, F.lit("NULL"))))
+    found = F.when(F.col("__ll_price").isNull(), missing.cast(price.schema["__ll_price"].dataType)).otherwise(F.col("__ll_price"))
+    cost = (F.col(input_col) / F.lit(1000) * F.col("__ll_price.input_cost_per_1k")
+            + F.col(output_col) / F.lit(1000) * F.col("__ll_price.output_cost_per_1k"))
+    return (calls.join(price, on, "left").withColumn("__ll_price", found)
+            .withColumns({"total_tokens": (F.col(input_col) + F.col(output_col)).cast("int"),
+                          "cost_usd": F.round(cost, digits)})
+            .drop("__ll_model", "__ll_from", "__ll_to", "__ll_price"))
 
 
 def cost_by_version(costs: DataFrame, version_col: str = "prompt_version", digits: int = 6) -> DataFrame:
@@ -196,6 +245,42 @@ def generate(df: DataFrame, client_factory: Callable[[], Client], prompt_col: st
     return (df.repartition(partitions) if partitions else df).mapInPandas(run, schema)
 
 
+CALL_SCHEMA = T.StructType([T.StructField("call_key", T.StringType(), True), T.StructField("run", T.StringType(), True),
+                            *GENERATED_FIELDS])
+
+
+def call_key(columns: Sequence[str], max_tokens: int) -> Column:
+    """Names a call by all that its answer depends on."""
+    parts = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]
+    return F.sha2(F.concat(*parts, F.lit(f"{max_tokens}")), 256)
+
+
+def generate_missing(prompts: DataFrame, client_factory: Callable[[], Client], store: str, run: str | None = None,
+                     key_columns: Sequence[str] = ("prompt_version", "model", "prompt"),
+                     max_tokens: int = presets.NARRATIVE_MAX_TOKENS, **options) -> DataFrame:
+    """:func:`generate` for prompts without a stored result, and the results of
+    all: the columns of ``prompts``, ``run`` (of the run that made the call) and
+    the fields of a call.
+
+    ``store`` is a Parquet folder of results by call key.  Keys already there
+    are left out by an anti join, equal calls are made once, and what a run
+    adds is appended in one commit, so a rerun after a failure makes the
+    missing calls only.  ``options`` go to :func:`generate`.
+    """
+    spark = prompts.sparkSession
+    keyed = prompts.withColumn("__ll_key", call_key(key_columns, max_tokens))
+    spark.createDataFrame([], CALL_SCHEMA).write.mode("ignore").parquet(store)
+    known = spark.read.schema(CALL_SCHEMA).parquet(store)
+    todo = (keyed.select(F.col("__ll_key").alias("call_key"), "prompt").dropDuplicates(["call_key"])
+            .join(known.select("call_key"), "call_key", "left_anti"))
+    made = generate(todo, client_factory, "prompt", max_tokens=max_tokens, **options)
+    (made.withColumn("run", F.lit(run).cast("string")).select(*CALL_SCHEMA.fieldNames())
+     .write.mode("append").parquet(store))
+    results = spark.read.schema(CALL_SCHEMA).parquet(store).dropDuplicates(["call_key"])
+    return (keyed.join(results.withColumnRenamed("call_key", "__ll_key"), "__ll_key", "left").drop("__ll_key")
+            .select(*prompts.columns, "run", *[f.name for f in GENERATED_FIELDS]))
+
+
 NARRATIVE_COLUMNS = ["grade", "loan_status", "risk_tier"]
 
 
@@ -204,11 +289,13 @@ def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
                      statuses: Sequence[str] = presets.NARRATIVE_STATUSES,
                      registry: Mapping[str, Mapping[str, str]] = presets.PROMPT_REGISTRY,
                      keys: Sequence[str] = NARRATIVE_COLUMNS, batch_size: int = 8,
-                     max_tokens: int = presets.NARRATIVE_MAX_TOKENS, partitions: int | None = None) -> DataFrame:
+                     max_tokens: int = presets.NARRATIVE_MAX_TOKENS, partitions: int | None = None,
+                     store: str | None = None, run: str | None = None) -> DataFrame:
     """One generated text per gold segment of the given statuses -- grade,
     loan_status, risk_tier, ai_risk_narrative, plus the prompt version, model,
-    tokens and cost of the call.  Store it before use: every action on it calls
-    the model again.
+    tokens and cost of the call.  Without ``store`` every action on it calls the
+    model again, so write it first; with one, the calls are made here, only
+    those that the store lacks (:func:`generate_missing`), tagged with ``run``.
 
     Without ``version`` the per-segment narrative prompt is used
     (``presets.SEGMENT_NARRATIVE_TEMPLATE``, default model); with one, that
@@ -222,7 +309,11 @@ def narrate_segments(gold: DataFrame, client_factory: Callable[[], Client],
                                                 dtypes=dict(segments.dtypes)).alias("prompt"))
     else:
         prompts = render_prompts(segments, [version], registry, keep=list(keys))
-    calls = generate(prompts, client_factory, "prompt", batch_size, max_tokens=max_tokens, partitions=partitions)
+    if store:
+        calls = generate_missing(prompts, client_factory, store, run, max_tokens=max_tokens, batch_size=batch_size,
+                                 partitions=partitions)
+    else:
+        calls = generate(prompts, client_factory, "prompt", batch_size, max_tokens=max_tokens, partitions=partitions)
     return token_cost(calls.withColumnRenamed("narrative", "ai_risk_narrative").drop("prompt"))
 
 

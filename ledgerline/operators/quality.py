@@ -1,15 +1,15 @@
 """Data-quality reports: named expectations, layer counts, reconciliation.
 
-Each report is one aggregation pass (no join, no driver loop); the layer
-counts are unioned and folded by a single conditional aggregate.
+Each report is one aggregation pass (no join, no driver loop); ``reconcile``
+compares three stored layers, ``reconcile_rows`` checks a chain from one scan.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -85,9 +85,34 @@ def reconcile(bronze: DataFrame, silver: DataFrame, gold: DataFrame,
             .unionByName(gold.agg(*gold_aggs), allowMissingColumns=True))
     parts = ["bronze_rows", "silver_rows", "gold_rows"] + (["gold_count_sum"] if gold_count_col else [])
     wide = rows.agg(*[F.max(F.col(n)).cast("bigint").alias(n) for n in parts])
+    return _measures(wide, parts)
+
+
+def reconcile_rows(rows: DataFrame, kept: Column, keys: Sequence[str], id_col: str) -> DataFrame:
+    """The same check before anything is stored, from one scan: ``rows`` are
+    the typed bronze rows, ``kept`` the condition of the silver filter, ``keys``
+    the gold groups and ``id_col`` the column that gold counts.
+
+    One aggregate per group and side of the filter, then one over the groups;
+    a condition that is NULL drops the row, as a filter does.
+    """
+    groups = (rows.groupBy(*keys, F.coalesce(kept, F.lit(False)).alias("__ll_kept"))
+              .agg(F.count(F.lit(1)).alias("__ll_n"), F.count(id_col).alias("__ll_ids")))
+
+    def total(c: str, only_kept: bool = True) -> Column:
+        value = F.when(F.col("__ll_kept"), F.col(c)) if only_kept else F.col(c)
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+
+    wide = groups.agg(total("__ll_n", False).alias("bronze_rows"), total("__ll_n").alias("silver_rows"),
+                      F.count_if("__ll_kept").alias("gold_rows"), total("__ll_ids").alias("gold_count_sum"))
+    return _measures(wide, ["bronze_rows", "silver_rows", "gold_rows", "gold_count_sum"])
+
+
+def _measures(wide: DataFrame, parts: list[str]) -> DataFrame:
+    """One row of counts as (measure, value), with the differences."""
     wide = wide.withColumn("dropped_rows", F.col("bronze_rows") - F.col("silver_rows"))
     names = parts + ["dropped_rows"]
-    if gold_count_col:
+    if "gold_count_sum" in parts:
         wide = wide.withColumn("gold_matches_silver",
                                (F.col("gold_count_sum") == F.col("silver_rows")).cast("bigint"))
         names.append("gold_matches_silver")

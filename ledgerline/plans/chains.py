@@ -51,6 +51,11 @@ def loan_silver(raw: DataFrame, statuses: Sequence[str] = presets.LOAN_STATUSES,
     return require(df, ["loan_amnt", "annual_inc"])
 
 
+def loan_kept(statuses: Sequence[str] = presets.LOAN_STATUSES) -> F.Column:
+    """The condition of the silver filter on typed loans."""
+    return F.col("loan_status").isin(list(statuses)) & F.col("loan_amnt").isNotNull() & F.col("annual_inc").isNotNull()
+
+
 LOAN_GOLD_MEASURES = [
     ("loan_count", "count", "id"),
     ("avg_loan_amt", "avg", "loan_amnt"),
@@ -69,6 +74,13 @@ def loan_gold(silver: DataFrame, tiers=presets.RISK_TIERS, order: bool = True,
     return g.orderBy("grade", "loan_status") if order else g
 
 
+def gold_readback(gold: DataFrame, statuses: Sequence[str] = presets.NARRATIVE_STATUSES) -> DataFrame:
+    """The stored gold of the finished loans, by tier, grade and status."""
+    return (gold.where(F.col("loan_status").isin(list(statuses)))
+            .select("risk_tier", "grade", "loan_status", "loan_count", "avg_loan_amt", "avg_interest_rate", "avg_dti",
+                    "total_loan_volume").orderBy("risk_tier", "grade", "loan_status"))
+
+
 def loan_chain(raw: DataFrame) -> DataFrame:
     return loan_gold(loan_silver(raw))
 
@@ -76,13 +88,7 @@ def loan_chain(raw: DataFrame) -> DataFrame:
 def declarative_silver(raw: DataFrame) -> DataFrame:
     """The reduced silver of the declarative variant: four casts, status and
     amount filters (rows without income are kept)."""
-    df = raw.select(*presets.DECLARATIVE_SILVER_COLUMNS).withColumns({
-        "loan_amnt": safe_double("loan_amnt"),
-        "annual_inc": safe_double("annual_inc"),
-        "dti": safe_double("dti"),
-        "int_rate": strip_cast("int_rate", "%", "double"),
-    })
-    return require(keep_in(df, "loan_status", presets.LOAN_STATUSES), ["loan_amnt"])
+    return require(keep_in(declarative_typed(raw), "loan_status", presets.LOAN_STATUSES), ["loan_amnt"])
 
 
 def declarative_gold(silver: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from ledgerline import presets
 from ledgerline.plans import standins
-from ledgerline.plans.queries import (DEV_SUBSET_ROWS, ORDER_PRIORITY_TIERS, POLICY_REGION,
-                                      PROMPT_VERSIONS, STREAM_BATCHES)
+from ledgerline.plans.queries import (CALLS_FROM, DEV_SUBSET_ROWS, ORDER_PRIORITY_TIERS, ORDER_RANGES,
+                                      POLICY_REGION, PRICE_STEPS, PROMPT_VERSIONS, READER_GROUPS, STREAM_BATCHES)
 
 
 def _q(s: str) -> str:
@@ -200,6 +200,10 @@ FROM ({CALLS}) c
 """
 
 
+_PRICE_ROWS = ", ".join(f"({_q(presets.DEFAULT_MODEL)}, {i}, {o}, {'CAST(NULL AS TIMESTAMP)' if at is None else f'TIMESTAMP {_q(str(at))}'})"
+                        for at, i, o in PRICE_STEPS)
+
+
 def _pct(num: str, den: str) -> str:
     return f"{_round(f"CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE {num}) / nullif(count(*) FILTER (WHERE {den}), 0)", 1)}"
 
@@ -304,12 +308,25 @@ FROM ({MORTGAGE_SILVER}) s GROUP BY applicant_race, {INCOME_BAND}""",
     "export_manifest": f"""
 SELECT 'loan_risk' AS "table", CAST(1 AS BIGINT) AS files, count(*) AS rows, true AS sound FROM ({LOAN_GOLD}) g
 UNION ALL
-SELECT 'mortgage_risk', CAST(1 AS BIGINT), count(*), true FROM ({MORTGAGE_GOLD}) m""",
+SELECT 'mortgage_risk', CAST(1 AS BIGINT), count(*), true FROM ({MORTGAGE_GOLD}) m
+UNION ALL
+SELECT 'narratives', CAST(1 AS BIGINT), count(*), true FROM ({NARRATED}) n""",
     "export_verify": f"""
-SELECT 'loan_risk' AS "table", count(*) AS expected_rows, count(*) AS exported_rows, true AS matches
-FROM ({LOAN_GOLD}) g
+SELECT 'loan_risk' AS "table", count(*) AS expected_rows, count(*) AS exported_rows, true AS matches,
+       true AS digest_matches FROM ({LOAN_GOLD}) g
 UNION ALL
-SELECT 'mortgage_risk', count(*), count(*), true FROM ({MORTGAGE_GOLD}) m""",
+SELECT 'mortgage_risk', count(*), count(*), true, true FROM ({MORTGAGE_GOLD}) m
+UNION ALL
+SELECT 'narratives', count(*), count(*), true, true FROM ({NARRATED}) n""",
+    "gold_readback": f"""
+SELECT risk_tier, grade, loan_status, loan_count, avg_loan_amt, avg_interest_rate, avg_dti, total_loan_volume
+FROM ({LOAN_GOLD}) g WHERE loan_status IN ({_in_list(presets.NARRATIVE_STATUSES)})""",
+    "bronze_rejects": """
+SELECT line, CAST(length(line) - length(replace(line, ',', '')) + 1 AS INTEGER) AS n_fields
+FROM (SELECT CASE WHEN c_custkey % 7 = 0 THEN concat_ws(',', c_custkey, c_name, c_nationkey)
+                  ELSE concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'surplus') END AS line
+      FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 11 = 0) l""",
+    "bronze_fitting": "SELECT * FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0",
     "catalog_layers": "SELECT * FROM orders",
     "source_shape": f"""
 SELECT 'loans_raw' AS source, count(*) AS row_count, CAST({len(standins.LOANS_RAW)} AS BIGINT) AS column_count
@@ -317,6 +334,20 @@ FROM lineitem""",
     "merge_update": ORDERS_MERGED,
     "replay_changes": ORDERS_MERGED,
     "merge_bucketed": ORDERS_MERGED,
+    "merge_ranged": f"""
+SELECT o.o_orderkey, o.o_custkey, CASE WHEN hit THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN hit THEN o_totalprice * 1.05 ELSE o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+FROM (SELECT *, o_orderstatus = 'P'
+                AND o_orderkey // ((SELECT max(o_orderkey) FROM orders) // {ORDER_RANGES} + 1) IN (3, 4) AS hit
+      FROM orders) o""",
+    "gold_refresh": f"""
+SELECT o_orderpriority, o_orderstatus, count(o_orderkey) AS loan_count, {_avg("o_totalprice", 2)} AS avg_loan_amt,
+       {_sum("o_totalprice", 2)} AS total_loan_volume
+FROM (SELECT o_orderkey, o_orderstatus,
+             CASE WHEN low THEN '2-HIGH' ELSE o_orderpriority END AS o_orderpriority,
+             CASE WHEN low THEN o_totalprice - 100 ELSE o_totalprice END AS o_totalprice
+      FROM (SELECT *, o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' AS low FROM ({ORDERS_MERGED}) m) l) o
+GROUP BY o_orderpriority, o_orderstatus""",
     "key_lookup": f"""
 SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(length(CAST(o_orderkey AS VARCHAR)) AS INTEGER) AS id_length
 FROM ({ORDERS_MERGED}) m WHERE o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",
@@ -336,6 +367,34 @@ FROM orders b JOIN ({ORDERS_MERGED}) a ON a.o_orderkey = b.o_orderkey
 WHERE b.o_orderkey IN (SELECT id FROM ({ORDER_CHANGES}) c)""",
     "stream_prefix_agg": STREAM_PREFIX,
     "stream_available_now": STREAM_PREFIX,
+    "stream_keyed": f"SELECT event_type, count, avg_amount, avg_score FROM ({STREAM_PREFIX}) p WHERE batch = {STREAM_BATCHES}",
+    "dated_cost": f"""
+WITH steps(model, p_in, p_out, valid_from) AS (VALUES {_PRICE_ROWS}),
+spans AS (SELECT *, lead(valid_from) OVER (PARTITION BY model ORDER BY valid_from NULLS FIRST) AS valid_to FROM steps)
+SELECT conv_id, prompt_version, c.model, input_tokens, output_tokens, called_at,
+       CAST(input_tokens + output_tokens AS INTEGER) AS total_tokens,
+       {_round("input_tokens / 1000 * p_in + output_tokens / 1000 * p_out", 6)} AS cost_usd
+FROM (SELECT *, CAST(DATE '{CALLS_FROM}' + CAST(conv_id % 365 AS INTEGER) AS TIMESTAMP) AS called_at FROM ({CALLS}) c) c
+JOIN spans s ON s.model = c.model AND (s.valid_from IS NULL OR called_at >= s.valid_from)
+     AND (s.valid_to IS NULL OR called_at < s.valid_to)""",
+    "narratives_resumed": f"""
+SELECT grade, loan_status, risk_tier, narrative AS ai_risk_narrative,
+       CASE WHEN loan_status = {_q(presets.NARRATIVE_STATUSES[0])} THEN 'first' ELSE 'second' END AS run,
+       CAST(ceil(length(prompt) / 4) AS INTEGER) AS input_tokens,
+       CAST(ceil(length(narrative) / 4) AS INTEGER) AS output_tokens
+FROM ({NARRATED}) n""",
+    "version_compare_runs": f"""
+SELECT version_a, version_b, calls_a, total_tokens_a, cost_usd_a, calls_b, total_tokens_b, cost_usd_b,
+       {_round("cost_usd_b - cost_usd_a", 6)} AS cost_difference, true AS timed
+FROM (
+  SELECT {_q(PROMPT_VERSIONS[0])} AS version_a, {_q(PROMPT_VERSIONS[1])} AS version_b,
+         count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS calls_a,
+         CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[0])}) AS BIGINT) AS total_tokens_a,
+         {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[0])} THEN cost_usd END", 6)} AS cost_usd_a,
+         count(*) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS calls_b,
+         CAST(sum(total_tokens) FILTER (WHERE prompt_version = {_q(PROMPT_VERSIONS[1])}) AS BIGINT) AS total_tokens_b,
+         {_sum(f"CASE WHEN prompt_version = {_q(PROMPT_VERSIONS[1])} THEN cost_usd END", 6)} AS cost_usd_b
+  FROM ({COST_LOG}) c) v""",
     "prompt_render": PROMPTS,
     "token_cost": COSTS,
     "cost_by_version": f"""
@@ -369,4 +428,10 @@ FROM customer""",
     "row_policy": f"""
 SELECT * FROM customer WHERE c_nationkey IN (
   SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = {_q(POLICY_REGION)})""",
+    "row_policy_view": f"""
+SELECT c_custkey,
+       regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS c_name,
+       c_nationkey, c_acctbal, c_mktsegment, r_name AS reader
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE r_name IN ({_in_list(READER_GROUPS)})""",
 }

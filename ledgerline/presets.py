@@ -1,8 +1,8 @@
 """Preset values of the two loan chains, the prompt registry and the price list.
 
-The values in this module are FIXED VALUES: they must equal the ones the
-original notebooks use so that results agree.  They are kept as plain data so
-callers can pass their own lists and maps to every operator instead.
+The values under a FIXED VALUES heading must equal the ones the original
+notebooks use so that results agree.  They are kept as plain data so callers
+can pass their own lists and maps to every operator instead.
 """
 
 from __future__ import annotations
@@ -43,25 +43,10 @@ DECLARATIVE_SILVER_COLUMNS = [
 ]
 
 # Named expectations of the declarative silver table.
+_STATUS_KNOWN = f"loan_status IN ({', '.join(repr(s) for s in LOAN_STATUSES)})"
 LOAN_EXPECTATIONS = {
     "valid_loan_amount": "loan_amnt IS NOT NULL",
-    "valid_loan_status": (
-        "loan_status IN ('Fully Paid', 'Charged Off', 'Current', "
-        "'Late (31-120 days)', 'Late (16-30 days)', 'In Grace Period', 'Default')"
-    ),
-}
-
-# Bronze validation of the raw loan text (reported, rows are not dropped).
-# Not in the original code, which only claims bronze validation.
-BRONZE_LOAN_EXPECTATIONS = {
-    "id_present": "id IS NOT NULL",
-    "loan_amnt_numeric": "try_cast(loan_amnt AS DOUBLE) IS NOT NULL",
-    "annual_inc_numeric": "try_cast(annual_inc AS DOUBLE) IS NOT NULL",
-    "loan_status_known": (
-        "loan_status IN ('Fully Paid', 'Charged Off', 'Current', "
-        "'Late (31-120 days)', 'Late (16-30 days)', 'In Grace Period', 'Default')"
-    ),
-    "issue_d_month_year": "try_to_date(issue_d, 'MMM-yyyy') IS NOT NULL",
+    "valid_loan_status": _STATUS_KNOWN,
 }
 
 # Statuses the narrative step and the rate report look at.
@@ -112,15 +97,6 @@ MORTGAGE_SILVER_COLUMNS = [
     "applicant_sex", "applicant_age", "county_code",
 ]
 
-# Usability of mortgage silver fields (reported, rows are kept).  Not in the
-# original code; it makes the NULL share behind each average visible.
-MORTGAGE_EXPECTATIONS = {
-    "dti_numeric": "try_cast(replace(debt_to_income_ratio, '%', '') AS DOUBLE) IS NOT NULL",
-    "interest_rate_present": "interest_rate IS NOT NULL",
-    "income_present": "income IS NOT NULL",
-    "loan_term_present": "loan_term IS NOT NULL",
-}
-
 # --- FIXED VALUES (change feed) ---------------------------------------------
 
 CHANGE_OPERATION = "UPDATE"
@@ -190,3 +166,23 @@ Total Volume: ${total_loan_volume:,.2f}
 Focus on: portfolio exposure, borrower risk profile, and one actionable recommendation.""",
     },
 }
+
+# --- OWN VALUES (not in the original code) ------------------------------------
+
+# Bronze validation of the raw loan text (reported, rows are not dropped).
+BRONZE_LOAN_EXPECTATIONS = {
+    "id_present": "id IS NOT NULL",
+    "loan_amnt_numeric": "try_cast(loan_amnt AS DOUBLE) IS NOT NULL",
+    "annual_inc_numeric": "try_cast(annual_inc AS DOUBLE) IS NOT NULL",
+    "loan_status_known": _STATUS_KNOWN,
+    "issue_d_month_year": "try_to_date(issue_d, 'MMM-yyyy') IS NOT NULL",
+}
+
+# Usability of mortgage silver fields (reported, rows are kept):
+# makes the NULL share behind each average visible.
+MORTGAGE_EXPECTATIONS = {
+    "dti_numeric": "try_cast(replace(debt_to_income_ratio, '%', '') AS DOUBLE) IS NOT NULL",
+    "interest_rate_present": "interest_rate IS NOT NULL",
+    "income_present": "income IS NOT NULL",
+    "loan_term_present": "loan_term IS NOT NULL",
+}

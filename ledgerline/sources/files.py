@@ -10,9 +10,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Column of a landed file that holds a line which does not fit its schema.
+MALFORMED = "_malformed"
+
 
 def read_raw_csv(spark: SparkSession, path: str | Sequence[str], partitions: int | None = None,
                  sep: str = ",") -> DataFrame:
@@ -37,6 +44,32 @@ def read_raw_csv(spark: SparkSession, path: str | Sequence[str], partitions: int
     return df
 
 
+def land_csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], layer: str,
+             header: bool = True, sep: str = ",") -> int:
+    """Land CSV text as a Parquet layer of string columns and return its lines.
+
+    The columns are stated, so a line with too few or too many fields is not
+    shifted or padded silently: it is stored whole in the ``_malformed`` column
+    (all lines in one pass) and kept apart by :func:`landed_rows` and
+    :func:`landed_rejects`.  Blank lines are skipped by the reader.
+    """
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*columns, MALFORMED]])
+    lines = (spark.read.schema(schema).option("header", str(header).lower()).option("sep", sep)
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", MALFORMED)
+             .csv([path] if isinstance(path, str) else list(path)))
+    return write_layer(lines, layer)
+
+
+def landed_rows(spark: SparkSession, layer: str) -> DataFrame:
+    """Lines that fit the schema."""
+    return read_layer(spark, layer).where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def landed_rejects(spark: SparkSession, layer: str) -> DataFrame:
+    """The other lines, as they came: ``line``."""
+    return read_layer(spark, layer).where(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("line"))
+
+
 def write_csv(df: DataFrame, path: str, compression: str | None = "gzip", mode: str = "overwrite") -> None:
     """Header CSV, one file per partition; values are written verbatim
     (Spark's writer trims surrounding blanks unless told not to)."""
@@ -79,19 +112,45 @@ def create_table_if_missing(spark: SparkSession, name: str, ddl_columns: str) ->
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl_columns}) USING parquet")
 
 
-def export_parquet(df: DataFrame, path: str, files: int | None = None) -> int:
-    """Overwrite ``path`` with ``df`` as Parquet in one write and return its rows.
+@dataclass(frozen=True)
+class Digest:
+    """Rows of a table and an order-free digest of their values."""
+
+    rows: int
+    hash_sum: Decimal | None
+    hash_xor: int | None
+
+
+def digest_columns(df: DataFrame) -> list[Column]:
+    """Aggregates that make a :class:`Digest`: sum and xor of the row hashes do
+    not depend on the order or the partitioning, and a repeated row, which
+    cancels in the xor, counts in the sum."""
+    maps = {f.name for f in df.schema if "map<" in f.dataType.simpleString()}
+    row = F.xxhash64(*[F.to_json(F.struct(f"`{c}`")) if c in maps else F.col(f"`{c}`") for c in df.columns],
+                     # nulls are skipped by the hash, so their places count too
+                     *[F.col(f"`{c}`").isNull() for c in df.columns])
+    return [F.count(F.lit(1)).alias("rows"), F.sum(row.cast("decimal(38,0)")).alias("hash_sum"),
+            F.bit_xor(row).alias("hash_xor")]
+
+
+def export_parquet(df: DataFrame, path: str, files: int | None = None) -> Digest:
+    """Overwrite ``path`` with ``df`` as Parquet in one write and return its
+    digest, observed during the write.
 
     ``files``: number of files, for a reader that expects one; the rows are
     gathered behind a shuffle, so the work before it stays parallel.  The
     caller decides, whatever the number of rows; by default the frame keeps its
     partitioning.
     """
-    return write_layer(df.repartition(files) if files else df, path, "overwrite")
+    obs = Observation(f"export_{uuid.uuid4().hex[:12]}")
+    rows = (df.repartition(files) if files else df).observe(obs, *digest_columns(df))
+    rows.write.mode("overwrite").parquet(path)
+    m = obs.get
+    return Digest(int(m.get("rows", 0)), m.get("hash_sum"), m.get("hash_xor"))
 
 
-def export_tables(tables: Mapping[str, DataFrame], root: str, files: int | None = None) -> dict[str, int]:
-    """Export each table to ``<root>/<name>``; returns rows per table."""
+def export_tables(tables: Mapping[str, DataFrame], root: str, files: int | None = None) -> dict[str, Digest]:
+    """Export each table to ``<root>/<name>``; returns the digest per table."""
     return {name: export_parquet(df, f"{root.rstrip('/')}/{name}", files) for name, df in tables.items()}
 
 
@@ -112,13 +171,17 @@ def export_manifest(spark: SparkSession, root: str, names: Sequence[str]) -> Dat
     return out
 
 
-def verify_export(spark: SparkSession, root: str, expected: Mapping[str, int]) -> DataFrame:
-    """Re-read each export and compare its row count with the expected one:
-    table, expected_rows, exported_rows, matches."""
+def verify_export(spark: SparkSession, root: str, expected: Mapping[str, Digest]) -> DataFrame:
+    """Re-read each export and compare rows and content with what was written:
+    table, expected_rows, exported_rows, matches, digest_matches."""
     out = None
-    for name, n in expected.items():
-        df = (spark.read.parquet(f"{root.rstrip('/')}/{name}").agg(F.count(F.lit(1)).alias("exported_rows"))
-              .select(F.lit(name).alias("table"), F.lit(int(n)).cast("bigint").alias("expected_rows"),
-                      "exported_rows"))
-        out = df if out is None else out.unionByName(df)
-    return out.withColumn("matches", F.col("expected_rows") == F.col("exported_rows"))
+    for name, d in expected.items():
+        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        same = (F.col("hash_sum").eqNullSafe(F.lit(d.hash_sum).cast("decimal(38,0)"))
+                & F.col("hash_xor").eqNullSafe(F.lit(d.hash_xor).cast("bigint")))
+        row = df.agg(*digest_columns(df)).select(
+            F.lit(name).alias("table"), F.lit(d.rows).cast("bigint").alias("expected_rows"),
+            F.col("rows").alias("exported_rows"), (F.col("rows") == F.lit(d.rows)).alias("matches"),
+            same.alias("digest_matches"))
+        out = row if out is None else out.unionByName(row)
+    return out

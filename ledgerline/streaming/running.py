@@ -9,6 +9,9 @@ once and a running window per key sums the partials.
 it takes what has landed since the last run on its checkpoint, the aggregate
 runs in complete mode and every micro-batch result is written to its own
 ``batch_id=<id>`` folder (overwrite, so a retried batch is idempotent).
+
+``run_keyed`` is the stream in update mode: a micro-batch holds the keys it
+changed, and they replace their rows in a table with one row per key.
 """
 
 from __future__ import annotations
@@ -84,6 +87,50 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
     """Process everything landed since the last run on ``checkpoint_dir``, as one
     micro-batch or (``files_per_trigger``) several, and return all micro-batch
     results so far with their ``batch_id`` (0-based)."""
+    running = _running(spark, source_dir, schema, keys, measures, files_per_trigger, digits)
+
+    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+
+    _run(running, "complete", write_batch, checkpoint_dir)
+    return spark.read.parquet(sink_dir)
+
+
+def run_keyed(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
+              measures: Sequence[Measure], sink_dir: str, checkpoint_dir: str, buckets: int = 16,
+              files_per_trigger: int | None = None, digits: dict[str, int] | None = None) -> DataFrame:
+    """Process everything landed since the last run on ``checkpoint_dir`` and
+    return the running aggregate, one row per key (a NULL key is a key).
+
+    A micro-batch's rows are first stored, then replace the rows of their keys:
+    only the ``buckets`` (by a hash of the keys) that hold a changed key are
+    rewritten, by dynamic partition overwrite.  Doing a batch twice gives the
+    same table, so a restart from the checkpoint is safe.
+    """
+    running = _running(spark, source_dir, schema, keys, measures, files_per_trigger, digits)
+    table, bucket = f"{sink_dir}/table", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__ll_bucket")
+    stored = T.StructType([*running.schema.fields, T.StructField("__ll_bucket", T.IntegerType(), True)])
+
+    def upsert(batch_df: DataFrame, batch_id: int) -> None:
+        path = f"{sink_dir}/updates/batch_id={batch_id}"
+        batch_df.write.mode("overwrite").parquet(path)     # the stateful plan runs once
+        session = batch_df.sparkSession
+        rows = session.read.schema(running.schema).parquet(path).select("*", bucket)
+        session.createDataFrame([], stored).write.mode("ignore").partitionBy("__ll_bucket").parquet(table)
+        touched = [r[0] for r in rows.select("__ll_bucket").distinct().collect()]      # `buckets` values at most
+        now = session.read.schema(stored).parquet(table).where(F.col("__ll_bucket").isin(touched))
+        new = rows.select(*[F.col(k).alias(f"__ll_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"__ll_{k}")) for k in keys]
+        (now.join(new, same, "left_anti").unionByName(rows).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("__ll_bucket").parquet(table))
+
+    _run(running, "update", upsert, checkpoint_dir)
+    return spark.read.schema(stored).parquet(table).drop("__ll_bucket")
+
+
+def _running(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
+             measures: Sequence[Measure], files_per_trigger: int | None, digits: dict[str, int] | None) -> DataFrame:
+    """The streaming aggregate over the files that land in ``source_dir``."""
     digits = digits or {}
     aggs = []
     for name, fn, col in measures:
@@ -99,15 +146,12 @@ def run_available_now(spark: SparkSession, source_dir: str, schema: T.StructType
     source = spark.readStream.schema(schema)
     if files_per_trigger:
         source = source.option("maxFilesPerTrigger", files_per_trigger)
-    stream = source.parquet(source_dir)
-    running = stream.groupBy(*keys).agg(*aggs)
+    return source.parquet(source_dir).groupBy(*keys).agg(*aggs)
 
-    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
 
-    query = (running.writeStream.outputMode("complete").foreachBatch(write_batch)
+def _run(running: DataFrame, mode: str, write_batch, checkpoint_dir: str) -> None:
+    query = (running.writeStream.outputMode(mode).foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(sink_dir)

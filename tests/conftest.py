@@ -9,6 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
+from ledgerline import presets  # noqa: E402
+
 SF_SMALL = "/root/testdata/sf0.001"
 
 
@@ -32,8 +34,7 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="ledgerline-t-")
 
 
-LOAN_RAW_COLS = ["id", "loan_amnt", "funded_amnt", "term", "int_rate", "grade", "sub_grade", "emp_length",
-                 "home_ownership", "annual_inc", "loan_status", "purpose", "addr_state", "dti", "issue_d"]
+LOAN_RAW_COLS = list(presets.LOAN_SILVER_COLUMNS)
 
 
 def _loan(id, amnt, term, rate, grade, inc, status, dti, issue):
@@ -58,9 +59,8 @@ def loans_raw(spark):
     return spark.createDataFrame(LOAN_RAW_ROWS, schema)
 
 
-MORTGAGE_RAW_COLS = ["activity_year", "lei", "loan_type", "loan_purpose", "action_taken", "loan_amount",
-                     "interest_rate", "loan_term", "property_value", "income", "debt_to_income_ratio",
-                     "applicant_race-1", "applicant_sex", "applicant_age", "county_code"]
+# the raw file's names: the part before the rename
+MORTGAGE_RAW_COLS = [c.split(" AS ")[0].strip("`") for c in presets.MORTGAGE_SILVER_COLUMNS]
 
 
 def _mort(type_, purpose, action, amount, rate, term, income, ratio):

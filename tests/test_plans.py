@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as se
 from ledgerline.plans import chains, standins
+from ledgerline.plans.queries import QUERIES
 from ledgerline.sources.files import read_layer, write_layer
 from tests.conftest import SF_SMALL
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroups", "FlatMapCoGroups",
+                "PythonUDF")
 
 
 def plan_text(df, mode="formatted"):
@@ -19,7 +21,7 @@ def plan_text(df, mode="formatted"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(se.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_registered_plans(spark, name):
     text = plan_text(se.queries()[name](spark, SF_SMALL))
     assert not any(n in text for n in PYTHON_NODES), name
@@ -40,6 +42,10 @@ def test_gold_scan_reads_only_needed_columns(spark):
     assert "HashAggregate" in text and "partial_avg" in text
 
 
+def test_reconciliation_is_one_scan(spark):
+    assert plan_text(QUERIES["layer_reconcile"](spark, SF_SMALL), "simple").count("FileScan") == 1
+
+
 def test_small_change_set_is_broadcast(spark):
     text = plan_text(se.queries()["merge_update"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in text or "BroadcastExchange" in text

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from ledgerline.session import scratch_path
 from ledgerline.plans.standins import assign_batches, land_batch
-from ledgerline.streaming.running import prefix_aggregate, run_available_now
+from ledgerline.streaming.running import prefix_aggregate, run_available_now, run_keyed
 
 SCHEMA = T.StructType([
     T.StructField("application_id", T.StringType(), True), T.StructField("applicant_name", T.StringType(), True),
@@ -13,7 +13,7 @@ SCHEMA = T.StructType([
     T.StructField("credit_score", T.IntegerType(), True), T.StructField("annual_income", T.DoubleType(), True),
     T.StructField("dti", T.DoubleType(), True), T.StructField("application_ts", T.TimestampType(), True)])
 
-PURPOSES = ["Home Purchase", "Refinancing", "Debt Consolidation", "Home Improvement", "Auto"]
+PURPOSES = ["boat", "school fees", "roof", "garden"]
 MEASURES = [("count", "count", "application_id"), ("avg_amount", "avg", "loan_amount"),
             ("avg_score", "avg", "credit_score")]
 DIGITS = {"avg_amount": 2, "avg_score": 0}
@@ -25,9 +25,9 @@ def _apps(spark):
     for i in range(50):
         b = i // 10 + 1
         if b == 1:
-            purpose = "Auto" if i % 2 else "Home Purchase"     # 'Auto' only in batch 1
+            purpose = "car" if i % 2 else "boat"            # 'car' only in batch 1
         else:
-            purpose = PURPOSES[i % 4]                        # 'Debt Consolidation' absent in batch 1
+            purpose = PURPOSES[i % 4]                        # 'roof' absent in batch 1
         rows.append((f"a{i:03d}", "N", float(5000 + 100 * i), purpose, 600 + i, 50000.0, 20.0,
                      base + dt.timedelta(minutes=i)))
     df = spark.createDataFrame(rows, SCHEMA)
@@ -50,7 +50,7 @@ def test_prefix_aggregate_matches_brute_force(spark):
                for r in out.filter(F.col("upto") == b).collect()}
         assert got == _brute(df, b)
     # a purpose seen only in batch 1 stays in every later prefix
-    assert out.filter("loan_purpose = 'Auto'").count() == 5
+    assert out.filter("loan_purpose = 'car'").count() == 5
 
 
 def test_available_now_stream_equals_batch_form(spark):
@@ -67,6 +67,27 @@ def test_available_now_stream_equals_batch_form(spark):
         assert got == _brute(df, b)
 
 
+def test_keyed_stream_holds_one_row_per_key(spark):
+    df = assign_batches(_apps(spark), "seq", 5, "batch")
+    df = df.withColumn("loan_purpose", F.when(F.col("loan_purpose") != "roof", F.col("loan_purpose")))  # a NULL key
+    root = scratch_path(spark, "test-keyed")
+
+    def run():
+        return run_keyed(spark, f"{root}/landing", df.schema, ["loan_purpose"], MEASURES, f"{root}/sink", f"{root}/ckpt",
+                         buckets=3, digits=DIGITS)
+
+    for batch in range(1, 6):
+        land_batch(df, "batch", batch, f"{root}/landing")
+        out = run()
+        rows = out.collect()
+        assert {r.loan_purpose: (r["count"], r.avg_amount, r.avg_score) for r in rows} == _brute(df, batch)
+        assert len(rows) == len({r.loan_purpose for r in rows})
+    # without new files the table stays; the same batch put in again changes nothing
+    assert sorted(map(str, run().collect())) == sorted(map(str, rows))
+    updates = spark.read.parquet(f"{root}/sink/updates/batch_id=1")
+    assert "car" not in {r.loan_purpose for r in updates.collect()}      # only changed keys come
+
+
 def test_prefix_aggregate_for_many_batches_and_null_keys(spark):
     import random
     rnd = random.Random(7)
