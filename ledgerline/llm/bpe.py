@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 # The published word pattern of this family of tokenizers, a fixed value; {L}, {N}, {S} stand for the classes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 _SLICE_CHARS = 4_000_000
-_CACHE_CHUNKS = 400_000
+_CACHE_CHUNKS = 350_000
 _LONG_CHUNK = 1_000
 _CACHE_PAIRS = 1_000_000
 _LAST = 1 << 62
@@ -93,6 +93,7 @@ class BpeModel:
         self.size_of = {i: len(b) for b, i in self.vocab.items()}
         self.little_endian = {i: i.to_bytes(4, "little") for i in self.bytes_of}
         self.known_fits: dict[int, bool] = {}
+        self._encoder: Encoder | None = None
 
     def merge(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first, leftmost of equals."""
@@ -130,8 +131,14 @@ class BpeModel:
         self.known_fits[first << 32 | second] = found
         return found
 
+    def encoder(self) -> Encoder:
+        """One encoder per worker process, so that its caches serve all its tasks."""
+        if self._encoder is None:
+            self._encoder = Encoder(self)
+        return self._encoder
+
     def __getstate__(self):
-        return self.__dict__ | {"known_fits": {}}
+        return self.__dict__ | {"known_fits": {}, "_encoder": None}
 
 
 def library_pattern(pre_tokenizer) -> tuple[str, str]:
@@ -243,7 +250,8 @@ class Encoder:
 
     def __init__(self, model: BpeModel):
         self.model, self.known = model, {}
-        self.words = {a: i.to_bytes(4, "little") for a, i in model.added.items()}
+        self.added_ids = {a: i.to_bytes(4, "little") for a, i in model.added.items()}
+        self.words = dict(self.added_ids)
         ascii_only = re.compile(model.plain_pattern).findall
         exact = regex.compile(model.pattern).findall
         usual = regex.compile(PATTERN.format(L=r"\p{L}", N=r"\p{N}", S=r"\s")).findall
@@ -268,9 +276,9 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         chunks = [self._chunks(t) for t in texts]
         new = set().union(*chunks).difference(self.known)
-        if len(self.known) + len(new) > _CACHE_CHUNKS:
-            self.known, self.words = {}, {a: i.to_bytes(4, "little") for a, i in self.model.added.items()}
-            new = set().union(*chunks)
+        if len(self.known) + len(new) > _CACHE_CHUNKS:  # what this slice holds is worth keeping
+            self.known = {c: self.known[c] for c in set().union(*chunks) if c in self.known}
+            self.words = dict(self.added_ids)
         split = {c: [c] if c in self.model.added else self.split(c) for c in new}
         fresh, le = set().union(*split.values()).difference(self.words), self.model.little_endian
         ids, long = self.words, max(map(len, new), default=0) > _LONG_CHUNK
@@ -305,21 +313,28 @@ def _values(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
-def encode_texts(docs: DataFrame, model: BpeModel, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """doc_id and ids (binary, little-endian unsigned 32-bit) of every whole text."""
+def encode_texts(docs: DataFrame, model: BpeModel, text_col: str = "text", id_col: str = "doc_id",
+                 decoded: bool = False) -> DataFrame:
+    """doc_id and ids (binary, little-endian unsigned 32-bit) of every whole
+    text; with ``decoded`` also the text that these ids stand for, as
+    :func:`decode_ids` gives it, in the same pass."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder, table = shared.value.encoder(), shared.value.bytes_of
         for b in batches:
             at = 0
             for part in slices(_values(b.column(1))):
-                ids = pa.array(encoder.encode([t.decode("utf-8", "replace") for t in part]), pa.binary())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), ids], ["doc_id", "ids"])
+                ids = encoder.encode([t.decode("utf-8", "replace") for t in part])
+                columns = [b.column(0).slice(at, len(part)), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([decode(i, table) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"][:len(columns)])
                 at += len(part)
 
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, ids binary")
+    kind = src.schema["doc_id"].dataType.simpleString()
+    return src.mapInArrow(run, f"doc_id {kind}, ids binary{', text string' if decoded else ''}")
 
 
 def decode_ids(coded: DataFrame, model: BpeModel, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
