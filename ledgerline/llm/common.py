@@ -63,3 +63,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     the hint Spark joins by shuffle, with the same result."""
     few = df.limit(max_rows + 1).count()
     return F.broadcast(df) if few <= max_rows else df
+
+
+def small_side(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast hint when the values of ``df``, a stored frame, take at most
+    ``max_bytes``; without the hint Spark joins by shuffle, with the same
+    result."""
+    wide = [f.name for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    size = F.lit(16 * len(df.columns))
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if total <= max_bytes else df
