@@ -11,15 +11,18 @@ are not judged by the histogram they are too short for.
 References are the median shares per language over all texts of the table with
 enough words: each text counts once, so one huge text cannot shape them,
 and junk below half of a language's texts cannot either.  At most one row per
-configured language reaches the driver.  The word
-histogram is judged only for texts labelled with a configured language or
-with none, since other languages have no common words to compare.
+configured language reaches the driver.  Shares are counted in
+thousandths, so the medians are exact and the same on any partitioning.  The
+histograms are judged only for texts labelled with a configured language or
+with none, since other languages have no reference, and texts without a label
+whose characters are mostly letters beyond ASCII are of another script.
 
 Every per-text step is a row-local expression: no shuffle, no Python.
 
 Defined cases: null text has no words (fails the base rules); blank lines are
-never duplicates; null, unknown and missing languages see above; repeated rows
-each return a row; extra columns stay untouched; an empty table stays empty,
+never duplicates; null, unknown and missing languages see above; a very long
+text is counted whole in its own row; repeated rows each return a row; extra
+columns stay untouched; an empty table stays empty,
 and a language without texts has no reference (with none at all, only the base
 rules decide).
 """
@@ -179,7 +182,7 @@ def references(histograms: DataFrame, rules: Rules = Rules()) -> dict[str, tuple
     n_c, n_w = len(CHAR_CLASSES) + 1, len(_vocabulary(rules)) + 1
 
     def middle(col: str, n: int) -> Column:
-        return F.array(*[F.percentile_approx(F.col(col)[i], 0.5, 1000) for i in range(n)]).alias(col)
+        return F.array(*[F.percentile(F.round(F.col(col)[i], 3), 0.5) for i in range(n)]).alias(col)
 
     rows = df.groupBy("lang").agg(middle("c", n_c), middle("w", n_w)).collect()     # one row per language
 
@@ -207,8 +210,9 @@ def _judge(df: DataFrame, refs: dict[str, tuple[list[float], list[float]]], rule
     nothing = F.lit(None).cast("double")
     if refs:
         least = F.least if len(refs) > 1 else (lambda x: x)
-        labelled = F.col("__lang").isNull() | F.col("__lang").isin(sorted(rules.common_words))
-        char = F.when(F.col("__c").isNotNull(), least(*[_js_distance(F.col("__c"), c) for c, _ in refs.values()]))
+        foreign = F.coalesce(F.col("__c")[list(CHAR_CLASSES).index("accented")] > 0.5, F.lit(False))
+        labelled = F.col("__lang").isin(sorted(rules.common_words)) | F.col("__lang").isNull() & ~foreign
+        char = F.when(F.col("__c").isNotNull() & labelled, least(*[_js_distance(F.col("__c"), c) for c, _ in refs.values()]))
         word = F.when((F.col("__n") >= rules.word_min) & labelled,
                       least(*[_js_distance(F.col("__w"), w) for _, w in refs.values()]))
     else:

@@ -10,8 +10,9 @@ A row is placed by one lookup: md5 of its key modulo the table size.  The table
 has ``table_size`` rows whatever the data holds, so it is always broadcast.
 
 Defined cases: the key of a row with a null id is its text (null: empty);
-repeated ids share a shard; an existing column named like the output column is
-replaced; other columns stay; an empty table stays empty.
+repeated ids share a shard; a very long text is hashed whole if it is the key;
+an existing column named like an output column is replaced; other columns,
+whatever their names, stay; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -64,8 +65,8 @@ def assign_shards(docs: DataFrame, shards: list[str], table_size: int = TABLE_SI
     table = docs.sparkSession.createDataFrame([(i, shards[s]) for i, s in enumerate(owner)],
                                               "__slot bigint, __shard string")
     key = F.coalesce(F.col(id_col).cast("string"), text_of(F.col(text_col))).cast("binary")
-    out = docs.withColumn("__at", slot(key, table_size)).join(F.broadcast(table), F.col("__at") == F.col("__slot"))
-    out = out.withColumn(out_col, F.col("__shard"))
-    if slot_col:
-        out = out.withColumn(slot_col, F.col("__at"))
-    return out.drop("__at", "__slot", "__shard")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), slot(key, table_size).alias("__at"))
+    out = rows.join(F.broadcast(table), F.col("__at") == F.col("__slot"))
+    new = {out_col: F.col("__shard")} | ({slot_col: F.col("__at")} if slot_col else {})
+    kept = [new.pop(c, F.col("__row")[c]).alias(c) for c in docs.columns]
+    return out.select(*kept, *[v.alias(c) for c, v in new.items()])
