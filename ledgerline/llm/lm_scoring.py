@@ -1,31 +1,40 @@
 """Language-model scores from a log-bilinear neural model.
 
 Token counts of all training texts give the unigram base score and the
-vocabulary.  The model predicts a token from the two before it: their
+vocabulary.  The model predicts a class from the two classes before it: their
 embeddings, each through a matrix of its own, add up to a vector whose product
-with the output embeddings (plus a bias) scores every token.  It covers the
-``vocab`` most frequent tokens; all others are one class, inside which the
-smoothed unigram counts decide.
-
-Training is noise-contrastive estimation in numpy: every partition trains on
-all tokens of its training texts, from the same start, and the parameters are
-averaged by token count.  Scoring needs normalised probabilities.  As the score
-is a sum of one part per context token, the normaliser of every context pair
-is one matrix product, ``exp(A) @ exp(B).T``; a token's log-probability is
-then three table look-ups.
+with the output embeddings (plus a bias) scores every class.  The most frequent
+tokens are classes of their own; every other token belongs to one of
+``ENDINGS`` classes by a hash of its last three bytes, inside which smoothed
+counts decide, so that every token has an embedding and the probabilities of
+all tokens (and one unseen token per class) add up to one.
+
+Training is noise-contrastive estimation in numpy, in rounds of train and
+average: the training texts, as class numbers, are dealt by a hash to
+``ROUNDS`` slices and, within a slice, to parts whose number follows from the
+token count alone (the square root of the millions of tokens); each part trains
+in the order of the hash from the last average, and the round ends with the
+average of its parts, model and AdaGrad sums, weighted by tokens.  The file
+layout has no part in it, and the steps behind the model grow with the corpus.
+
+Scoring needs normalised probabilities.  As the score is a sum of one part per
+context class, the normaliser of every context pair is one matrix product,
+``exp(A) @ exp(B).T``; a class's log-probability is then three table look-ups.
 
 The ``HEAD`` most frequent tokens travel to the tasks as a table of bounded
 size.  Counts of rarer tokens stay distributed: texts list their rare tokens,
 which join the count table by shuffle.
 
-Defined cases: null text is empty and has just the end token; repeated rows
-each return the same scores; null ids belong to the fold of the empty string;
-without training texts every count is 0 and the model is uniform; extra
-columns are ignored; an empty table gives an empty result.
+Defined cases: null text is empty and has just the end token; a very long text
+is scored whole, in arrays of its own length; repeated rows each return the
+same scores; null ids belong to the fold of the empty string; without training
+texts every count is 0 and the model is uniform; extra columns, whatever their
+names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,7 +46,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import crc_mod, materialise, text_key, text_of
 
-VOCAB = 2048          # model vocabulary, the class of all other tokens included
+VOCAB = 2048          # classes of the model
+ENDINGS = 512         # of these, for tokens that are not among the most frequent
 HEAD = 65_536         # tokens whose counts are sent to the tasks
 DIM = 24
 BATCH = 2048
@@ -46,8 +56,11 @@ RATE = 0.12
 ALPHA = 0.1
 SEED = 5
 END = b" "            # no word holds a blank
+ROUNDS = 4
+PART_TOKENS = 1_000_000   # tokens of one part, times the number of parts
 _FLUSH = 300_000
 _CHUNK = 2048
+_LEARN = 200_000      # tokens that are shuffled together
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -98,6 +111,10 @@ def frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(kept, key=lambda x: (-x[1], x[0]))
 
 
+def ending(token: bytes, endings: int) -> int:
+    return zlib.crc32(token[-3:]) % endings
+
+
 # --- model ---------------------------------------------------------------------------
 
 @dataclass
@@ -142,9 +159,11 @@ class Model:
 class Trainer:
     """Noise-contrastive estimation with AdaGrad on batches of contexts."""
 
-    def __init__(self, start: Model, unigram: np.ndarray, noise: int, rate: float, seed: int):
+    def __init__(self, start: Model, unigram: np.ndarray, noise: int, rate: float, seed: int,
+                 sums: Model | None = None):
         self.m = Model(*[p.copy() for p in start.parts()])
-        self.sums = [np.full(p.shape, 0.05, np.float32) for p in self.m.parts()]
+        self.sums = [np.full(p.shape, 0.05, np.float32) if sums is None else sums.parts()[i].copy()
+                     for i, p in enumerate(self.m.parts())]
         self.cum = np.cumsum(unigram)
         self.log_noise = np.log(noise * unigram).astype(np.float32)
         self.noise, self.rate = noise, rate
@@ -182,9 +201,25 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
             yield b.slice(i, rows)
 
 
-def _ids(at: dict[bytes, int], words: list[bytes], other: int) -> np.ndarray:
-    get = at.get
-    return np.fromiter((get(w, other) for w in words), np.int64, len(words))
+def _ids(at: dict[bytes, int], words: list[bytes], endings: int) -> np.ndarray:
+    """Class numbers; ``at`` holds the frequent tokens and grows by what it is asked, within a bound."""
+    known = len(at)
+    if known > _FLUSH:
+        for w in list(at)[_FLUSH // 2:]:
+            del at[w]
+    first = at[b""]
+    out = []
+    for w in words:
+        i = at.get(w)
+        if i is None:
+            i = at[w] = first + ending(w, endings)
+        out.append(i)
+    return np.array(out, np.int64)
+
+
+def class_table(words: list[bytes]) -> dict[bytes, int]:
+    """Class of each frequent token; the empty token, which no text holds, has the first ending class."""
+    return {b"": len(words)} | {w: i for i, w in enumerate(words)}
 
 
 def _contexts(ids: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,92 +232,145 @@ def _contexts(ids: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray
     return c2, c1
 
 
-def train_model(train: DataFrame, words: list[bytes], unigram: np.ndarray, dim: int = DIM, seed: int = SEED,
-                batch: int = BATCH, noise: int = NOISE, rate: float = RATE) -> Model:
-    """Average of the models that the partitions of ``train`` (column t) reach."""
-    at = {w: i for i, w in enumerate(words)}
-    other, start_id = len(words), len(words) + 1
-    begin = Model.start(unigram, dim, seed)
+def parts_for(n_tokens: int) -> int:
+    """Parts of a round: the square root of the tokens in units of ``PART_TOKENS``."""
+    return max(1, round((n_tokens / PART_TOKENS) ** 0.5))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(begin, unigram, noise, rate, seed)
-        seen = 0
-        for texts in _slices(batches):
-            held = [tokens_of(t.as_py()) for t in texts.column(0)]
-            ends = np.zeros(sum(map(len, held)), bool)
-            ends[np.cumsum([len(h) for h in held]) - 1] = True
-            ids = np.concatenate([_ids(at, h, other) for h in held])
-            c2, c1 = _contexts(ids, ends, start_id)
-            order = trainer.rng.permutation(len(ids))
-            for i in range(0, len(ids), batch):
-                k = order[i:i + batch]
-                trainer.step(c2[k], c1[k], ids[k])
-            seen += len(ids)
-        if seen:
-            flat = trainer.m.flat().astype(np.float64) * seen
-            chunks = [flat[i:i + _CHUNK] for i in range(0, len(flat), _CHUNK)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(chunks)), pa.int32()), pa.array([float(seen)] * len(chunks), pa.float64()),
-                 pa.array([int(trainer.rng.integers(64))] * len(chunks), pa.int32()),
-                 pa.array(chunks, pa.list_(pa.float64()))], names=["chunk", "weight", "part", "v"])
+
+def train_model(train: DataFrame, words: list[bytes], endings: int, unigram: np.ndarray, n_tokens: int,
+                dim: int = DIM, seed: int = SEED, batch: int = BATCH, noise: int = NOISE, rate: float = RATE,
+                rounds: int = ROUNDS) -> Model:
+    """Train on ``train`` (columns t, the text, and h, a hash of the row)."""
+    table, start_id, parts = class_table(words), len(unigram), parts_for(n_tokens)
+    model, sums = Model.start(unigram, dim, seed), None
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = dict(table)
+        for b in _slices(batches):
+            ids = [_ids(at, tokens_of(t.as_py()), endings).astype("<u2").tobytes() for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(ids, pa.binary())], names=["h", "ids"])
+
+    coded = train.select("t", "h").mapInArrow(encode, "h bigint, ids binary")
+    coded = materialise(coded.withColumn("slice", F.pmod(F.xxhash64(F.lit(1), "h"), F.lit(rounds)).cast("int"))
+                        .withColumn("part", F.pmod(F.xxhash64(F.lit(2), "h"), F.lit(parts)).cast("int")), "lm-coded")
+    schema = "chunk int, weight double, spread int, v array<double>"
 
     def add(pdf):
         return pdf.iloc[:1].assign(weight=pdf["weight"].sum(), v=[np.sum(np.stack(pdf["v"].to_list()), axis=0)])
 
-    schema = "chunk int, weight double, part int, v array<double>"
-    # sums of sums: no group grows with all partitions at once
-    sums = train.select("t").mapInArrow(run, schema).groupBy("chunk", "part").applyInPandas(add, schema)
-    rows = sorted(sums.groupBy("chunk").applyInPandas(add, schema).collect(), key=lambda r: r["chunk"])
-    if not rows:
-        return begin
-    return begin.like(np.concatenate([np.array(r["v"]) for r in rows]) / rows[0]["weight"])
+    for turn in range(rounds):
+        def run(batches: Iterator[pa.RecordBatch], begin: Model = model, state: Model | None = sums,
+                turn: int = turn) -> Iterator[pa.RecordBatch]:
+            trainer, current, seen = None, None, 0
+
+            def result() -> pa.RecordBatch:
+                both = np.concatenate([trainer.m.flat(), np.concatenate([x.ravel() for x in trainer.sums])])
+                flat = both.astype(np.float64) * seen
+                chunks = [flat[i:i + _CHUNK] for i in range(0, len(flat), _CHUNK)]
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(range(len(chunks)), pa.int32()), pa.array([float(seen)] * len(chunks), pa.float64()),
+                     pa.array([current % 64] * len(chunks), pa.int32()), pa.array(chunks, pa.list_(pa.float64()))],
+                    names=["chunk", "weight", "spread", "v"])
+
+            held: list[np.ndarray] = []
+
+            def learn() -> None:
+                ends = np.zeros(sum(map(len, held)), bool)
+                ends[np.cumsum([len(h) for h in held]) - 1] = True
+                ids = np.concatenate(held).astype(np.int64)
+                c2, c1 = _contexts(ids, ends, start_id)
+                order = trainer.rng.permutation(len(ids))
+                for i in range(0, len(ids), batch):
+                    k = order[i:i + batch]
+                    trainer.step(c2[k], c1[k], ids[k])
+                held.clear()
+
+            waiting = 0
+            for b in batches:
+                for part, ids in zip(b.column(0).to_pylist(), b.column(1)):
+                    if part != current:
+                        if trainer is not None:
+                            if held:
+                                learn()
+                            yield result()
+                        trainer = Trainer(begin, unigram, noise, rate, seed + 1000 * turn + part, state)
+                        current, seen, waiting = part, 0, 0
+                    held.append(np.frombuffer(ids.as_buffer(), "<u2"))
+                    seen += len(held[-1])
+                    waiting += len(held[-1])
+                    if waiting >= _LEARN:
+                        learn()
+                        waiting = 0
+            if trainer is not None:
+                if held:
+                    learn()
+                yield result()
+
+        rows = (coded.where(F.col("slice") == turn).select("part", "ids", "h").repartition(parts, "part")
+                .sortWithinPartitions("part", "h", "ids").select("part", "ids"))
+        # sums of sums: no group grows with all parts at once
+        partial = rows.mapInArrow(run, schema).groupBy("chunk", "spread").applyInPandas(add, schema)
+        got = sorted(partial.groupBy("chunk").applyInPandas(add, schema).collect(), key=lambda r: r["chunk"])
+        if got:
+            flat = np.concatenate([np.array(r["v"]) for r in got]) / got[0]["weight"]
+            half = len(flat) // 2
+            model, sums = model.like(flat[:half]), model.like(flat[half:])
+    return model
 
 
 # --- scores --------------------------------------------------------------------------
 
 def score_texts(docs: DataFrame, folds: int = 10, held_out_fold: int = 0, vocab: int = VOCAB, head: int = HEAD,
-                id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
+                endings: int = ENDINGS, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)
     per row; scores are log10."""
     src = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
                       (crc_mod(F.col(id_col), folds) == held_out_fold).alias("held_out"),
                       text_of(F.col(text_col)).cast("binary").alias("t"))
-    train = src.filter(~F.col("held_out"))
+    train = src.filter(~F.col("held_out")).withColumn("h", F.xxhash64("doc_id", "text_key"))
     counts = materialise(token_counts(train), "lm-counts")
     n_all, v_all = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = frequent(counts, head)
     known = dict(top)
-    words = [w for w, _ in top[:vocab - 1]]
-    n_in = sum(c for _, c in top[:vocab - 1])
-    n_other, v_other = n_all - n_in, v_all - len(words)
-    unigram = np.array([known[w] for w in words] + [n_other], np.float64) + ALPHA
+    words = [w for w, _ in top[:max(vocab - endings, 0)]]
+    # tokens and different tokens per ending class, of all but the frequent tokens; `endings` rows
+    by_end = counts.groupBy(F.pmod(F.crc32(F.substring("token", -3, 3)), F.lit(endings)).cast("int").alias("e")).agg(
+        F.sum("c").alias("c"), F.count("*").alias("v")).collect()
+    n_end, v_end = np.zeros(endings), np.zeros(endings)
+    for r in by_end:
+        n_end[r["e"]], v_end[r["e"]] = r["c"], r["v"]
+    for w in words:
+        n_end[ending(w, endings)] -= known[w]
+        v_end[ending(w, endings)] -= 1
+    unigram = np.array([*[known[w] for w in words], *n_end], np.float64) + ALPHA
     unigram /= unigram.sum()
-    model = train_model(train, words, unigram, **training)
+    model = train_model(train, words, endings, unigram, n_all, **training)
     tables = docs.sparkSession.sparkContext.broadcast(model.tables())
-    at = {w: i for i, w in enumerate(words)}
-    other, start = len(words), len(words) + 1
+    table, start, n_words = class_table(words), len(unigram), len(words)
     base_total = float(np.log10(n_all + ALPHA * (v_all + 1)))
-    other_total = float(np.log10(n_other + ALPHA * (v_other + 1)))
+    end_total = np.concatenate([np.zeros(n_words), np.log10(n_end + ALPHA * (v_end + 1))])
     ln10 = float(np.log(10.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ta, tb, tz = tables.value
+        at = dict(table)
         logs = {w: float(np.log10(c + ALPHA)) for w, c in known.items()}
         for rb in _slices(batches):
             cols: list[list] = [[], [], [], [], [], []]
             for t in rb.column(3):
                 got = tokens_of(t.as_py())
-                ids = _ids(at, got, other)
+                ids = _ids(at, got, endings)
                 c2, c1 = _contexts(ids, np.zeros(len(ids), bool), start)
                 lm = float((ta[c1, ids] + tb[c2, ids] - tz[c1, c2]).sum(dtype=np.float64)) / ln10
                 rare = [w for w in got if w not in logs]
-                outside = [logs[got[i]] for i in np.nonzero(ids == other)[0] if got[i] in logs]
+                ended = np.nonzero(ids >= n_words)[0]
+                outside = [logs[got[i]] for i in ended if got[i] in logs]
                 n = len(got)
                 head_sum = sum([logs[w] for w in got if w in logs]) if rare else sum([logs[w] for w in got])
                 cols[0].append(n)
                 cols[1].append(n - len(rare))
                 cols[2].append(head_sum - n * base_total)
-                cols[3].append(lm + sum(outside) - int((ids == other).sum()) * other_total)
+                cols[3].append(lm + sum(outside) - float(end_total[ids[ended]].sum()))
                 cols[4].append(rare)
             yield pa.RecordBatch.from_arrays(
                 [rb.column(0), rb.column(1), rb.column(2), pa.array(cols[0], pa.int64()),
