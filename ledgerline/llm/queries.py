@@ -70,7 +70,8 @@ def op8_chat_windows(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     scored = toxicity.train_and_score(_t(spark, sf, "documents"), _t(spark, sf, "labels"))
-    return _predicted(scored).select("doc_id", "held_out", "score", "predicted", "vote", "neighbours", "cosines")
+    return _predicted(scored).select("doc_id", "held_out", "score", "predicted", "vote", "neighbours", "cosines",
+                                     "neighbour_labels")
 
 
 def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,28 +1,34 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Examples: a bounded, documented sample of the labelled training rows
-(``max_examples``, the smallest hashes of their ids).  Terms: words and word
-beginnings that are significantly more frequent in positive examples (chi-squared test over the
-whole sample; copies of a text count once).  Examples and documents become TF-IDF
-vectors over those terms.
+(``max_examples``, the smallest hashes of their ids).  Terms: every word that
+``MIN_DF`` examples hold, and word beginnings that are significantly more
+frequent in positive examples.  A term weighs its inverse document frequency
+times a strength from ``EPS`` to 1: how significant (chi-squared over the whole
+sample; copies of a text count once) and how pure it is for positive examples.
+So a text with telling words lies near examples with the same ones, and any
+other text near examples of its own wording.
 
 The examples sit in an inverted index whose postings are cut into blocks of
 examples; each (term, block) keeps its largest weight.  A search adds up these
 maxima into an upper bound per block and opens blocks in descending order of
 the bound until the k-th best cosine beats all that remain, so the k nearest
-are exact.  The vote of a document is the cosine-weighted share of positive
+are exact.  Blocks hold examples with the same common words, which keeps the
+bounds apart.  The vote of a document is the cosine-weighted share of positive
 neighbours, shrunk towards zero evidence; isotonic regression on leave-one-out
-votes of the examples calibrates it.  The neighbours are returned as evidence.
+votes of the examples, worked out in tasks, calibrates it.  All k neighbours
+are returned as evidence with cosines and labels, so the vote can be checked.
 
-Documents are scored in the tasks that read them; the index is bounded by
-``max_examples`` and ``max_terms`` and goes to every task.
+Documents are scored in the tasks that read them; the index is bounded by the
+texts of ``max_examples`` rows and is broadcast.
 
 Defined cases: null text is empty; a text without any term has no neighbours
-and gets the calibrated score of vote 0; labels that are null or have a null
-doc_id are left out; without training labels (or without any term) each score
-is the training share of positives, 0.5 if there is none; repeated rows each
-return a row; ties among neighbours go to the smaller example number; extra
-columns are ignored; empty tables give an empty result.
+and gets the calibrated score of vote 0; a very long text is scored whole;
+labels that are null or have a null doc_id are left out; without training
+labels (or without any term) each score is the training share of positives,
+0.5 if there is none; repeated rows each return a row; ties among neighbours
+go to the smaller example number; extra columns of either table, whatever
+their names, are ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -37,10 +43,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.calibration import isotonic_apply, isotonic_fit
-from ledgerline.llm.common import crc_mod, text_of, unit_hash
+from ledgerline.llm.common import crc_mod, materialise, text_of, unit_hash
 
 MAX_EXAMPLES = 6_000
-MAX_TERMS = 4_000
+#: Strength of a term that says nothing about the label.
+EPS = 0.02
+#: Tasks that prepare the examples.
+_TASKS = 32
 PREFIXES = (4, 5, 6, 7)
 MIN_DF = 3
 MIN_CHI2 = 25.0
@@ -63,115 +72,120 @@ def terms_of(word: bytes) -> list[bytes]:
     return [b" " + word, *(word[:n] for n in PREFIXES if len(word) >= n)]
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first[i] .. first[i] + size[i] - 1 of all i, in a row."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
 class BlockMaxIndex:
-    """Examples as unit TF-IDF vectors, searched exactly."""
+    """Examples as unit TF-IDF vectors (term numbers, weights), searched exactly."""
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = BLOCK):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         self.n, self.block = len(vectors), block
         self.n_blocks = -(-self.n // block) if self.n else 0
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for e, v in enumerate(vectors):
-            for t, w in v.items():
-                lists[t].append((e, w))
-        self.post, self.weight, self.blocks, self.maxima, self.bounds = [], [], [], [], []
-        for one in lists:
-            ids = np.array([e for e, _ in one], np.int64)
-            w = np.array([x for _, x in one], np.float64)
-            blocks, first = np.unique(ids // block, return_index=True) if len(ids) else (ids, ids)
-            self.post.append(ids)
-            self.weight.append(w)
-            self.blocks.append(blocks)
-            self.maxima.append(np.maximum.reduceat(w, first) if len(ids) else w)
-            self.bounds.append(np.append(first, len(ids)))
-
-    def search(self, query: dict[int, float], k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        sizes = [len(t) for t, _ in vectors]
+        term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
+        weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        example = np.repeat(np.arange(self.n), sizes)
+        order = np.lexsort((example, term))
+        term, self.example, self.weight = term[order], example[order], weight[order].astype(np.float64)
+        # entries: the postings of one term in one block, with their largest weight
+        key = term * max(self.n_blocks, 1) + self.example // block
+        self.first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else key
+        self.size = np.diff(np.append(self.first, len(key)))
+        self.at_block = self.example[self.first] // block
+        self.largest = np.maximum.reduceat(self.weight, self.first) if len(key) else self.weight
+        self.entries = np.searchsorted(term[self.first], np.arange(n_terms + 1))
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a positive
         cosine, best first.  ``skip`` leaves one example out."""
-        bound = np.zeros(self.n_blocks)
-        for t, q in query.items():
-            bound[self.blocks[t]] += q * self.maxima[t]
+        n_entries = self.entries[terms + 1] - self.entries[terms]
+        entry = _ranges(self.entries[terms], n_entries)
+        q, block = np.repeat(weights, n_entries), self.at_block[entry]
+        bound = np.bincount(block, q * self.largest[entry], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
-        best_e, best_s = np.zeros(0, np.int64), np.zeros(0)
-        for start in range(0, len(order), 8):
-            opened = order[start:start + 8]
-            top = bound[opened[0]]
-            if top <= 0 or (len(best_s) >= k and best_s[k - 1] > top + 1e-12):
+        best_e, best_s, at, some = np.zeros(0, np.int64), np.zeros(0), 0, 4
+        while at < len(order):
+            opened = order[at:at + some]
+            if bound[opened[0]] <= 0 or len(best_s) >= k and best_s[k - 1] > bound[opened[0]] + 1e-12:
                 break
-            scores = np.zeros(len(opened) * self.block)
-            slot = {int(b): i for i, b in enumerate(opened)}
-            for t, q in query.items():
-                at = np.searchsorted(self.blocks[t], opened)
-                for j, b in zip(at, opened):
-                    if j < len(self.blocks[t]) and self.blocks[t][j] == b:
-                        lo, hi = self.bounds[t][j], self.bounds[t][j + 1]
-                        local = self.post[t][lo:hi] - b * self.block + slot[int(b)] * self.block
-                        scores[local] += q * self.weight[t][lo:hi]
-            hit = np.nonzero(scores)[0]
-            ids = opened[hit // self.block] * self.block + hit % self.block
-            keep = ids != skip
-            best_e = np.concatenate([best_e, ids[keep]])
-            best_s = np.concatenate([best_s, scores[hit][keep]])
+            is_open = np.zeros(self.n_blocks, bool)
+            is_open[opened] = True
+            chosen = is_open[block]
+            e, qe = entry[chosen], q[chosen]
+            post = _ranges(self.first[e], self.size[e])
+            scores = np.bincount(self.example[post], np.repeat(qe, self.size[e]) * self.weight[post], self.n)
+            hit = np.flatnonzero(scores)
+            hit = hit[hit != skip]
+            best_e, best_s = np.concatenate([best_e, hit]), np.concatenate([best_s, scores[hit]])
             first = np.lexsort((best_e, -best_s))[:k]
             best_e, best_s = best_e[first], best_s[first]
+            at, some = at + some, some * 2
         return best_e, best_s
 
 
 class Voter:
     """Turns texts into votes; holds the whole, bounded model."""
 
-    def __init__(self, terms: list[bytes], idf: list[float], examples: list[dict[int, int]], labels: list[int],
+    def __init__(self, terms: list[bytes], weight: list[float], examples: list[dict[int, int]], labels: list[int],
                  ids: list, k: int, shrink: float):
         self.at = {t: i for i, t in enumerate(terms)}
-        self.idf, self.k, self.shrink = idf, k, shrink
+        self.weight, self.k, self.shrink = np.array(weight), k, shrink
         self.labels, self.ids = np.array(labels, np.float64), ids
-        self.vectors = [self._unit(c) for c in examples]
+        self.vectors = [self.unit(c) for c in examples]
         self.index = BlockMaxIndex(self.vectors, len(terms))
         self.cache: dict = {}
         self.memo: dict[bytes, list[int]] = {}
 
+    def __getstate__(self):
+        return self.__dict__ | {"cache": {}, "memo": {}}
+
     def _ids(self, word: bytes) -> list[int]:
-        if len(self.memo) > 500_000:
+        if len(self.memo) > 200_000:
             self.memo.clear()
         found = self.memo[word] = [self.at[t] for t in terms_of(word) if t in self.at]
         return found
 
-    def _unit(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1.0 + np.log(c)) * self.idf[t] for t, c in counts.items()}
-        norm = np.sqrt(sum(x * x for x in v.values()))
-        return {t: x / norm for t, x in v.items()} if norm else {}
+    def unit(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        terms = np.fromiter(counts.keys(), np.int64, len(counts))
+        v = (1.0 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) * self.weight[terms]
+        norm = np.sqrt(v @ v)
+        return terms, v / norm if norm else v
 
     def counts(self, text: bytes) -> dict[int, int]:
         memo = self.memo
         return Counter([t for w in words_of(text) for t in (memo[w] if w in memo else self._ids(w))])
 
-    def vote(self, query: dict[int, float], skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        if not query:
+    def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
+        if not len(terms):
             return 0.0, np.zeros(0, np.int64), np.zeros(0)
-        e, s = self.index.search(query, self.k, skip)
+        e, s = self.index.search(terms, weights, self.k, skip)
         return float((s * self.labels[e]).sum() / (s.sum() + self.shrink)), e, s
 
-    def judge(self, text: bytes) -> tuple[float, list, list[float]]:
-        counts = self.counts(text)
-        key = tuple(sorted(counts.items()))
+    def judge(self, text: bytes) -> tuple[float, list, list[float], list[int]]:
+        """Vote, and the neighbours' ids, cosines and labels."""
+        key = xxhash.xxh3_128_digest(text)
         if key not in self.cache:
-            if len(self.cache) > 50_000:
+            if len(self.cache) > 20_000:
                 self.cache.clear()
-            vote, e, s = self.vote(self._unit(counts))
-            self.cache[key] = (vote, [self.ids[i] for i in e[:3]], [float(x) for x in s[:3]])
+            vote, e, s = self.vote(*self.unit(self.counts(text)))
+            self.cache[key] = (vote, [self.ids[i] for i in e], s.tolist(), self.labels[e].astype(int).tolist())
         return self.cache[key]
 
 
 def sample_examples(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_out_fold: int,
                     max_examples: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, label, text) of at most ``max_examples`` labelled rows outside
+    """(doc_id, label, t) of at most ``max_examples`` labelled rows outside
     the held-out fold, the smallest id hashes."""
-    known = (labels.select(F.col(id_col).alias("lid"), F.col(label_col).cast("int").alias("label"))
-             .filter(F.col("label").isNotNull() & F.col("lid").isNotNull()
-                     & (crc_mod(F.col("lid"), folds) != held_out_fold)))
-    chosen = known.orderBy(unit_hash(F.lit("examples"), "lid"), "lid", "label").limit(max_examples)
+    known = (labels.select(F.col(id_col).alias("__lid"), F.col(label_col).cast("int").alias("label"))
+             .filter(F.col("label").isNotNull() & F.col("__lid").isNotNull()
+                     & (crc_mod(F.col("__lid"), folds) != held_out_fold)))
+    chosen = known.orderBy(unit_hash(F.lit("examples"), "__lid"), "__lid", "label").limit(max_examples)
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).cast("binary").alias("t"))
     # an id may repeat in docs: the bound holds for the different joined rows
-    rows = (docs.join(F.broadcast(chosen), docs[id_col] == F.col("lid"))
-            .select(F.col("lid").alias("doc_id"), "label", text_of(docs[text_col]).cast("binary").alias("t")).distinct())
+    rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("__lid")).select("doc_id", "label", "t").distinct()
     return rows.orderBy(unit_hash(F.lit("examples"), "doc_id"), "doc_id", "label", "t").limit(max_examples)
 
 
@@ -200,70 +214,92 @@ def _term_counts(sample: DataFrame) -> DataFrame:
             .groupBy("term").agg(F.sum("label").alias("positive"), F.sum(1 - F.col("label")).alias("negative")))
 
 
+def _terms(sample: DataFrame, n: int, pos: int) -> tuple[list[bytes], list[float]]:
+    """The terms of the examples and their weights; as many rows as a bounded
+    sample has different words reach the driver."""
+    a, b = F.col("positive").cast("double"), F.col("negative").cast("double")
+    neg = n - pos
+    c, d = F.greatest(float(pos) - a, F.lit(0.0)), F.greatest(float(neg) - b, F.lit(0.0))
+    chi2 = n * (a * d - b * c) ** 2 / ((a + b) * F.greatest(c + d, F.lit(1.0)) * pos * neg)
+    strong = F.least(chi2 / max(MIN_CHI2, MIN_PHI2 * n), F.lit(1.0))
+    strength = F.when(a >= MIN_PURITY * (a + b), strong).otherwise(0.0)
+    rows = (_term_counts(sample).select("term", (a + b).alias("df"), strength.alias("strength"))
+            .filter((F.col("df") >= MIN_DF) & (F.col("term").startswith(F.lit(b" ")) | (F.col("strength") >= 1.0)))
+            .orderBy("term").collect())
+    return ([bytes(r["term"]) for r in rows],
+            [(np.log((n + 1) / (r["df"] + 1)) + 1.0) * (EPS + (1 - EPS) * r["strength"] ** 2) for r in rows])
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 4, held_out_fold: int = 2,
-        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = K, shrink: float = SHRINK,
-        id_col: str = "doc_id", text_col: str = "text") -> tuple[Voter | None, tuple, float]:
+        max_examples: int = MAX_EXAMPLES, k: int = K, shrink: float = SHRINK, id_col: str = "doc_id",
+        text_col: str = "text") -> tuple[Voter | None, tuple, float]:
     """(voter, isotonic knots, share of positives)."""
-    sample = sample_examples(docs, labels, label_col, folds, held_out_fold, max_examples, id_col, text_col).persist()
-    try:
-        n, pos = sample.agg(F.count("*"), F.sum("label")).first()
-        share = pos / n if n else 0.5
-        if not n or not pos or pos == n:
-            return None, (np.array([]), np.array([])), share
-        neg = n - pos
-        a, b = F.col("positive").cast("double"), F.col("negative").cast("double")
-        c, d = F.greatest(float(pos) - a, F.lit(0.0)), F.greatest(float(neg) - b, F.lit(0.0))
-        chi2 = n * (a * d - b * c) ** 2 / ((a + b) * F.greatest(c + d, F.lit(1.0)) * pos * neg)
-        terms = (_term_counts(sample).withColumn("chi2", chi2)
-                 .filter((a + b >= MIN_DF) & (chi2 >= max(MIN_CHI2, MIN_PHI2 * n)) & (a >= MIN_PURITY * (a + b)))
-                 .orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
-        if not terms:
-            return None, (np.array([]), np.array([])), share
-        names = [bytes(r["term"]) for r in terms]
-        idf = [float(np.log((n + 1) / (r["positive"] + r["negative"] + 1)) + 1.0) for r in terms]
-        counter = Voter(names, idf, [], [], [], k, shrink)
-
-        def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                found = [counter.counts(t) for t in b.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
-                     pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
-                    names=["doc_id", "label", "t", "c"])
-
-        kind = sample.schema["doc_id"].dataType.simpleString()
-        rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, t array<int>, c array<int>").collect()
-    finally:
-        sample.unpersist()
-    rows.sort(key=lambda r: (str(r["doc_id"]), r["label"], sorted(zip(r["t"], r["c"]))))
+    spark = docs.sparkSession
+    sample = sample_examples(docs, labels, label_col, folds, held_out_fold, max_examples, id_col, text_col)
+    sample = materialise(sample.repartition(_TASKS, "doc_id", "t"), "toxicity-examples")
+    n, pos = sample.agg(F.count("*"), F.sum("label")).first()
+    share = pos / n if n else 0.5
+    names, weight = _terms(sample, n, pos) if n and pos and pos < n else ([], [])
+    if not names:
+        return None, (np.array([]), np.array([])), share
+    counter = Voter(names, weight, [], [], [], k, shrink)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [counter.counts(t) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
+                 pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                names=["doc_id", "label", "t", "c"])
+
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, t array<int>, c array<int>").collect()
+
+    def common(r) -> list[int]:
+        """The most frequent terms of an example: those of one wording share a block."""
+        return [t for _, t in sorted(zip(r["c"], r["t"]), key=lambda x: (-x[0], x[1]))[:3]]
+
+    rows.sort(key=lambda r: (common(r), str(r["doc_id"]), r["label"], sorted(zip(r["t"], r["c"]))))
     counts = [dict(zip(r["t"], r["c"])) for r in rows]
-    voter = Voter(names, idf, counts, [r["label"] for r in rows], [r["doc_id"] for r in rows], k, shrink)
-    votes = np.array([voter.vote(v, skip=i)[0] for i, v in enumerate(voter.vectors)])
+    voter = Voter(names, weight, counts, [r["label"] for r in rows], [r["doc_id"] for r in rows], k, shrink)
+    shared = spark.sparkContext.broadcast(voter)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        for b in batches:
+            found = [v.vote(*v.vectors[i], skip=i)[0] for i in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64())], names=["id", "vote"])
+
+    got = spark.range(0, len(rows), 1, _TASKS).mapInArrow(left_out, "id bigint, vote double").collect()
+    votes = np.zeros(len(rows))
+    votes[[r["id"] for r in got]] = [r["vote"] for r in got]
     return voter, isotonic_fit(votes, voter.labels, np.ones(len(votes))), share
 
 
 def train_and_score(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 4,
                     held_out_fold: int = 2, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """(doc_id, held_out, vote, score, neighbours, cosines) per row."""
+    """(doc_id, held_out, vote, score, neighbours, cosines, neighbour_labels) per row."""
     voter, knots, share = fit(docs, labels, label_col, folds, held_out_fold, id_col=id_col, text_col=text_col, **kw)
     src = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).cast("binary").alias("t"))
     held = (crc_mod(F.col("doc_id"), folds) == held_out_fold).alias("held_out")
     kind = src.schema["doc_id"].dataType.simpleString()
+    evidence = f"neighbours array<{kind}>, cosines array<double>, neighbour_labels array<int>"
     if voter is None:
-        return src.select("doc_id", held, F.lit(0.0).alias("vote"), F.lit(float(share)).alias("score"),
-                          F.array().cast(f"array<{kind}>").alias("neighbours"),
-                          F.array().cast("array<double>").alias("cosines"))
+        none = [F.array().cast(t).alias(n) for n, t in (x.split(" ") for x in evidence.split(", "))]
+        return src.select("doc_id", held, F.lit(0.0).alias("vote"), F.lit(float(share)).alias("score"), *none)
+    shared = docs.sparkSession.sparkContext.broadcast(voter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
         for b in batches:
-            got = [voter.judge(t.as_py()) for t in b.column(1)]
+            got = [v.judge(t.as_py()) for t in b.column(1)]
             votes = np.array([g[0] for g in got])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(votes, pa.float64()), pa.array(isotonic_apply(knots, votes), pa.float64()),
                  pa.array([g[1] for g in got], pa.list_(b.schema.field(0).type)),
-                 pa.array([g[2] for g in got], pa.list_(pa.float64()))],
-                names=["doc_id", "vote", "score", "neighbours", "cosines"])
+                 pa.array([g[2] for g in got], pa.list_(pa.float64())),
+                 pa.array([g[3] for g in got], pa.list_(pa.int32()))],
+                names=["doc_id", "vote", "score", "neighbours", "cosines", "neighbour_labels"])
 
-    out = src.mapInArrow(run, f"doc_id {kind}, vote double, score double, neighbours array<{kind}>, "
-                              "cosines array<double>")
-    return out.select("doc_id", held, "vote", "score", "neighbours", "cosines")
+    out = src.mapInArrow(run, f"doc_id {kind}, vote double, score double, {evidence}")
+    return out.select("doc_id", held, "vote", "score", "neighbours", "cosines", "neighbour_labels")
