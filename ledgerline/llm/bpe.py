@@ -288,7 +288,7 @@ class Encoder:
         out = [b"".join(map(self.known.__getitem__, c)) for c in chunks]
         if long:  # not worth their memory
             self.known = {c: i for c, i in self.known.items() if len(c) <= _LONG_CHUNK}
-            self.words = {c: i for c, i in self.words.items() if len(c) <= _LONG_CHUNK}
+            self.words = {c: i for c, i in self.words.items() if len(c) <= _LONG_CHUNK} | self.added_ids
         return out
 
 

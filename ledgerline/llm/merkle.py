@@ -93,14 +93,15 @@ def placed(df: DataFrame, order: list[Column], name: str) -> DataFrame:
             .withColumn("place", F.col("before") + inside).drop("part", "before", "at"))
 
 
-def block_nodes(rows: Iterator[tuple[int, int, int, str]], base: int) -> Iterator[tuple[int, int, int, int, str]]:
-    """Inner nodes above ``rows`` (tree, idx, size of the level, digest), which
-    come block by block: (tree, level, idx, size, digest)."""
-    width, held, key, size = ARITY ** BLOCK_LEVELS, [], None, 0
+def block_nodes(rows: Iterator[tuple[int, int, int, str]], base: int,
+                levels: int) -> Iterator[tuple[int, int, int, int, str]]:
+    """Inner nodes of ``levels`` levels above ``rows`` (tree, idx, size of the
+    level, digest), which come block by block: (tree, level, idx, size, digest)."""
+    width, held, key, size = ARITY ** levels, [], None, 0
 
     def close() -> Iterator[tuple[int, int, int, int, str]]:
         level, first, n, nodes = base, key[1] * width, size, held
-        while n > 1 and level < base + BLOCK_LEVELS:
+        while n > 1 and level < base + levels:
             nodes = [_hash(nodes[i:i + ARITY]) for i in range(0, len(nodes), ARITY)]
             level, first, n = level + 1, first // ARITY, -(-n // ARITY)
             for i, digest in enumerate(nodes):
@@ -143,15 +144,15 @@ _NODE_ARROW = pa.schema([("tree", pa.int64()), ("level", pa.int32()), ("idx", pa
 def inner_nodes(leaves: DataFrame, largest: int, name: str) -> list[DataFrame]:
     """All inner nodes of the trees over ``leaves`` (tree, idx, size, digest),
     the largest of which has ``largest`` leaves; one stored frame a round."""
-    out, level, base = [], leaves, 0
+    out, level, base, levels = [], leaves, 0, BLOCK_LEVELS
     while base < _depth(largest):
         def build(batches: Iterator[pa.RecordBatch], base: int = base) -> Iterator[pa.RecordBatch]:
-            yield from _in_batches(block_nodes(_rows(batches), base), _NODE_ARROW)
+            yield from _in_batches(block_nodes(_rows(batches), base, levels), _NODE_ARROW)
 
         src = (level.where("size > 1").select("tree", "idx", "size", "digest")
-               .repartition("tree", F.expr(f"idx div {ARITY ** BLOCK_LEVELS}")).sortWithinPartitions("tree", "idx"))
+               .repartition("tree", F.expr(f"idx div {ARITY ** levels}")).sortWithinPartitions("tree", "idx"))
         out.append(materialise(src.mapInArrow(build, NODE_SCHEMA), f"{name}-{base}"))
-        base += BLOCK_LEVELS
+        base += levels
         level = out[-1].where(F.col("level") == base)
     return out
 
