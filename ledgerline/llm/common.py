@@ -58,13 +58,6 @@ def unit_hash(*cols: Column) -> Column:
     return (bits.cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint when a count proves at most ``max_rows`` rows; without
-    the hint Spark joins by shuffle, with the same result."""
-    few = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if few <= max_rows else df
-
-
 def small_side(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     """Broadcast hint when the values of ``df``, a stored frame, take at most
     ``max_bytes``; without the hint Spark joins by shuffle, with the same

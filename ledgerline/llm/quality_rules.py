@@ -34,7 +34,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import broadcast_if_small, materialise, split_words, text_key, text_of
+from ledgerline.llm.common import materialise, small_side, split_words, text_key, text_of
 
 # The most frequent function words of each language, lower case.
 COMMON_WORDS = {
@@ -63,10 +63,6 @@ class Rules:
     common_words: dict = field(default_factory=lambda: COMMON_WORDS)
 
 
-#: Rejected keys up to which they are broadcast (about 50 bytes each); beyond, Spark joins by shuffle.
-REJECTED_ROWS = 500_000
-
-
 # --- counts ------------------------------------------------------------------------
 
 def _let(value: Column, body) -> Column:
@@ -253,6 +249,6 @@ def keep_good(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", t
                            .select("doc_id", "__tk", "__lang", F.col("__v.kept").alias("kept")), "quality-verdicts")
     gone = (verdicts.filter(~F.col("kept")).select(F.col("doc_id").alias("__gid"), F.col("__tk").alias("__gtk"),
                                                    F.col("__lang").alias("__glang")).distinct())
-    return docs.join(broadcast_if_small(gone, REJECTED_ROWS),
-                     docs[id_col].eqNullSafe(F.col("__gid")) & (text_key(docs[text_col]) == F.col("__gtk"))
-                     & docs[lang_col].eqNullSafe(F.col("__glang")), "left_anti")
+    gone = small_side(materialise(gone, "quality-rejected"))
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["__gid"]) & (text_key(docs[text_col]) == gone["__gtk"])
+                     & docs[lang_col].eqNullSafe(gone["__glang"]), "left_anti")
