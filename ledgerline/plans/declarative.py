@@ -20,10 +20,10 @@ from ledgerline.operators.quality import expectation_report
 from ledgerline.plans.chains import declarative_gold, declarative_silver, declarative_typed
 from ledgerline.sources.files import read_raw_csv
 
-BRONZE = "dlt_bronze_loans"
-SILVER = "dlt_silver_loans"
-GOLD = "dlt_gold_risk"
-EXPECTATIONS = "dlt_silver_expectations"
+BRONZE = "bronze_loans"
+SILVER = "silver_loans"
+GOLD = "gold_loan_risk"
+EXPECTATIONS = "silver_loan_expectations"
 
 
 def define_loan_pipeline(spark: SparkSession, raw_path: str, partitions: int | None = None,
