@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ MAX_EXAMPLES = 6_000
 EPS = 0.02
 #: Tasks that prepare the examples.
 _TASKS = 32
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (4, 6)
 MIN_DF = 3
 MIN_CHI2 = 25.0
 MIN_PURITY = 0.75      # least share of positive contexts of a term
@@ -89,14 +90,28 @@ class BlockMaxIndex:
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
         example = np.repeat(np.arange(self.n), sizes)
         order = np.lexsort((example, term))
-        term, self.example, self.weight = term[order], example[order], weight[order].astype(np.float64)
+        term, self.example, self.weight = term[order], example[order].astype(np.int32), weight[order].astype(np.float32)
         # entries: the postings of one term in one block, with their largest weight
         key = term * max(self.n_blocks, 1) + self.example // block
-        self.first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else key
-        self.size = np.diff(np.append(self.first, len(key)))
-        self.at_block = self.example[self.first] // block
-        self.largest = np.maximum.reduceat(self.weight, self.first) if len(key) else self.weight
-        self.entries = np.searchsorted(term[self.first], np.arange(n_terms + 1))
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else key
+        self.first = np.append(first, len(key)).astype(np.int32)
+        self.at_block = (self.example[first] // block).astype(np.int32)
+        self.largest = np.maximum.reduceat(self.weight, first) if len(key) else self.weight
+        self.entries = np.searchsorted(term[first], np.arange(n_terms + 1))
+        self.by_example = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"by_example": None}
+
+    def vector(self, example: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of an example, from its postings."""
+        if self.by_example is None:
+            order = np.argsort(self.example, kind="stable")
+            self.by_example = order, np.searchsorted(self.example[order], np.arange(self.n + 1))
+        order, at = self.by_example
+        post = order[at[example]:at[example + 1]]
+        entry = np.searchsorted(self.first, post, side="right") - 1
+        return np.searchsorted(self.entries, entry, side="right") - 1, self.weight[post].astype(np.float64)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a positive
@@ -115,8 +130,9 @@ class BlockMaxIndex:
             is_open[opened] = True
             chosen = is_open[block]
             e, qe = entry[chosen], q[chosen]
-            post = _ranges(self.first[e], self.size[e])
-            scores = np.bincount(self.example[post], np.repeat(qe, self.size[e]) * self.weight[post], self.n)
+            size = self.first[e + 1] - self.first[e]
+            post = _ranges(self.first[e], size)
+            scores = np.bincount(self.example[post], np.repeat(qe, size) * self.weight[post], self.n)
             hit = np.flatnonzero(scores)
             hit = hit[hit != skip]
             best_e, best_s = np.concatenate([best_e, hit]), np.concatenate([best_s, scores[hit]])
@@ -134,8 +150,7 @@ class Voter:
         self.at = {t: i for i, t in enumerate(terms)}
         self.weight, self.k, self.shrink = np.array(weight), k, shrink
         self.labels, self.ids = np.array(labels, np.float64), ids
-        self.vectors = [self.unit(c) for c in examples]
-        self.index = BlockMaxIndex(self.vectors, len(terms))
+        self.index = BlockMaxIndex([self.unit(c) for c in examples], len(terms))
         self.cache: dict = {}
         self.memo: dict[bytes, list[int]] = {}
 
@@ -202,14 +217,14 @@ def _term_counts(sample: DataFrame) -> DataFrame:
                 near: dict[bytes, int] = {}
                 for before, w, after in zip([b"", *words], words, [*words[1:], b""]):
                     if b" " + w not in near:
-                        context = xxhash.xxh64_intdigest(before + b" " + after) >> 1
+                        context = xxhash.xxh32_intdigest(before + b" " + after) >> 1
                         for t in terms_of(w):
                             near.setdefault(t, context)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(near), pa.binary()), pa.array(list(near.values()), pa.int64()),
+                    [pa.array(list(near), pa.binary()), pa.array(list(near.values()), pa.int32()),
                      pa.array([label] * len(near), pa.int32())], names=["term", "context", "label"])
 
-    rows = sample.select("label", "t").mapInArrow(run, "term binary, context bigint, label int")
+    rows = sample.select("label", "t").mapInArrow(run, "term binary, context int, label int")
     return (rows.groupBy("term", "context").agg(F.max("label").alias("label"))
             .groupBy("term").agg(F.sum("label").alias("positive"), F.sum(1 - F.col("label")).alias("negative")))
 
@@ -232,8 +247,8 @@ def _terms(sample: DataFrame, n: int, pos: int) -> tuple[list[bytes], list[float
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 4, held_out_fold: int = 2,
         max_examples: int = MAX_EXAMPLES, k: int = K, shrink: float = SHRINK, id_col: str = "doc_id",
-        text_col: str = "text") -> tuple[Voter | None, tuple, float]:
-    """(voter, isotonic knots, share of positives)."""
+        text_col: str = "text") -> tuple[Broadcast | None, tuple, float]:
+    """(broadcast voter, isotonic knots, share of positives)."""
     spark = docs.sparkSession
     sample = sample_examples(docs, labels, label_col, folds, held_out_fold, max_examples, id_col, text_col)
     sample = materialise(sample.repartition(_TASKS, "doc_id", "t"), "toxicity-examples")
@@ -267,27 +282,26 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for b in batches:
-            found = [v.vote(*v.vectors[i], skip=i)[0] for i in b.column(0).to_pylist()]
+            found = [v.vote(*v.index.vector(i), skip=i)[0] for i in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64())], names=["id", "vote"])
 
     got = spark.range(0, len(rows), 1, _TASKS).mapInArrow(left_out, "id bigint, vote double").collect()
     votes = np.zeros(len(rows))
     votes[[r["id"] for r in got]] = [r["vote"] for r in got]
-    return voter, isotonic_fit(votes, voter.labels, np.ones(len(votes))), share
+    return shared, isotonic_fit(votes, voter.labels, np.ones(len(votes))), share
 
 
 def train_and_score(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 4,
                     held_out_fold: int = 2, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """(doc_id, held_out, vote, score, neighbours, cosines, neighbour_labels) per row."""
-    voter, knots, share = fit(docs, labels, label_col, folds, held_out_fold, id_col=id_col, text_col=text_col, **kw)
+    shared, knots, share = fit(docs, labels, label_col, folds, held_out_fold, id_col=id_col, text_col=text_col, **kw)
     src = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).cast("binary").alias("t"))
     held = (crc_mod(F.col("doc_id"), folds) == held_out_fold).alias("held_out")
     kind = src.schema["doc_id"].dataType.simpleString()
     evidence = f"neighbours array<{kind}>, cosines array<double>, neighbour_labels array<int>"
-    if voter is None:
+    if shared is None:
         none = [F.array().cast(t).alias(n) for n, t in (x.split(" ") for x in evidence.split(", "))]
         return src.select("doc_id", held, F.lit(0.0).alias("vote"), F.lit(float(share)).alias("score"), *none)
-    shared = docs.sparkSession.sparkContext.broadcast(voter)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
