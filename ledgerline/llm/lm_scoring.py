@@ -201,25 +201,29 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
             yield b.slice(i, rows)
 
 
-def _ids(at: dict[bytes, int], words: list[bytes], endings: int) -> np.ndarray:
-    """Class numbers; ``at`` holds the frequent tokens and grows by what it is asked, within a bound."""
-    known = len(at)
-    if known > _FLUSH:
-        for w in list(at)[_FLUSH // 2:]:
-            del at[w]
-    first = at[b""]
-    out = []
-    for w in words:
-        i = at.get(w)
-        if i is None:
-            i = at[w] = first + ending(w, endings)
-        out.append(i)
-    return np.array(out, np.int64)
+class Classes(dict):
+    """Class of each token: the frequent tokens, and what was asked since, within a bound."""
+
+    def __init__(self, words: list[bytes], endings: int):
+        super().__init__({w: i for i, w in enumerate(words)})
+        self.words, self.endings = words, endings
+
+    def __missing__(self, token: bytes) -> int:
+        if len(self) > len(self.words) + _FLUSH:
+            self.clear()
+            self.update({w: i for i, w in enumerate(self.words)})
+        found = self[token] = len(self.words) + ending(token, self.endings)
+        return found
+
+    def of(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+
 
+class Logs(dict):
+    """log10 of the smoothed count of each token of the head; nan for all others."""
 
-def class_table(words: list[bytes]) -> dict[bytes, int]:
-    """Class of each frequent token; the empty token, which no text holds, has the first ending class."""
-    return {b"": len(words)} | {w: i for i, w in enumerate(words)}
+    def __missing__(self, token: bytes) -> float:
+        return np.nan
 
 
 def _contexts(ids: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,13 +245,13 @@ def train_model(train: DataFrame, words: list[bytes], endings: int, unigram: np.
                 dim: int = DIM, seed: int = SEED, batch: int = BATCH, noise: int = NOISE, rate: float = RATE,
                 rounds: int = ROUNDS) -> Model:
     """Train on ``train`` (columns t, the text, and h, a hash of the row)."""
-    table, start_id, parts = class_table(words), len(unigram), parts_for(n_tokens)
+    start_id, parts = len(unigram), parts_for(n_tokens)
     model, sums = Model.start(unigram, dim, seed), None
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = dict(table)
+        classes = Classes(words, endings)
         for b in _slices(batches):
-            ids = [_ids(at, tokens_of(t.as_py()), endings).astype("<u2").tobytes() for t in b.column(0)]
+            ids = [classes.of(tokens_of(t.as_py())).astype("<u2").tobytes() for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(ids, pa.binary())], names=["h", "ids"])
 
     coded = train.select("t", "h").mapInArrow(encode, "h bigint, ids binary")
@@ -346,31 +350,31 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out_fold: int = 0, vocab:
     unigram /= unigram.sum()
     model = train_model(train, words, endings, unigram, n_all, **training)
     tables = docs.sparkSession.sparkContext.broadcast(model.tables())
-    table, start, n_words = class_table(words), len(unigram), len(words)
+    start, n_words = len(unigram), len(words)
+    word_logs = np.log10(np.array([known[w] for w in words] + [0], np.float64) + ALPHA)     # the last one for no word
     base_total = float(np.log10(n_all + ALPHA * (v_all + 1)))
     end_total = np.concatenate([np.zeros(n_words), np.log10(n_end + ALPHA * (v_end + 1))])
     ln10 = float(np.log(10.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ta, tb, tz = tables.value
-        at = dict(table)
-        logs = {w: float(np.log10(c + ALPHA)) for w, c in known.items()}
+        classes, logs = Classes(words, endings), Logs((w, float(np.log10(c + ALPHA))) for w, c in known.items())
         for rb in _slices(batches):
-            cols: list[list] = [[], [], [], [], [], []]
+            cols: list[list] = [[], [], [], [], []]
             for t in rb.column(3):
                 got = tokens_of(t.as_py())
-                ids = _ids(at, got, endings)
-                c2, c1 = _contexts(ids, np.zeros(len(ids), bool), start)
+                ids, n = classes.of(got), len(got)
+                c2, c1 = _contexts(ids, np.zeros(n, bool), start)
                 lm = float((ta[c1, ids] + tb[c2, ids] - tz[c1, c2]).sum(dtype=np.float64)) / ln10
-                rare = [w for w in got if w not in logs]
-                ended = np.nonzero(ids >= n_words)[0]
-                outside = [logs[got[i]] for i in ended if got[i] in logs]
-                n = len(got)
-                head_sum = sum([logs[w] for w in got if w in logs]) if rare else sum([logs[w] for w in got])
+                logged = np.fromiter(map(logs.__getitem__, got), np.float64, n)
+                rare = [got[i] for i in np.flatnonzero(np.isnan(logged)).tolist()]
+                head_sum = float(np.nansum(logged))
+                in_words = ids < n_words
+                outside = head_sum - float(word_logs[ids[in_words]].sum())      # of the tokens in ending classes
                 cols[0].append(n)
                 cols[1].append(n - len(rare))
                 cols[2].append(head_sum - n * base_total)
-                cols[3].append(lm + sum(outside) - float(end_total[ids[ended]].sum()))
+                cols[3].append(lm + outside - float(end_total[ids[~in_words]].sum()))
                 cols[4].append(rare)
             yield pa.RecordBatch.from_arrays(
                 [rb.column(0), rb.column(1), rb.column(2), pa.array(cols[0], pa.int64()),
