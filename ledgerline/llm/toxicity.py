@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.calibration import isotonic_apply, isotonic_fit
 from ledgerline.llm.common import crc_mod, materialise, text_of, unit_hash
 
-MAX_EXAMPLES = 6_000
+MAX_EXAMPLES = 4_000
 #: Strength of a term that says nothing about the label.
 EPS = 0.02
 #: Tasks that prepare the examples.
@@ -57,7 +57,8 @@ MIN_CHI2 = 25.0
 MIN_PURITY = 0.75      # least share of positive contexts of a term
 MIN_PHI2 = 0.01        # effect size, chi-squared over the number of examples
 K = 15
-BLOCK = 64
+BLOCK = 128
+_FIRST_BLOCKS = 6
 SHRINK = 0.2
 #: ASCII that is not a letter or digit separates words.
 _SEPARATE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -121,10 +122,15 @@ class BlockMaxIndex:
         q, block = np.repeat(weights, n_entries), self.at_block[entry]
         bound = np.bincount(block, q * self.largest[entry], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
-        best_e, best_s, at, some = np.zeros(0, np.int64), np.zeros(0), 0, 4
-        while at < len(order):
-            opened = order[at:at + some]
-            if bound[opened[0]] <= 0 or len(best_s) >= k and best_s[k - 1] > bound[opened[0]] + 1e-12:
+        best_e, best_s, at = np.zeros(0, np.int64), np.zeros(0), 0
+        while at < len(order) and bound[order[at]] > 0:
+            if at:      # all blocks whose bound beats the k-th best so far; what they find can only raise it
+                least = best_s[k - 1] if len(best_s) >= k else 0.0
+                until = int(np.count_nonzero(bound[order] + 1e-12 >= least))
+            else:
+                until = _FIRST_BLOCKS
+            opened = order[at:max(until, at)]
+            if not len(opened):
                 break
             is_open = np.zeros(self.n_blocks, bool)
             is_open[opened] = True
@@ -135,10 +141,12 @@ class BlockMaxIndex:
             scores = np.bincount(self.example[post], np.repeat(qe, size) * self.weight[post], self.n)
             hit = np.flatnonzero(scores)
             hit = hit[hit != skip]
+            if len(hit) > 8 * k:        # only what can still be among the k best is sorted
+                hit = hit[scores[hit] >= np.partition(scores[hit], len(hit) - k)[len(hit) - k]]
             best_e, best_s = np.concatenate([best_e, hit]), np.concatenate([best_s, scores[hit]])
             first = np.lexsort((best_e, -best_s))[:k]
             best_e, best_s = best_e[first], best_s[first]
-            at, some = at + some, some * 2
+            at = max(until, at)
         return best_e, best_s
 
 
@@ -170,8 +178,13 @@ class Voter:
         return terms, v / norm if norm else v
 
     def counts(self, text: bytes) -> dict[int, int]:
-        memo = self.memo
-        return Counter([t for w in words_of(text) for t in (memo[w] if w in memo else self._ids(w))])
+        """Terms of the text; each different word is looked up once."""
+        known, found = self.memo.get, {}
+        for word, n in Counter(words_of(text)).items():
+            ids = known(word)
+            for t in self._ids(word) if ids is None else ids:
+                found[t] = found.get(t, 0) + n
+        return found
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(terms):
