@@ -1,12 +1,13 @@
 """Licence scans: a trained paragraph classifier confirmed by templates.
 
-Texts with a licence word (``CUES``, one regular expression per text) are cut
-into paragraphs: lines with such a word, and notices that are wrapped over
-several lines: within consecutive non-blank lines, the stretch of words from
-the first to the last three-word run of a family, cut where no template could
-lose as many words and still be confirmed.  A multinomial logistic regression
-over hashed word n-grams (sparse, one and two words) names the licence family
-of a paragraph or the class ``unknown``.  It is trained on notices, on the
+All texts are cut into paragraphs: every non-blank line, and notices that are
+wrapped over several lines: within consecutive non-blank lines, the stretch of
+words from the first to the last three-word run of a family, cut where no
+template could lose as many words and still be confirmed.  A multinomial
+logistic regression over hashed word n-grams (sparse, one and two words) names
+the licence family of each paragraph or the class ``unknown``.  Kept are the
+paragraphs that it names, the stretches, and, as ``unknown``, lines with a
+licence word (``CUES``).  It is trained on notices, on the
 names of each licence in usual sentences (``FRAMES``), on variants of both with
 a run of words left out, and, as ``unknown``, on a bounded sample of different
 corpus lines without licence wording, on sentences that use the words
@@ -21,10 +22,10 @@ prediction is confirmed when enough three-word runs of some template of its
 family stand in the paragraph.  All steps are DataFrame operations and
 ``pyspark.ml``; no Python runs on rows.
 
-Defined cases: null and blank texts and texts without a licence word have no
-paragraphs and so a null family; repeated rows each return a row, found from
-one scan of their (id, text); a very long text is searched whole and only its
-lines with a licence word, and stretches of template wording, are classified;
+Defined cases: null and blank texts, and texts in which no paragraph is named
+or has a licence word, have a null family; repeated rows each return the result
+of their (id, text), in which no paragraph counts twice; a very long text is
+searched whole;
 ties between families go to the higher probability, then to the earlier
 paragraph; ids may be null; extra columns, whatever their names, are ignored;
 empty tables give an empty result, and a corpus without lines trains against
@@ -34,6 +35,8 @@ the built-in sentences.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -172,9 +175,12 @@ PLAIN += [frame.replace("{}", w) for w in ("license", "licence", "copyright", "w
           for frame in ("The {} of the house is old.", "He asked for the {} again and was told to wait.",
                         "They talked there of the {} and of the weather of the week.", "Nobody had a {} for it.",
                         "It is the second {} of the year, so it is not the last of the {}.")]
-#: A text without any of these words is not searched further.
+#: A line with one of these words is kept as ``unknown`` if the classifier names no licence in it.
 CUES = (r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission|creative commons|public domain|spdx|"
         r"\bcc[ -]?(?:by|0)\b|\b[al]?gpl\b|free of charge")
+#: Each match of ``CUES`` holds one of these, which are found faster.
+CUE_PARTS = ("licen", "copyright", "warrant", "redistribut", "permission", "creative commons", "public domain", "spdx", "cc",
+             "gpl", "free of charge")
 SEPARATORS = r"[^\p{L}\p{N}.+-]+"
 FEATURES = 1 << 13
 #: Corpus paragraphs sampled as class ``unknown`` at most.
@@ -340,37 +346,63 @@ def train_model(spark: SparkSession, paragraphs: DataFrame, templates: dict[str,
     return model
 
 
+def _has_cue(lower: Column) -> Column:
+    return reduce(or_, [F.contains(lower, F.lit(c)) for c in CUE_PARTS]) & F.rlike(lower, F.lit(CUES))
+
+
+def _once(df: DataFrame, column: Column, name: str) -> DataFrame:
+    """``df`` with a column that no later filter computes anew: a filter is not
+    moved below a generator."""
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
+def _hold_runs(texts: DataFrame, runs: list[str]) -> DataFrame:
+    """The rows of ``texts`` whose words, across line ends, hold any of the
+    ``runs``, a bounded list."""
+    w = F.flatten(F.transform(F.split("text", "\n", -1),
+                              lambda line: _words(F.regexp_replace(line, r"^[^\p{L}\p{N}]+", ""))))
+    rows, many = _once(texts, w, "w"), 1 << 30
+    # three words side by side; at the end there are fewer, which only lets more through
+    pairs = F.zip_with("w", F.slice("w", 2, many), lambda x, y: F.concat_ws(" ", x, y))
+    threes = F.zip_with(pairs, F.slice("w", 3, many), lambda x, y: F.concat_ws(" ", x, y))
+    return rows.filter(F.arrays_overlap(threes, F.array(*map(F.lit, runs)))).select(*texts.columns)
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = 0.5,
          confirm: float = CONFIRM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All paragraphs with a licence word: doc_id, text_key, paragraph (its
-    first line), last (its last line), line, family, p_family, p_known,
-    template, containment, confirmed.  ``family`` is ``unknown`` below
-    ``threshold``.  A stretch of several lines counts only for the family whose
-    wording it was cut by."""
+    """All paragraphs of all texts go through the classifier.  Those that it
+    names, stretches of several lines, and lines with a licence word: doc_id,
+    text_key, paragraph (its first line), last (its last line), line, family,
+    p_family, p_known, template, containment, confirmed.  ``family`` is
+    ``unknown`` below ``threshold``.  A stretch counts only for the family
+    whose wording it was cut by."""
     spark = docs.sparkSession
     paragraphs = _paragraphs(docs, id_col, text_col)
     tmpl = materialise(_template_frame(spark, templates), "license-templates")
     owned = materialise(tmpl.select(F.explode("runs").alias("run"), F.col("family").alias("of_family")).distinct(),
                         "license-owned")
+    rows = docs.count()
+    model = train_model(spark, paragraphs, templates, first_share=4 * MAX_UNKNOWN / max(rows, 1))
+    kept = ["doc_id", "text_key", "paragraph", "last", "line", "w", "of_family", "family", "p_family", "p_known"]
+    lines = _once(paragraphs, _words(F.col("line")), "w").withColumn("last", F.col("paragraph")).withColumn(
+        "of_family", F.lit(None).cast("string"))
+    lines = _once(model.predict(lines), F.struct("family", "p_family", "p_known"), "found")
+    lines = _once(lines, F.lower("line"), "low")
+    lines = lines.filter((F.col("found.p_known") >= threshold) | _has_cue(F.col("low")))
+    lines = lines.select(*kept[:7], "found.*").distinct()       # repeated rows have the same paragraphs
     texts = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
                         F.col(text_col).alias("text"))
-    texts = materialise(texts.filter(F.rlike(F.lower("text"), F.lit(CUES))).distinct(), "license-texts")
-    near = (_paragraphs(texts, "doc_id", "text").filter(F.rlike(F.lower("line"), F.lit(CUES)))
-            .withColumn("w", _words(F.col("line"))))
-    near = near.select("doc_id", "text_key", "paragraph", F.col("paragraph").alias("last"), "line", "w",
-                       F.lit(None).cast("string").alias("of_family"))
+    runs = sorted({r["run"] for r in owned.select("run").collect()})       # parameters only
+    texts = materialise(_hold_runs(texts, runs).distinct(), "license-texts")
     longest = max((len(t.split()) for ts in templates.values() for t in ts), default=0)
-    near = near.unionByName(_wrapped(texts, small_side(owned), math.ceil((1 - confirm) * longest)))
-    near = materialise(near, "license-paragraphs")
-    rows = docs.count()
-    model = train_model(spark, paragraphs, templates, first_share=4 * MAX_UNKNOWN / max(rows, 1))
-    found = model.predict(near)
+    wrapped = materialise(_wrapped(texts, small_side(owned), math.ceil((1 - confirm) * longest)), "license-wrapped")
+    wrapped = model.predict(wrapped).filter(F.col("of_family") == F.col("family"))
+    found = materialise(lines.unionByName(wrapped.select(*kept)), "license-paragraphs")
     by_family = tmpl.groupBy("family").agg(F.collect_list(F.struct("template", "runs")).alias("ts"))   # parameters only
     found = found.withColumn("own", _grams(F.col("w"), SHARED)).join(F.broadcast(by_family), "family")
     best = F.array_max(F.transform("ts", lambda t: F.struct(
         (F.size(F.array_intersect("own", t["runs"])) / F.size(t["runs"])).alias("c"), t["template"].alias("t"))))
     found = found.withColumn("best", best)
-    found = found.filter(F.col("of_family").isNull() | (F.col("of_family") == F.col("family")))
     known = F.col("p_known") >= threshold
     return found.select("doc_id", "text_key", "paragraph", "last", "line",
                         F.when(known, F.col("family")).otherwise(UNKNOWN).alias("family"), "p_family", "p_known",

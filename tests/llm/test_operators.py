@@ -477,6 +477,24 @@ def test_wrapped_license_notices(spark):
                    "6": (None, None, 0), "None": ("mit", 0, 1)}
 
 
+def test_lines_without_a_licence_word_are_classified(spark, monkeypatch):
+    rows = [(1, "first\nReleased under the MIT.\nlast"), (2, "the code\nDistributed under the terms of the Apache-2.0."),
+            (3, "nothing of the kind is said here"), (1, "first\nReleased under the MIT.\nlast"), (None, "x\n\ny")]
+    df = frame(spark, [(i, t, "en", "s") for i, t in rows])
+    got = sorted((str(r.doc_id), r.family, r.paragraph) for r in license_scan.document_licenses(df).collect())
+    assert got[:3] == [("1", "mit", 1)] * 2 + [("2", "apache-2.0", 1)]
+    assert got[3:] == [("3", None, None), ("None", None, None)]
+    predict, seen = license_scan.LicenseModel.predict, []
+
+    def watched(self, paragraphs):
+        seen.extend(r.line for r in paragraphs.select("line").collect())
+        return predict(self, paragraphs)
+
+    monkeypatch.setattr(license_scan.LicenseModel, "predict", watched)
+    license_scan.scan(df)
+    assert set(seen) == {x for _, t in rows for x in t.split("\n") if x}
+
+
 def test_unknown_sample_holds_different_lines(spark):
     lines = [("the same line",)] * 300 + [(f"line {i}",) for i in range(30)]
     df = spark.createDataFrame(lines, "line string")
