@@ -38,6 +38,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,7 @@ ROUNDS = 4
 PART_TOKENS = 1_000_000   # tokens of one part, times the number of parts
 _FLUSH = 300_000
 _CHUNK = 2048
+_SCORE = 50_000       # tokens that are scored together, beyond which a text ends
 _LEARN = 200_000      # tokens that are shuffled together
 
 
@@ -219,13 +221,6 @@ class Classes(dict):
         return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
 
 
-class Logs(dict):
-    """log10 of the smoothed count of each token of the head; nan for all others."""
-
-    def __missing__(self, token: bytes) -> float:
-        return np.nan
-
-
 def _contexts(ids: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """The two ids before each of ``ids``; ``ends`` marks last tokens of texts."""
     c1 = np.concatenate([[start], ids[:-1]])
@@ -350,38 +345,51 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out_fold: int = 0, vocab:
     unigram /= unigram.sum()
     model = train_model(train, words, endings, unigram, n_all, **training)
     tables = docs.sparkSession.sparkContext.broadcast(model.tables())
-    start, n_words = len(unigram), len(words)
-    word_logs = np.log10(np.array([known[w] for w in words] + [0], np.float64) + ALPHA)     # the last one for no word
+    start, n_words, head_words = len(unigram), len(words), [w for w, _ in top]
+    # by number of a token: place in the head, or behind it the ending of any other token
+    class_of = np.array([*range(n_words), *(n_words + ending(w, endings) for w in head_words[n_words:]),
+                         *range(n_words, n_words + endings)], np.int64)
+    log_of = np.log10(np.array([c for _, c in top] + [1 - ALPHA] * endings, np.float64) + ALPHA)
     base_total = float(np.log10(n_all + ALPHA * (v_all + 1)))
-    end_total = np.concatenate([np.zeros(n_words), np.log10(n_end + ALPHA * (v_end + 1))])
+    end_total = np.log10(n_end + ALPHA * (v_end + 1))
+    # tokens in ending classes: their share of the class
+    inside = np.where(class_of < n_words, 0.0, log_of - np.concatenate([np.zeros(n_words), end_total])[class_of])
     ln10 = float(np.log(10.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ta, tb, tz = tables.value
-        classes, logs = Classes(words, endings), Logs((w, float(np.log10(c + ALPHA))) for w, c in known.items())
-        for rb in _slices(batches):
-            cols: list[list] = [[], [], [], [], []]
-            for t in rb.column(3):
-                got = tokens_of(t.as_py())
-                ids, n = classes.of(got), len(got)
-                c2, c1 = _contexts(ids, np.zeros(n, bool), start)
-                lm = float((ta[c1, ids] + tb[c2, ids] - tz[c1, c2]).sum(dtype=np.float64)) / ln10
-                logged = np.fromiter(map(logs.__getitem__, got), np.float64, n)
-                rare = [got[i] for i in np.flatnonzero(np.isnan(logged)).tolist()]
-                head_sum = float(np.nansum(logged))
-                in_words = ids < n_words
-                outside = head_sum - float(word_logs[ids[in_words]].sum())      # of the tokens in ending classes
-                cols[0].append(n)
-                cols[1].append(n - len(rare))
-                cols[2].append(head_sum - n * base_total)
-                cols[3].append(lm + outside - float(end_total[ids[~in_words]].sum()))
-                cols[4].append(rare)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column(0), rb.column(1), rb.column(2), pa.array(cols[0], pa.int64()),
-                 pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()),
-                 pa.array(cols[4], pa.list_(pa.binary()))],
+        numbers = Classes(head_words, endings)
+
+        def scored(rows: pa.RecordBatch, texts: list[list[bytes]]) -> pa.RecordBatch:
+            sizes = np.array([len(t) for t in texts])
+            ends, tokens = np.cumsum(sizes), list(chain.from_iterable(texts))
+            begin, last = ends - sizes, np.zeros(len(tokens), bool)
+            last[ends - 1] = True
+            number = numbers.of(tokens)
+            ids, is_rare = class_of[number], number >= len(head_words)
+            c2, c1 = _contexts(ids, last, start)
+            model_log = ta[c1, ids] + tb[c2, ids] - tz[c1, c2]
+            lm = np.add.reduceat(model_log, begin, dtype=np.float64) / ln10 + np.add.reduceat(inside[number], begin)
+            places = np.flatnonzero(is_rare)
+            n_rare = np.add.reduceat(is_rare, begin, dtype=np.int64)
+            rare = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_rare)), pa.int32()),
+                                            pa.array([tokens[i] for i in places.tolist()], pa.binary()))
+            return pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), rows.column(2), pa.array(sizes, pa.int64()),
+                 pa.array(sizes - n_rare, pa.int64()),
+                 pa.array(np.add.reduceat(log_of[number], begin) - sizes * base_total, pa.float64()),
+                 pa.array(lm, pa.float64()), rare],
                 names=["doc_id", "text_key", "held_out", "n_tokens", "n_head", "base", "lm", "rare"])
 
+        for rb in _slices(batches):
+            held, n, at = [], 0, 0
+            for i, t in enumerate(rb.column(3)):
+                held.append(tokens_of(t.as_py()))
+                n += len(held[-1])
+                if n >= _SCORE or i == rb.num_rows - 1:
+                    yield scored(rb.slice(at, len(held)), held)
+                    held, n, at = [], 0, i + 1
+
     kind = src.schema["doc_id"].dataType.simpleString()
     scored = materialise(src.mapInArrow(run, f"doc_id {kind}, text_key bigint, held_out boolean, n_tokens bigint, "
                                              "n_head bigint, base double, lm double, rare array<binary>"), "lm-scored")
