@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -99,10 +100,10 @@ class BlockMaxIndex:
         self.at_block = (self.example[first] // block).astype(np.int32)
         self.largest = np.maximum.reduceat(self.weight, first) if len(key) else self.weight
         self.entries = np.searchsorted(term[first], np.arange(n_terms + 1))
-        self.by_example = None
+        self.by_example = self.wide = None
 
     def __getstate__(self):
-        return self.__dict__ | {"by_example": None}
+        return self.__dict__ | {"by_example": None, "wide": None}
 
     def vector(self, example: int) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of an example, from its postings."""
@@ -117,10 +118,15 @@ class BlockMaxIndex:
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a positive
         cosine, best first.  ``skip`` leaves one example out."""
-        n_entries = self.entries[terms + 1] - self.entries[terms]
-        entry = _ranges(self.entries[terms], n_entries)
-        q, block = np.repeat(weights, n_entries), self.at_block[entry]
-        bound = np.bincount(block, q * self.largest[entry], self.n_blocks)
+        if self.wide is None:       # as numpy computes with them; sent in half the width
+            self.wide = (self.first.astype(np.int64), self.example.astype(np.int64), self.weight.astype(np.float64),
+                         self.at_block.astype(np.int64), self.largest.astype(np.float64))
+        first_post, example, weight, at_block, largest = self.wide
+        begin = self.entries[terms]
+        n_entries = self.entries[terms + 1] - begin
+        entry = _ranges(begin, n_entries)
+        q, block = np.repeat(weights, n_entries), at_block[entry]
+        bound = np.bincount(block, q * largest[entry], self.n_blocks)
         order = np.argsort(-bound, kind="stable")
         best_e, best_s, at = np.zeros(0, np.int64), np.zeros(0), 0
         while at < len(order) and bound[order[at]] > 0:
@@ -134,11 +140,12 @@ class BlockMaxIndex:
                 break
             is_open = np.zeros(self.n_blocks, bool)
             is_open[opened] = True
-            chosen = is_open[block]
+            chosen = np.flatnonzero(is_open[block])
             e, qe = entry[chosen], q[chosen]
-            size = self.first[e + 1] - self.first[e]
-            post = _ranges(self.first[e], size)
-            scores = np.bincount(self.example[post], np.repeat(qe, size) * self.weight[post], self.n)
+            begin = first_post[e]
+            size = first_post[e + 1] - begin
+            post = _ranges(begin, size)
+            scores = np.bincount(example[post], np.repeat(qe, size) * weight[post], self.n)
             hit = np.flatnonzero(scores)
             hit = hit[hit != skip]
             if len(hit) > 8 * k:        # only what can still be among the k best is sorted
@@ -150,6 +157,20 @@ class BlockMaxIndex:
         return best_e, best_s
 
 
+class Known(dict):
+    """Term numbers of the words looked up so far, within a bound."""
+
+    def __init__(self, at: dict[bytes, int]):
+        super().__init__()
+        self.at = at
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) > 200_000:
+            self.clear()
+        found = self[word] = tuple(self.at[t] for t in terms_of(word) if t in self.at)
+        return found
+
+
 class Voter:
     """Turns texts into votes; holds the whole, bounded model."""
 
@@ -160,16 +181,14 @@ class Voter:
         self.labels, self.ids = np.array(labels, np.float64), ids
         self.index = BlockMaxIndex([self.unit(c) for c in examples], len(terms))
         self.cache: dict = {}
-        self.memo: dict[bytes, list[int]] = {}
+        self.memo = Known(self.at)
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}, "memo": {}}
+        return self.__dict__ | {"cache": {}, "memo": None}
 
-    def _ids(self, word: bytes) -> list[int]:
-        if len(self.memo) > 200_000:
-            self.memo.clear()
-        found = self.memo[word] = [self.at[t] for t in terms_of(word) if t in self.at]
-        return found
+    def __setstate__(self, state: dict):
+        self.__dict__ |= state
+        self.memo = Known(self.at)
 
     def unit(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         terms = np.fromiter(counts.keys(), np.int64, len(counts))
@@ -179,10 +198,14 @@ class Voter:
 
     def counts(self, text: bytes) -> dict[int, int]:
         """Terms of the text; each different word is looked up once."""
-        known, found = self.memo.get, {}
-        for word, n in Counter(words_of(text)).items():
-            ids = known(word)
-            for t in self._ids(word) if ids is None else ids:
+        words = Counter(words_of(text))
+        ids = list(map(self.memo.__getitem__, words))
+        terms = list(chain.from_iterable(ids))
+        times = list(chain.from_iterable(map(repeat, words.values(), map(len, ids))))
+        found = dict(zip(terms, times))
+        if len(found) < len(terms):     # words share a beginning
+            found = {}
+            for t, n in zip(terms, times):
                 found[t] = found.get(t, 0) + n
         return found
 
