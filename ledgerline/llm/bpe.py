@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 # The published word pattern of this family of tokenizers, a fixed value; {L}, {N}, {S} stand for the classes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 _SLICE_CHARS = 4_000_000
-_CACHE_CHUNKS = 350_000
+_CACHE_CHUNKS = 700_000
 _LONG_CHUNK = 1_000
 _CACHE_PAIRS = 1_000_000
 _LAST = 1 << 62
@@ -90,6 +90,13 @@ class BpeModel:
                 if node == len(self.token_at):
                     self.token_at.append(-1)
             self.token_at[node] = i
+        # nodes that lead on come first, the others are not followed
+        inner = {edge >> 8 for edge in self.step} | {0}
+        order = sorted(range(len(self.token_at)), key=lambda n: (n not in inner, n))
+        number = {old: new for new, old in enumerate(order)}
+        self.step = {number[edge >> 8] << 8 | edge & 255: number[node] for edge, node in self.step.items()}
+        self.token_at, self.n_inner = [self.token_at[n] for n in order], len(inner)
+        self.first_steps = [n if n < self.n_inner else None for n in map(self.step.__getitem__, range(256))]
         self.size_of = {i: len(b) for b, i in self.vocab.items()}
         self.little_endian = {i: i.to_bytes(4, "little") for i in self.bytes_of}
         self.known_fits: dict[int, bool] = {}
@@ -207,37 +214,43 @@ def insert(words: Iterable[bytes]) -> list[tuple[int, bytes]]:
 def walk(trie: list[tuple[int, bytes]], model: BpeModel) -> Iterator[tuple[bytes, list[int]]]:
     """(word, ids) of every word, depth first.  ``last[d]`` is the last token
     of the first d bytes of the current path, ``open_at[d]`` the starts from
-    which the path is the beginning of a token, with the token tree's node;
+    which the path is the beginning of a longer token, with the token tree's node;
     below a fork only the new nodes are worked out."""
-    step, token_at = model.step, model.token_at
-    known, fits, size = model.known_fits, model.fits, model.size_of
+    step, token_at, base, first = model.step.get, model.token_at, model.base, model.first_steps
+    known, fits, size, inner = model.known_fits.get, model.fits, model.size_of, model.n_inner
     last, open_at = [-1], [[]]
     for fork, word in trie:
         del last[fork + 1:], open_at[fork + 1:]
+        going = open_at[fork]
         for depth in range(fork, len(word)):
-            byte, going, found = word[depth], [], -1
-            for start, node in (*open_at[depth], (depth, 0)):
-                node = step.get(node << 8 | byte)
-                if node is None:
-                    continue
-                going.append((start, node))
-                if found < 0:
-                    token = token_at[node]
-                    if token >= 0:
-                        if not start:
-                            found = token
-                        else:
-                            ok = known.get(last[start] << 32 | token)
-                            if ok or ok is None and fits(last[start], token):
+            byte, found, before, going = word[depth], -1, going, []
+            for start, node in before:
+                node = step(node << 8 | byte)
+                if node is not None:
+                    if node < inner:
+                        going.append((start, node))
+                    if found < 0:
+                        token = token_at[node]
+                        if token >= 0:
+                            if not start:
                                 found = token
-            last.append(found)
+                            else:
+                                ok = known(last[start] << 32 | token)
+                                if ok or ok is None and fits(last[start], token):
+                                    found = token
+            node = first[byte]
+            if node is not None:        # longer tokens begin with this byte
+                going.append((depth, node))
+            last.append(found if found >= 0 else base[byte])     # one token always fits, at least the byte
             open_at.append(going)
-        ids, at = [], len(word)
+        token, at = last[-1], len(word) - size[last[-1]]
+        ids = [token]
         while at:
             token = last[at]
             ids.append(token)
             at -= size[token]
-        yield word, ids[::-1]
+        ids.reverse()
+        yield word, ids
 
 
 class Encoder:
