@@ -90,3 +90,13 @@ def test_frames(spark, model, library):
     broken = spark.createDataFrame([(1, bytearray(b"a\xff\xc3"))], "doc_id int, text binary")
     assert bpe.encode_texts(broken, model, decoded=True).first().text == "a��"
     assert docs.select(F.max("doc_id")).first()[0] == 3
+
+
+def test_chunks_of_a_slice_before_are_not_worked_out_again(model, monkeypatch):
+    encoder, walked = bpe.Encoder(model), []
+    insert = bpe.insert
+    monkeypatch.setattr(bpe, "insert", lambda words: insert(walked.append(len(w := list(words))) or w))
+    first, other = [" ".join(f"{i:x}q" for i in range(at, at + 180_000)) for at in (0, 180_000)]
+    ids = encoder.encode([first])
+    encoder.encode([other])
+    assert encoder.encode([first]) == ids and walked[2] == 0

@@ -4,6 +4,7 @@ nulls, empty and repeated texts, ties, extra columns and empty tables."""
 import collections
 import hashlib
 import math
+import pickle
 import re
 import zlib
 
@@ -418,6 +419,29 @@ def test_block_max_search_is_exact():
     assert len(empty.search(*arrays[0], 5)[0]) == 0
 
 
+def test_toxicity_counts_each_term_of_the_text():
+    voter = toxicity.Voter([b" cat", b" cats", b" dog", b"cats"], [1.0] * 4, [], [], [], 5, 0.2)
+    voter = pickle.loads(pickle.dumps(voter))
+    assert voter.memo.at is voter.at        # words are looked up as they come, also after the voter was sent
+    for text in (b"", b"of the", b"Cat cat dog", b"cats cats catsup, dog catsuit"):
+        want = collections.Counter(t for w in toxicity.words_of(text) for t in toxicity.terms_of(w) if t in voter.at)
+        assert voter.counts(text) == {voter.at[t]: n for t, n in want.items()}
+    assert voter.memo[b"catsup"] == (3,)
+
+
+def test_lm_scores_do_not_depend_on_the_texts_beside(spark):
+    texts = ["the cat sat on the mat", "", None, "a " * 120_000, "zq zq1 zq2 never seen", "the dog sat"]
+    rows = [(i, texts[i % len(texts)], "en", "s") for i in range(60)]
+    df = frame(spark, rows)
+    got = lm_scoring.score_texts(df.coalesce(1), rounds=1).collect()
+    by_text = {}
+    for r in got:
+        key = texts[r.doc_id % len(texts)]
+        by_text.setdefault(key, []).append((r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)))
+        assert r.n_tokens == len((key or "").split()) + 1
+    assert all(len(set(v)) == 1 for v in by_text.values())
+
+
 def test_license_families(spark):
     rows = [(1, "x\nReleased under the MIT License.\ny"), (2, None), (3, ""), (None, "Licensed under CC BY-NC 4.0."),
             (4, "hello there of the license of the"), (7, "Licensed under CC BY 4.0."),
