@@ -35,6 +35,7 @@ the built-in sentences.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
 from operator import or_
 
@@ -179,9 +180,10 @@ PLAIN += [frame.replace("{}", w) for w in ("license", "licence", "copyright", "w
 CUES = (r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission|creative commons|public domain|spdx|"
         r"\bcc[ -]?(?:by|0)\b|\b[al]?gpl\b|free of charge")
 #: Each match of ``CUES`` holds one of these, which are found faster.
-CUE_PARTS = ("licen", "copyright", "warrant", "redistribut", "permission", "creative commons", "public domain", "spdx", "cc",
-             "gpl", "free of charge")
-SEPARATORS = r"[^\p{L}\p{N}.+-]+"
+CUE_PARTS = ("licen", "copyright", "warrant", "redistribut", "permission", "creative commons", "public domain", "spdx",
+             "ccby", "cc by", "cc-by", "cc0", "cc 0", "cc-0", "gpl", "free of charge")
+#: Between words, also the full stop at the end of one.
+SEPARATORS = r"[^\p{L}\p{N}.+-]+|[.](?=\s|$)"
 FEATURES = 1 << 13
 #: Corpus paragraphs sampled as class ``unknown`` at most.
 MAX_UNKNOWN = 2_000
@@ -191,12 +193,12 @@ UNKNOWN = "unknown"
 
 
 def _words(text: Column) -> Column:
-    return split_words(F.lower(F.regexp_replace(text, r"[.](?=\s|$)", " ")), SEPARATORS)
+    return split_words(F.lower(text), SEPARATORS)
 
 
 def _grams(words: Column, n: int) -> Column:
-    at = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]))
+    parts = [F.slice(words, k + 1, F.greatest(F.size(words) - (n - 1), F.lit(0))) for k in range(n)]
+    return reduce(lambda a, b: F.zip_with(a, b, lambda x, y: F.concat(x, F.lit(" "), y)), parts)
 
 
 def _template_frame(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame:
@@ -241,8 +243,9 @@ def _wrapped(texts: DataFrame, runs: DataFrame, longest_gap: int) -> DataFrame:
 
 
 def _paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    src = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
-                      F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("paragraph", "line"))
+    # the key of a text is computed below the generator, once a text and not once a line
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("text_key"))
+    src = src.select("doc_id", "text_key", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line"))
     return src.filter(F.length(F.btrim(F.col("line"), F.lit(" \t\x0b\f\r"))) > 0)
 
 
@@ -255,7 +258,10 @@ class LicenseModel:
     def predict(self, paragraphs: DataFrame) -> DataFrame:
         """``paragraphs`` (with words w) plus family, p_family, p_known."""
         names = self.pipeline.stages[0].labels
-        out = self.pipeline.transform(_features(paragraphs)).withColumn("p", vector_to_array("probability"))
+        # of the model's columns only the probabilities are used, so the others are not made
+        classifier = self.pipeline.stages[2].copy().setRawPredictionCol("").setPredictionCol("")
+        out = classifier.transform(self.pipeline.stages[1].transform(_features(paragraphs)))
+        out = out.withColumn("p", vector_to_array("probability"))
         unknown = names.index(UNKNOWN)
         known = [i for i in range(len(names)) if i != unknown]
         best = F.array_max(F.array(*[F.struct(F.col("p")[i].alias("p"), F.lit(names[i]).alias("f")) for i in known]))
@@ -358,14 +364,15 @@ def _once(df: DataFrame, column: Column, name: str) -> DataFrame:
 
 def _hold_runs(texts: DataFrame, runs: list[str]) -> DataFrame:
     """The rows of ``texts`` whose words, across line ends, hold any of the
-    ``runs``, a bounded list."""
+    ``runs``, a bounded list.  No run stands in a text without its longest word
+    (of equal ones the one in fewest runs), so runs are made only of the words
+    of texts with such a word."""
     w = F.flatten(F.transform(F.split("text", "\n", -1),
                               lambda line: _words(F.regexp_replace(line, r"^[^\p{L}\p{N}]+", ""))))
-    rows, many = _once(texts, w, "w"), 1 << 30
-    # three words side by side; at the end there are fewer, which only lets more through
-    pairs = F.zip_with("w", F.slice("w", 2, many), lambda x, y: F.concat_ws(" ", x, y))
-    threes = F.zip_with(pairs, F.slice("w", 3, many), lambda x, y: F.concat_ws(" ", x, y))
-    return rows.filter(F.arrays_overlap(threes, F.array(*map(F.lit, runs)))).select(*texts.columns)
+    in_runs = Counter(word for run in runs for word in set(run.split(" ")))
+    longest = sorted({max(run.split(" "), key=lambda word: (len(word), -in_runs[word])) for run in runs})
+    rows = _once(texts, w, "w").filter(F.arrays_overlap("w", F.array(*map(F.lit, longest))))
+    return (rows.filter(F.arrays_overlap(_grams(F.col("w"), SHARED), F.array(*map(F.lit, runs)))).select(*texts.columns))
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = 0.5,

@@ -501,6 +501,40 @@ def test_wrapped_license_notices(spark):
                    "6": (None, None, 0), "None": ("mit", 0, 1)}
 
 
+def test_license_scan_does_no_work_twice(spark):
+    """A text's key is made once a text, not once a line; a known line costs one column of the model."""
+    df = spark.createDataFrame([(1, "a b c\nd. e."), (2, None)], "doc_id long, text string")
+    lines = license_scan._paragraphs(df, "doc_id", "text")
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("xxhash64") > plan.index("Generate")          # a plan is printed from its last step on
+    model = license_scan.train_model(spark, lines)
+    named = model.predict(lines.withColumn("w", license_scan._words(F.col("line"))))
+    parsed = named._jdf.queryExecution().analyzed().toString()
+    assert "rawPrediction" not in parsed and "prediction" not in parsed and "probability" in parsed
+
+
+def test_license_words_and_runs_against_brute_force(spark):
+    texts = ["", None, "a", "A b.", "a.. b. c.", "- a\n\n+b c-\nd", "x. y\r\nz.", "v2.1. (1.0.)", "\u00e9\u00c9.\u3000\u00df z",
+             "of the\ngnu x", "gnu. Of, the", "x of the-gnu", "THE of the; gnu.", "... . .", "by the free\n//on an as"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def words(line):
+        return [w for w in re.split(r"[^\w.+-]+", re.sub(r"[.](?=\s|$)", " ", line, flags=re.ASCII).lower()) if w]
+
+    def runs(ws, n):
+        return [" ".join(ws[i:i + n]) for i in range(len(ws) - n + 1)]
+
+    made = df.withColumn("w", license_scan._words(F.col("text")))
+    for n in (1, 2, 3, 5):
+        got = {r.doc_id: r.g for r in made.select("doc_id", license_scan._grams(F.col("w"), n).alias("g")).collect()}
+        assert got == {i: runs(words(t or ""), n) for i, t in enumerate(texts)}
+    wanted = {"of the gnu", "on an as", "a b c", "b c- d"}
+    want = [i for i, t in enumerate(texts) if t and wanted & set(
+        runs([w for line in t.split("\n") for w in words(re.sub(r"^[\W_]+", "", line))], 3))]
+    assert sorted(r.doc_id for r in license_scan._hold_runs(df, sorted(wanted)).collect()) == want
+    assert want == [5, 9, 12, 14]
+
+
 def test_lines_without_a_licence_word_are_classified(spark, monkeypatch):
     rows = [(1, "first\nReleased under the MIT.\nlast"), (2, "the code\nDistributed under the terms of the Apache-2.0."),
             (3, "nothing of the kind is said here"), (1, "first\nReleased under the MIT.\nlast"), (None, "x\n\ny")]
