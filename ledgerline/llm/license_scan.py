@@ -35,9 +35,8 @@ the built-in sentences.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -364,15 +363,18 @@ def _once(df: DataFrame, column: Column, name: str) -> DataFrame:
 
 def _hold_runs(texts: DataFrame, runs: list[str]) -> DataFrame:
     """The rows of ``texts`` whose words, across line ends, hold any of the
-    ``runs``, a bounded list.  No run stands in a text without its longest word
-    (of equal ones the one in fewest runs), so runs are made only of the words
-    of texts with such a word."""
+    ``runs``, a bounded list.  Most words begin no run, so words are looked up
+    first, and a run is joined only where each of its words can stand there."""
     w = F.flatten(F.transform(F.split("text", "\n", -1),
                               lambda line: _words(F.regexp_replace(line, r"^[^\p{L}\p{N}]+", ""))))
-    in_runs = Counter(word for run in runs for word in set(run.split(" ")))
-    longest = sorted({max(run.split(" "), key=lambda word: (len(word), -in_runs[word])) for run in runs})
-    rows = _once(texts, w, "w").filter(F.arrays_overlap("w", F.array(*map(F.lit, longest))))
-    return (rows.filter(F.arrays_overlap(_grams(F.col("w"), SHARED), F.array(*map(F.lit, runs)))).select(*texts.columns))
+    parts = [p for p in (run.split(" ") for run in runs) if len(p) == SHARED]       # shorter ones are no runs of a text
+
+    def begins_run(word: Column, i: Column) -> Column:
+        words = [word] + [F.get("w", i + k) for k in range(1, SHARED)]
+        fits = [w.isin(sorted({p[k] for p in parts})) for k, w in enumerate(words)]
+        return reduce(and_, fits) & F.concat_ws(" ", *words).isin([" ".join(p) for p in parts])
+
+    return _once(texts, w, "w").filter(F.size(F.filter("w", begins_run)) > 0).select(*texts.columns)
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = 0.5,

@@ -535,6 +535,19 @@ def test_license_words_and_runs_against_brute_force(spark):
     assert want == [5, 9, 12, 14]
 
 
+def test_license_runs_are_joined_only_where_they_can_stand(spark):
+    texts = ["a b c", "A\n\n b.\n# C", "a b f", "a e c", "d e f", "d b c", "c b a", "x a b", "a b", "a", "b c a b", "", None, "g h",
+             "d e\nx f", "a a b c", "a b c a b c", "the a the b the c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = license_scan._hold_runs(df, ["a b c", "d e f", "g h", "a", ""])
+    assert sorted(r.doc_id for r in held.collect()) == [0, 1, 4, 15, 16]
+    assert held.columns == df.columns
+    assert "zip_with" not in held._jdf.queryExecution().optimizedPlan().toString().lower()      # no run a word is made
+    assert license_scan._hold_runs(df, []).count() == license_scan._hold_runs(df, ["g h"]).count() == 0
+    once = license_scan._hold_runs(df, [f"{x} b c" for x in "adefghijklmno"])
+    assert sorted(r.doc_id for r in once.collect()) == [0, 1, 5, 15, 16]
+
+
 def test_lines_without_a_licence_word_are_classified(spark, monkeypatch):
     rows = [(1, "first\nReleased under the MIT.\nlast"), (2, "the code\nDistributed under the terms of the Apache-2.0."),
             (3, "nothing of the kind is said here"), (1, "first\nReleased under the MIT.\nlast"), (None, "x\n\ny")]
